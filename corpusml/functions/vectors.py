@@ -56,7 +56,7 @@ def relu(a: Column | str) -> Column:
 
 
 def sigmoid(a: Column | str) -> Column:
-    return F.transform(_col(a), logistic)
+    return F.transform(_col(a), lambda x: logistic(x))
 
 
 def tanh(a: Column | str) -> Column:
