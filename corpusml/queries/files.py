@@ -102,13 +102,8 @@ def id_list_file(spark, sf_dir):
 @catalog.add(f"SELECT doc_id % {PARTS} AS part, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS total FROM documents GROUP BY part")
 def modulo_parts(spark, sf_dir):
     docs = text.distribute(table(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id", PARTS)
-    loads = [
-        text.take_part(docs, "doc_id", part, PARTS).select(F.lit(part).cast("long").alias("part"), "n_chars") for part in range(PARTS)
-    ]
-    every = loads[0]
-    for load in loads[1:]:
-        every = every.unionByName(load)
-    return every.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("total"))
+    parts = text.with_part(docs, "doc_id", PARTS)
+    return groups.reduce_groups(parts, ["part"], n=F.count(F.lit(1)), total=F.sum("n_chars"))
 
 
 _WORD_COUNTS = rf"""

@@ -67,9 +67,14 @@ def read_id_lists(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return file_rank(lines, "doc_id").select("doc_id", "words")
 
 
+def with_part(df: DataFrame, idx: str, parts: int) -> DataFrame:
+    """Add ``part``: the worker, of ``parts``, that a round-robin load gives a row to."""
+    return df.withColumn("part", F.pmod(F.col(idx), F.lit(parts).cast("long")))
+
+
 def take_part(df: DataFrame, idx: str, part: int, parts: int) -> DataFrame:
-    """The rows that worker ``part`` of ``parts`` loads: every ``parts``-th one."""
-    return df.filter(F.pmod(F.col(idx), F.lit(parts)) == part)
+    """The rows that worker ``part`` loads: every ``parts``-th one."""
+    return with_part(df, idx, parts).filter(F.col("part") == part).drop("part")
 
 
 def distribute(df: DataFrame, idx: str, parts: int) -> DataFrame:
