@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from corpusml.functions.text import characters
 from corpusml.operators.rows import as_map, augment
 from corpusml.operators.sets import difference, union_distinct
+from corpusml.storage import materialize
 
 # Unicode has 0x110000 code points, so a table of characters has a fixed bound.
 MAX_CHARACTERS = 0x110000
@@ -50,6 +51,13 @@ def label_dictionary(*views: DataFrame, max_labels: int = 100_000) -> DataFrame:
     )
 
 
+def dictionaries(*views: DataFrame, labelled: list[DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """The character and the label dictionary, written out: every later step reads them again,
+    and none should go through the names once more for it."""
+    chars = materialize(vocabulary(*views), "dictionary-characters")
+    return chars, materialize(label_dictionary(*labelled), "dictionary-labels")
+
+
 def encode(entities: DataFrame, chars: DataFrame, labels: DataFrame) -> DataFrame:
     """``(idx, chars array<int>, labels array<int>)``; a label not in the dictionary becomes 0."""
     with_maps = augment(entities, chars, lambda v: as_map(v, "char", "char_id"), "char_map", MAX_CHARACTERS)

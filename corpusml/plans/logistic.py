@@ -66,16 +66,19 @@ def targets(docs: DataFrame, labels: list[str], *keep: str) -> DataFrame:
     return docs.select("doc_id", *keep, y.alias("y"))
 
 
-def _per_label(labels: int, one) -> list[Column]:
-    return [one(i) for i in range(labels)]
+def _array(labels: int, one: str) -> Column:
+    """An array with one entry per label; text, as a call per label and operator is slow."""
+    return F.expr("array(" + ", ".join(one.format(i) for i in range(labels)) + ")")
 
 
 def probabilities(features: DataFrame, docs: DataFrame, weights: DataFrame, labels: int) -> DataFrame:
     """Add ``p array<double>`` to the rows of ``docs``; a document without words gets 0.5."""
-    sums = _per_label(labels, lambda i: F.sum(F.col("n") * F.col("w")[i]).alias(f"d{i}"))
-    dots = features.join(weights.select("feature", "w"), "feature").groupBy("doc_id").agg(*sums)
-    p = _per_label(labels, lambda i: logistic(F.coalesce(F.col(f"d{i}"), F.lit(0.0)), CLAMP))
-    return docs.join(dots, "doc_id", "left").select(*[docs[c] for c in docs.columns], F.array(*p).alias("p"))
+    dots = features.join(weights.select("feature", "w"), "feature").groupBy("doc_id").agg(
+        _array(labels, "sum(n * w[{0}])").alias("dots")
+    )
+    even = F.array_repeat(F.lit(0.0), labels)
+    p = F.transform(F.coalesce("dots", even), lambda x: logistic(x, CLAMP))
+    return docs.join(dots, "doc_id", "left").select(*docs.columns, p.alias("p"))
 
 
 def gradient(features: DataFrame, with_p: DataFrame, labels: int) -> DataFrame:
@@ -85,9 +88,7 @@ def gradient(features: DataFrame, with_p: DataFrame, labels: int) -> DataFrame:
     """
     residual = F.zip_with("y", "p", lambda y, p: F.when(F.abs(y - p) >= SKIP, y - p))
     residuals = with_p.select("doc_id", residual.alias("r"))
-    sums = _per_label(labels, lambda i: F.sum(F.col("n") * F.col("r")[i]).alias(f"g{i}"))
-    summed = features.join(residuals, "doc_id").groupBy("feature").agg(*sums)
-    return summed.select("feature", F.array(*_per_label(labels, lambda i: F.col(f"g{i}"))).alias("g"))
+    return features.join(residuals, "doc_id").groupBy("feature").agg(_array(labels, "sum(n * r[{0}])").alias("g"))
 
 
 def shrink(w: Column, last: Column, step: Column, rate: float, s: Settings) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from corpusml.functions.text import is_content_word, words
 from corpusml.operators.groups import count_groups, roll_up_counters
 from corpusml.operators.ranking import top_k
-from corpusml.operators.rows import augment, label_words
+from corpusml.operators.rows import augment, fits, label_words
 from corpusml.storage import materialize
 
 
@@ -93,58 +93,98 @@ def label_model(model: Counts) -> DataFrame:
     return with_totals.select("label", prior.alias("prior"), floor.alias("floor"))
 
 
-def seen_words(model: Counts, docs: DataFrame) -> DataFrame:
-    """``(doc_id, known, seen)``: per document the number of its words that the model knows,
-    and per label ``(m, s)``: how many of them the label has, and their summed
-    ``log(count + 1)``."""
-    # Every document carries one placeholder that equals no word, so that it survives without
-    # words; holding the id, placeholders do not gather in one join partition.
+def term_counts(docs: DataFrame) -> DataFrame:
+    """``(doc_id, word, tf)``: occurrences of every content word per document.
+
+    Every document carries one placeholder that equals no word, so that it survives without
+    words; holding the id, placeholders do not gather in one join partition.
+    """
     placeholder = F.concat(F.lit(" "), F.col("doc_id").cast("string"))
     tokens = docs.select("doc_id", F.explode(F.array_append(words("text"), placeholder)).alias("word"))
     tokens = tokens.withColumn("word", F.lower("word")).filter(is_content_word(F.col("word")))
-    term_counts = count_groups(tokens, ["doc_id", "word"], "tf")
+    return count_groups(tokens, ["doc_id", "word"], "tf")
+
+
+def score(model: Counts, docs: DataFrame, max_columns: int = 200) -> DataFrame:
+    """``(doc_id, scores)``: the log score of every label of the model, per document.
+
+    With full smoothing a label's score is
+    ``prior + sum of log(count + 1) over seen words - known * log(word total + vocabulary)``,
+    with ``known`` the words of the document that the model has. Labels a document shares no
+    word with therefore need no row of their own.
+
+    Up to ``max_columns`` labels are summed side by side, one row per document and word. With
+    more labels, each pair of a document and a label it shares a word with is a row.
+    """
+    table = label_model(model)
+    if fits(table, max_columns):
+        return _score_columns(model, docs, sorted(table.collect()))
+    return _score_rows(model, docs, table)
+
+
+def _score_columns(model: Counts, docs: DataFrame, table: list) -> DataFrame:
+    names = F.array(*[F.lit(row["label"]) for row in table])
     # One row per word on the model side, so a hot word can be split on the document side.
+    logs = word_lists(model).select(
+        "word",
+        F.map_from_entries(F.transform("entries", lambda e: F.struct(e["label"], F.log(e["n"] + 1.0)))).alias("m"),
+    )
+    vectors = logs.select("word", F.transform(names, lambda y: F.try_element_at("m", y)).alias("v"))
+    # Expressions as text: a call per operator and label would take longer than a small query.
+    every = range(len(table))
+    seen = "array(" + ", ".join(f"sum(tf * v[{i}])" for i in every) + ")"
+    used = "array(" + ", ".join(f"sum(if(v[{i}] IS NULL, 0, tf))" for i in every) + ")"
+    sums = term_counts(docs).join(vectors, "word", "left").groupBy("doc_id").agg(
+        F.expr("sum(if(v IS NULL, 0, tf))").alias("known"),
+        F.expr(seen).alias("s"),
+        *([F.expr(used).alias("m")] if model.compat else []),
+    )
+    if model.compat:
+        sums = sums.filter("known > 0")
+    weight = "m[{0}]" if model.compat else "known"
+
+    def one(i: int) -> str:
+        floor, prior = repr(float(table[i]["floor"])), repr(float(table[i]["prior"]))
+        return f"coalesce(s[{i}], 0D) - {weight.format(i)} * {floor}D + {prior}D"
+
+    values = F.expr("array(" + ", ".join(map(one, every)) + ")")
+    scored = sums.withColumn("scores", F.zip_with(names, values, lambda y, x: F.struct(y.alias("label"), x.alias("score"))))
+    if model.compat:
+        scored = scored.withColumn("scores", F.filter("scores", lambda _, i: F.col("m")[i] > 0))
+    return scored.select("doc_id", "scores")
+
+
+def _score_rows(model: Counts, docs: DataFrame, table: DataFrame) -> DataFrame:
     # An entry without label marks the word as known.
     known = F.struct(F.lit(None).cast("string").alias("label"), F.lit(0).cast("long").alias("n"))
     model_side = word_lists(model).withColumn("entries", F.concat(F.array(known), "entries"))
-    joined = term_counts.join(model_side, "word", "left").select("doc_id", "tf", F.explode_outer("entries").alias("e"))
-    per_label = joined.groupBy("doc_id", F.col("e.label").alias("label")).agg(
+    joined = term_counts(docs).join(model_side, "word", "left")
+    per_label = joined.select("doc_id", "tf", F.explode_outer("entries").alias("e")).groupBy(
+        "doc_id", F.col("e.label").alias("label")
+    ).agg(
         F.sum(F.when(F.col("e").isNotNull(), F.col("tf")).otherwise(0)).alias("m"),
         F.sum(F.col("tf") * F.log(F.col("e.n") + 1.0)).alias("s"),
     )
-    return per_label.groupBy("doc_id").agg(
+    seen = per_label.groupBy("doc_id").agg(
         F.sum(F.when(F.col("label").isNull(), F.col("m"))).alias("known"),
         F.map_from_entries(
             F.collect_list(F.when(F.col("label").isNotNull(), F.struct("label", F.struct("m", "s"))))
         ).alias("seen"),
     )
-
-
-def score(model: Counts, docs: DataFrame, max_labels: int = 100_000) -> DataFrame:
-    """``(doc_id, scores)``: the log score of every label of the model, per document.
-
-    With full smoothing a label's score is
-    ``prior + sum of log(count + 1) over seen words - known * log(word total + vocabulary)``,
-    so labels a document shares no word with need no row of their own.
-    """
-    seen = seen_words(model, docs)
-    table = augment(
-        seen, label_model(model), lambda v: v.agg(F.sort_array(F.collect_list(F.struct("*")))), "table", max_labels
-    )
+    stored = materialize(table, "nb-label-model")
+    rows = augment(seen, stored, lambda v: v.agg(F.sort_array(F.collect_list(F.struct("*")))), "table")
+    labels = F.col("table")
     if model.compat:
-        table = table.filter(F.col("known") > 0)
+        rows = rows.filter(F.col("known") > 0)
         labels = F.filter("table", lambda y: F.map_contains_key("seen", y["label"]))
-        weight = lambda hit: hit["m"]
-    else:
-        labels = F.col("table")
-        weight = lambda hit: F.col("known")
 
     def one(y: Column) -> Column:
         hit = F.try_element_at("seen", y["label"])
-        value = F.coalesce(hit["s"], F.lit(0.0)) - weight(hit) * y["floor"] + y["prior"]
+        weight = hit["m"] if model.compat else F.col("known")
+        value = F.coalesce(hit["s"], F.lit(0.0)) - weight * y["floor"] + y["prior"]
         return F.struct(y["label"].alias("label"), value.alias("score"))
 
-    return table.select("doc_id", F.transform(labels, one).alias("scores"))
+    return rows.select("doc_id", F.transform(labels, one).alias("scores"))
 
 
 def predict(model: Counts, docs: DataFrame) -> DataFrame:

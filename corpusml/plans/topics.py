@@ -62,9 +62,14 @@ def num_words(docs: DataFrame) -> int:
 
 # counts -----------------------------------------------------------------------------------
 
-def initial_topics(docs: DataFrame, topics: int, seed: int = 0) -> DataFrame:
-    """Add ``z``: a topic for every position, drawn by hash."""
+def initial_topics(docs: DataFrame, topics: int, seed: int = 0, portable: bool = False) -> DataFrame:
+    """Add ``z``: a topic for every position, drawn by hash of seed, document and position.
+
+    ``portable`` draws with a hash that other SQL engines have as well.
+    """
     def draw(_: Column, i: Column) -> Column:
+        if not portable:
+            return F.pmod(F.xxhash64(F.lit(seed), "doc_id", i), F.lit(topics).cast("long")).cast("int")
         text = F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string"), i.cast("string"))
         return (digest_bits(text) % topics).cast("int")
 

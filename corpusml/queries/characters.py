@@ -33,7 +33,7 @@ _PLACED = f"""{_CHARS},
 
 def _dictionaries(spark, sf_dir):
     train, other = entities(spark, sf_dir), more_entities(spark, sf_dir)
-    return train, characters.vocabulary(train, other), characters.label_dictionary(train)
+    return train, *characters.dictionaries(train, other, labelled=[train])
 
 
 def _encoded(spark, sf_dir):

@@ -174,7 +174,7 @@ def _topics(spark, sf_dir):
     tokens = turns.select(doc_id, F.posexplode(words("text")).alias("pos", "word"))
     vocab = materialize(topics.vocabulary(tokens), "query-vocabulary")
     docs = topics.word_id_documents(tokens, vocab)
-    return topics.word_topic_counts(topics.initial_topics(docs, TOPICS)), vocab
+    return topics.word_topic_counts(topics.initial_topics(docs, TOPICS, portable=True)), vocab
 
 
 _SQL_TOPICS = rf"""

@@ -40,7 +40,7 @@ def _documents(spark, sf_dir):
 
 def _assigned(spark, sf_dir):
     docs, vocab = _documents(spark, sf_dir)
-    return topics.initial_topics(docs, SETTINGS.topics, SETTINGS.seed), vocab
+    return topics.initial_topics(docs, SETTINGS.topics, SETTINGS.seed, portable=True), vocab
 
 
 @catalog.add(f"WITH {_WORDS} SELECT word, word_id FROM vocab")
@@ -104,7 +104,7 @@ _A, _B, _K = SETTINGS.alpha, SETTINGS.beta, SETTINGS.topics
 def lda_log_likelihood(spark, sf_dir):
     docs, _ = _documents(spark, sf_dir)
     docs = topics.materialize(docs, "query-docs")
-    state = topics.initial_topics(docs, SETTINGS.topics, SETTINGS.seed)
+    state = topics.initial_topics(docs, SETTINGS.topics, SETTINGS.seed, portable=True)
     parts = topics.log_likelihood(
         topics.word_topic_counts(state), topics.document_topic_counts(state), topics.num_words(docs), SETTINGS
     )

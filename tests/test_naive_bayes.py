@@ -48,11 +48,12 @@ def by_hand(text, compat):
     return out
 
 
+@pytest.mark.parametrize("max_columns", [200, 1])
 @pytest.mark.parametrize("compat", [False, True])
-def test_scores_against_hand_computation(spark, compat):
+def test_scores_against_hand_computation(spark, compat, max_columns):
     train, test = frames(spark)
-    trained = naive_bayes.count(train, compat=compat)
-    got = {r["doc_id"]: {s["label"]: s["score"] for s in r["scores"]} for r in naive_bayes.score(trained, test).collect()}
+    scored = naive_bayes.score(naive_bayes.count(train, compat=compat), test, max_columns)
+    got = {r["doc_id"]: {s["label"]: s["score"] for s in r["scores"]} for r in scored.collect()}
     wanted = {i: by_hand(text, compat) for i, text in TEST}
     if compat:
         wanted = {i: s for i, s in wanted.items() if s}
