@@ -76,14 +76,10 @@ def fold_groups(
     return folded.drop("piece")
 
 
-def concat_lists(df: DataFrame, keys: list[str], lists: str, name: str) -> DataFrame:
-    """Concatenate the list values of each group, in sorted order.
-
-    For groups whose size the data bounds, such as the words of one document; other groups
-    go through :func:`group_rows` after exploding the lists.
-    """
-    flat = F.flatten(F.collect_list(lists))
-    return reduce_groups(df, keys, **{name: F.sort_array(flat)})
+def concat_lists(df: DataFrame, keys: list[str], lists: str, piece_rows: int = 10_000) -> DataFrame:
+    """Concatenate the list values of each group, in pieces as :func:`group_rows` gives them."""
+    items = df.select(*keys, F.explode(lists).alias("item"))
+    return group_rows(items, keys, F.col("item"), piece_rows)
 
 
 def roll_up_counters(word_counts: DataFrame, document_counts: DataFrame) -> DataFrame:

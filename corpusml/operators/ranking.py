@@ -18,7 +18,7 @@ def top_k(df: DataFrame, group: str, order: list[Column], k: int) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
 
 
-def hashed_rank(df: DataFrame, digest: Column, tie: Column, name: str = "rank", bits: int = 12) -> DataFrame:
+def hashed_rank(df: DataFrame, digest: Column, tie: Column, name: str = "rank", bits: int = 16) -> DataFrame:
     """0-based position of every row when sorted by ``(digest, tie)``.
 
     ``digest`` is a 32-bit hash (see :func:`corpusml.functions.text.digest_bits`) of something
@@ -42,7 +42,7 @@ def file_rank(lines: DataFrame, name: str = "idx") -> DataFrame:
     return _numbered(lines, ["path", "block"], ["position"], name).drop("path", "block", "position")
 
 
-def shuffled_rank(df: DataFrame, idx: str, seed: int, epoch: int, name: str = "rank", bits: int = 12) -> DataFrame:
+def shuffled_rank(df: DataFrame, idx: str, seed: int, epoch: int, name: str = "rank", bits: int = 16) -> DataFrame:
     """Position of every row in a permutation that depends only on seed, epoch and row id."""
     text = F.concat_ws(":", F.lit(str(seed)), F.lit(str(epoch)), F.col(idx).cast("string"))
     return hashed_rank(df, digest_bits(text), F.col(idx), name, bits)

@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Rows of a side view that every task may hold.
+MAX_SIDE_ROWS = 100_000
+
+
 def map_rows(df: DataFrame, *keep: Column | str, **computed: Column) -> DataFrame:
     """One output row per input row: the kept columns and the computed ones."""
     return df.select(*keep, *[expr.alias(name) for name, expr in computed.items()])
@@ -44,8 +48,8 @@ def label_words(docs: DataFrame, words: Column, *keep: str, labels: str = "label
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Use all cores on an input that is stored in too few splits.
 
-    A table in at least as many splits as there are cores, as any large one is, passes
-    through untouched. Smaller ones are hashed on the given keys.
+    For tables as read from files: a table in at least as many splits as there are cores, as
+    any large one is, passes through untouched. Smaller ones are hashed on the given keys.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
@@ -71,7 +75,7 @@ def augment(
     sides: DataFrame | list[DataFrame],
     loaded_by: Callable[..., DataFrame],
     name: str = "side",
-    max_rows: int = 100_000,
+    max_rows: int = MAX_SIDE_ROWS,
 ) -> DataFrame:
     """Pair every row with a value loaded from whole side views.
 
@@ -88,6 +92,14 @@ def augment(
     return df.withColumn(name, loaded_by(*sides).scalar())
 
 
-def as_map(side: DataFrame, key: str, value: str) -> DataFrame:
-    """One row holding a two-column view as a map; a loader for :func:`augment`."""
-    return side.agg(F.map_from_entries(F.collect_list(F.struct(key, value))).alias("entries"))
+def as_map(side: DataFrame, key: str, value: str, max_rows: int = MAX_SIDE_ROWS) -> DataFrame:
+    """One row holding a two-column view as a map; a loader for :func:`augment`.
+
+    A larger view is an error. The limit is one above the bound, so that no task gathers more
+    than that before the excess is noticed.
+    """
+    gathered = side.limit(max_rows + 1).agg(F.collect_list(F.struct(key, value)).alias("pairs"))
+    too_many = F.raise_error(F.lit(f"side view has more than {max_rows} rows; use joins.lookup"))
+    return gathered.select(
+        F.when(F.size("pairs") <= max_rows, F.map_from_entries("pairs")).otherwise(too_many).alias("entries")
+    )

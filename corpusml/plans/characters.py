@@ -60,7 +60,7 @@ def dictionaries(*views: DataFrame, labelled: list[DataFrame]) -> tuple[DataFram
 
 def encode(entities: DataFrame, chars: DataFrame, labels: DataFrame) -> DataFrame:
     """``(idx, chars array<int>, labels array<int>)``; a label not in the dictionary becomes 0."""
-    with_maps = augment(entities, chars, lambda v: as_map(v, "char", "char_id"), "char_map", MAX_CHARACTERS)
+    with_maps = augment(entities, chars, lambda v: as_map(v, "char", "char_id", MAX_CHARACTERS), "char_map", MAX_CHARACTERS)
     with_maps = augment(with_maps, labels, lambda v: as_map(v, "label", "label_id"), "label_map")
     return with_maps.select(
         "idx",

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from corpusml.functions.text import is_content_word, words
 from corpusml.operators.groups import count_groups, roll_up_counters
 from corpusml.operators.ranking import top_k
-from corpusml.operators.rows import augment, fits, label_words
+from corpusml.operators.rows import augment, label_words
 from corpusml.storage import materialize
 
 
@@ -85,9 +85,7 @@ def label_model(model: Counts) -> DataFrame:
     per_label = model.labels.withColumnRenamed("n", "documents").join(
         model.label_words().withColumnRenamed("n", "word_total"), "label"
     )
-    with_totals = augment(
-        per_label, model.totals(), lambda t: t.select(F.struct("*").alias("t")), "t", max_rows=1
-    )
+    with_totals = per_label.withColumn("t", model.totals().select(F.struct("*")).scalar())
     prior = F.log(F.col("documents") + 1.0) - F.log(F.col("t.label_total") + F.col("t.num_labels"))
     floor = F.log(F.col("word_total") + F.col("t.vocabulary"))
     return with_totals.select("label", prior.alias("prior"), floor.alias("floor"))
@@ -117,21 +115,23 @@ def score(model: Counts, docs: DataFrame, max_columns: int = 200) -> DataFrame:
     more labels, each pair of a document and a label it shares a word with is a row.
     """
     table = label_model(model)
-    if fits(table, max_columns):
-        return _score_columns(model, docs, sorted(table.collect()))
+    rows = table.limit(max_columns + 1).collect()
+    if len(rows) <= max_columns:
+        return _score_columns(model, docs, sorted(rows))
     return _score_rows(model, docs, table)
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _score_columns(model: Counts, docs: DataFrame, table: list) -> DataFrame:
     names = F.array(*[F.lit(row["label"]) for row in table])
-    # One row per word on the model side, so a hot word can be split on the document side.
-    logs = word_lists(model).select(
-        "word",
-        F.map_from_entries(F.transform("entries", lambda e: F.struct(e["label"], F.log(e["n"] + 1.0)))).alias("m"),
-    )
-    vectors = logs.select("word", F.transform(names, lambda y: F.try_element_at("m", y)).alias("v"))
     # Expressions as text: a call per operator and label would take longer than a small query.
     every = range(len(table))
+    # One row per word on the model side, so a hot word can be split on the document side.
+    logs = ", ".join(f"max(if(label = {_quoted(row['label'])}, ln(n + 1D), NULL))" for row in table)
+    vectors = model.words.groupBy("word").agg(F.expr(f"array({logs})").alias("v"))
     seen = "array(" + ", ".join(f"sum(tf * v[{i}])" for i in every) + ")"
     used = "array(" + ", ".join(f"sum(if(v[{i}] IS NULL, 0, tf))" for i in every) + ")"
     sums = term_counts(docs).join(vectors, "word", "left").groupBy("doc_id").agg(

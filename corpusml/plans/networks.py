@@ -253,7 +253,7 @@ def partial_sums(examples: DataFrame, model: Model, shape: Shape, shared, with_g
             values = np.concatenate([values, summed[touched]])
         yield pd.DataFrame({"slot": np.asarray(slots, dtype=np.int32), "value": values})
 
-    return spread(examples.select("idx", "x", "y"), "idx").select("x", "y").mapInPandas(block, "slot int, value double")
+    return examples.select("x", "y").mapInPandas(block, "slot int, value double")
 
 
 def evaluate(
@@ -301,13 +301,13 @@ def train(examples: DataFrame, valid: DataFrame, model: Model, shape: Shape, s:
         )
         count = placed.agg(F.max("batch")).first()[0]
         for batch in range(0 if count is None else count + 1):
-            rows = placed.filter(F.col("batch") == batch)
+            rows = spread(placed.filter(F.col("batch") == batch), "idx")
             loss, _, grad = evaluate(rows, model, shape, p, with_gradient=True)
             p = {k: p[k] - s.learning_rate * grad[k] for k in p}
             history.train_loss.append((step, loss))
             step += 1
         discard(placed)
-        loss, _, _ = evaluate(valid, model, shape, p, with_gradient=False)
+        loss, _, _ = evaluate(spread(valid, "idx"), model, shape, p, with_gradient=False)
         history.valid_loss.append((epoch, loss))
         if loss < best_loss:
             best, best_loss = p, loss

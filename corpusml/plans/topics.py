@@ -234,7 +234,7 @@ def sample(state: DataFrame, word_topics: DataFrame, words: int, stream: int, s:
     for row in topic_counts(word_topics).collect():
         totals[row["topic"]] = row["n"]
     schema = _STATE.format(id_type=state.schema["doc_id"].dataType.simpleString())
-    rows = spread(state, "doc_id").withColumn("key", F.xxhash64("doc_id"))
+    rows = state.withColumn("key", F.xxhash64("doc_id"))
 
     if words * s.topics * 4 <= s.max_broadcast_bytes:
         table = np.zeros((words, s.topics), dtype=np.int32)
@@ -291,7 +291,7 @@ def train(docs: DataFrame, words: int, s: Settings, likelihood: bool = True) ->
     for sweep in range(s.sweeps):
         began = time.monotonic()
         for c in range(s.clocks):
-            new = materialize(sample(states[c], _total(counts), words, sweep, s), "topics-state")
+            new = materialize(sample(spread(states[c], "doc_id"), _total(counts), words, sweep, s), "topics-state")
             new_counts = materialize(word_topic_counts(new), "topics-counts")
             if not fresh:
                 discard(states[c])

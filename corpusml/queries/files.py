@@ -81,20 +81,18 @@ def percent_encoded_entities(spark, sf_dir):
     return text.read_entities(spark, path).select(F.col("labels")[0].cast("long").alias("page_id"), "entity")
 
 
-@catalog.add("""
-    SELECT o_custkey - (SELECT min(o_custkey) FROM orders) AS first_gap, len(k) AS n, array_to_string(k, ',') AS items
-    FROM (SELECT o_custkey, list(o_orderkey ORDER BY o_orderkey) AS k FROM orders GROUP BY o_custkey)
+@catalog.add(r"""
+    SELECT doc_id, len(w) AS n, array_to_string(list_transform(w, lambda x: length(x)), ',') AS items
+    FROM (SELECT doc_id, regexp_extract_all(text, '\w+') AS w FROM documents)
 """)
 def id_list_file(spark, sf_dir):
+    """Ragged integer lines, here the id of a document and the lengths of its words."""
     path = scratch_path(spark, "ids")
-    orders = table(spark, sf_dir, "orders")
-    lists = groups.concat_lists(orders.select("o_custkey", F.array("o_orderkey").alias("k")), ["o_custkey"], "k", "k")
-    ids = F.concat(F.array("o_custkey"), "k").cast("array<string>")
-    sinks.write_lines(lists, F.array_join(ids, ","), path)
-    least = orders.agg(F.min("o_custkey")).scalar()
+    ids = F.concat(F.array("doc_id"), F.transform(words("text"), F.length)).cast("array<string>")
+    sinks.write_lines(documents(spark, sf_dir), F.array_join(ids, ","), path)
     items = F.slice("words", F.lit(2), F.size("words") - 1)
     return text.read_id_lists(spark, path).select(
-        (F.col("words")[0].cast("long") - least).alias("first_gap"), F.size(items).cast("long").alias("n"),
+        F.col("words")[0].cast("long").alias("doc_id"), F.size(items).cast("long").alias("n"),
         F.array_join(items.cast("array<string>"), ",").alias("items"),
     )
 

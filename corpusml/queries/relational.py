@@ -237,13 +237,13 @@ def group_fold(spark, sf_dir):
 
 
 @catalog.add("""
-    SELECT o_custkey, string_agg(item, ',' ORDER BY item) AS items
+    SELECT o_custkey, CAST(0 AS BIGINT) AS piece, CAST(1 AS BIGINT) AS pieces, string_agg(item, ',' ORDER BY item) AS items
     FROM (SELECT o_custkey, unnest([o_orderstatus, o_orderpriority]) AS item FROM orders)
     GROUP BY o_custkey
 """)
 def group_list_concat(spark, sf_dir):
     pairs = table(spark, sf_dir, "orders").select("o_custkey", F.array("o_orderstatus", "o_orderpriority").alias("pair"))
-    lists = groups.concat_lists(pairs, ["o_custkey"], "pair", "items")
+    lists = groups.concat_lists(pairs, ["o_custkey"], "pair")
     return lists.withColumn("items", F.array_join("items", ","))
 
 

@@ -30,6 +30,8 @@ def build_session(
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Rows can be long texts; keep an Arrow batch to a size a Python worker can hold.
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
     }
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

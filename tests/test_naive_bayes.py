@@ -92,6 +92,12 @@ def test_a_label_without_words_counts(spark):
     assert rows(naive_bayes.count(docs).label_words()) == [("A", 1), ("B", 0)]
 
 
+def test_labels_may_hold_quotes(spark):
+    docs = spark.createDataFrame([(1, ["it's \\"], "xx"), (2, ["B"], "zz")], "doc_id long, labels array<string>, text string")
+    chosen = naive_bayes.predict(naive_bayes.count(docs), docs)
+    assert {r["doc_id"]: r["label"] for r in chosen.collect()} == {1: "it's \\", 2: "B"}
+
+
 def test_top_words(spark):
     counts = spark.createDataFrame([("A", f"w{i:02d}", i // 2) for i in range(40)], "label string, word string, n long")
     got = naive_bayes.top_words(counts, 10).orderBy("rank").collect()

@@ -73,6 +73,13 @@ def test_augment_checks_the_size_and_the_loader(spark):
         R.augment(spark.range(2), side, lambda s: s).collect()
 
 
+def test_a_map_of_a_large_view_is_an_error(spark):
+    side = spark.range(10).withColumn("v", F.col("id"))
+    assert len(R.as_map(side, "id", "v", 10).first()[0]) == 10
+    with pytest.raises(Exception):
+        R.as_map(side, "id", "v", 9).collect()
+
+
 def test_only_row(spark):
     assert R.only_row(spark.range(1))["id"] == 0
     for n in (0, 2):
@@ -123,7 +130,7 @@ def test_fold_over_pieces(spark):
 
 def test_concat_lists(spark):
     df = spark.createDataFrame([("d", [3, 1]), ("d", [2]), ("e", [])], "k string, xs array<int>")
-    assert rows(groups.concat_lists(df, ["k"], "xs", "xs")) == [("d", [1, 2, 3]), ("e", [])]
+    assert rows(groups.concat_lists(df, ["k"], "xs")) == [("d", 0, 1, [1, 2, 3])]
 
 
 def test_roll_up_counters(spark):
