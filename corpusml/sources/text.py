@@ -33,12 +33,20 @@ def _field(i: int) -> Column:
     return F.get(F.split("value", "\t"), F.lit(i))
 
 
-def read_labelled(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Labelled documents, one per line: ``doc_id \\t label,label,… \\t text``."""
-    labels = F.filter(F.split(_field(1), ","), lambda x: F.length(x) > 0)
-    return read_lines(spark, path).select(
-        _field(0).alias("doc_id"), labels.alias("labels"), _field(2).alias("text")
-    )
+def _labels() -> Column:
+    return F.filter(F.split(_field(1), ","), lambda x: F.length(x) > 0)
+
+
+def read_labelled(spark: SparkSession, path: str | list[str], numbered: bool = False) -> DataFrame:
+    """Labelled documents, one per line: ``doc_id \\t label,label,… \\t text``.
+
+    ``numbered`` adds ``idx``, the line number.
+    """
+    fields = [_field(0).alias("doc_id"), _labels().alias("labels"), _field(2).alias("text")]
+    if not numbered:
+        return read_lines(spark, path).select(*fields)
+    lines = numbered_lines(spark, path).select(*fields, "path", "block", "position")
+    return file_rank(lines).select("idx", "doc_id", "labels", "text")
 
 
 def read_unlabelled(spark: SparkSession, path: str | list[str]) -> DataFrame:
