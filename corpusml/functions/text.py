@@ -63,14 +63,20 @@ def hash_bucket(value: Column | str, buckets: int, portable: bool = False) -> Co
     digest, which other SQL engines compute alike.
     """
     value = F.col(value) if isinstance(value, str) else value
-    if portable:
-        return digest_bits(value) % F.lit(buckets).cast("long")
-    return F.pmod(F.xxhash64(value), F.lit(buckets).cast("long"))
+    size = F.lit(buckets).cast("long")
+    bucket = digest_bits(value) % size if portable else F.pmod(F.xxhash64(value), size)
+    return _never_null(bucket)
 
 
 def digest_bits(value: Column) -> Column:
-    """First 32 bits of the MD5 digest of a string, as a non-negative long."""
-    return F.conv(F.substring(F.md5(value), 1, 8), 16, 10).cast("long")
+    """First 32 bits of the MD5 digest of a string, as a non-negative long; 0 for NULL."""
+    return _never_null(F.conv(F.substring(F.md5(value), 1, 8), 16, 10).cast("long"))
+
+
+def _never_null(number: Column) -> Column:
+    # A join on a value that might be NULL filters it first, and the filter moves below the
+    # grouping that made the join side small: the hash would run twice, once per token.
+    return F.coalesce(number, F.lit(0).cast("long"))
 
 
 def characters(text: Column | str) -> Column:

@@ -27,9 +27,8 @@ def hashed_rank(df: DataFrame, digest: Column, tie: Column, name: str = "rank",
     ``bits`` so that ``2 ** bits`` ranges keep one range within a task; the range table has
     at most that many rows.
     """
-    width = 1 << (32 - bits)
     rows = df.withColumn("_digest", digest).withColumn("_tie", tie)
-    rows = rows.withColumn("_range", F.floor(F.col("_digest") / width).cast("long"))
+    rows = rows.withColumn("_range", F.shiftright("_digest", 32 - bits))
     return _numbered(rows, ["_range"], ["_digest", "_tie"], name).drop("_digest", "_tie", "_range")
 
 

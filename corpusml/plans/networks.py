@@ -203,10 +203,10 @@ def prepare(encoded: DataFrame, shape: Shape, model: Model, normalize: bool = Tr
 
 
 def _inputs(x: pd.Series, max_len: int) -> np.ndarray:
+    lengths = x.map(len).to_numpy()
+    flat = np.concatenate(x.to_list()).astype(np.float64)
     block = np.full((len(x), max_len), -1, dtype=np.int64)
-    for i, ids in enumerate(x):
-        ids = np.asarray(ids, dtype=np.float64)
-        block[i, : len(ids)] = np.where(np.isnan(ids), -1, ids)
+    block[np.arange(max_len) < lengths[:, None]] = np.where(np.isnan(flat), -1, flat)
     return block
 
 

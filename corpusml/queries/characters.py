@@ -125,8 +125,8 @@ def minibatch_assign(spark, sf_dir):
     return batches.assign(entities(spark, sf_dir).select("idx"), "idx", 64, seed=3, epoch=1)
 
 
-def _hashed_parameters(shape: networks.Shape) -> networks.Parameters:
-    """Perceptron parameters that SQL can compute as well: a hash of name and place in [-0.5, 0.5)."""
+def _hashed_parameters(model: networks.Model, shape: networks.Shape) -> networks.Parameters:
+    """Parameters that SQL can compute as well: a hash of name and place in [-0.5, 0.5)."""
     import hashlib
 
     import numpy as np
@@ -135,13 +135,9 @@ def _hashed_parameters(shape: networks.Shape) -> networks.Parameters:
         text = ":".join([name, *map(str, place)])
         return int(hashlib.md5(text.encode()).hexdigest()[:8], 16) / 2**32 - 0.5
 
-    sizes = {
-        "w1": (shape.max_len * shape.num_chars, shape.hidden), "b1": (shape.hidden,),
-        "w2": (shape.hidden, shape.num_labels), "b2": (shape.num_labels,),
-    }
     return {
-        name: np.array([value(name, *place) for place in np.ndindex(*size)]).reshape(size)
-        for name, size in sizes.items()
+        name: np.array([value(name, *place) for place in np.ndindex(*like.shape)]).reshape(like.shape)
+        for name, like in model.initial(shape, 0).items()
     }
 
 
@@ -175,7 +171,7 @@ def _prepared(spark, sf_dir, model: networks.Model, hidden: int = 50):
 """)
 def mlp_probabilities(spark, sf_dir):
     examples, shape = _prepared(spark, sf_dir, networks.MLP, _HIDDEN)
-    scored = networks.predict(examples, networks.MLP, shape, _hashed_parameters(shape))
+    scored = networks.predict(examples, networks.MLP, shape, _hashed_parameters(networks.MLP, shape))
     flat = scored.select("idx", F.posexplode("probs").alias("label_id", "p"))
     return flat.withColumn("p", places("p"))
 
@@ -185,7 +181,10 @@ def mlp_probabilities(spark, sf_dir):
         SELECT probs.idx, label_id, CASE WHEN open THEN p - CASE WHEN label_id = true_id THEN 1.0 ELSE 0.0 END ELSE 0.0 END AS e,
                CASE WHEN label_id = true_id THEN -ln(p) ELSE 0.0 END AS loss
         FROM probs JOIN truth USING (idx)),
-    n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM part)
+    n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM part),
+    back AS MATERIALIZED (
+        SELECT idx, h, CASE WHEN any_value(v) > 0 THEN sum(e * ({_UNIT.format("'w2:' || h || ':' || label_id")})) ELSE 0.0 END AS g
+        FROM err JOIN o1 USING (idx) GROUP BY idx, h)
     SELECT 'loss' AS slot, {sql_places("sum(loss) / any_value(n.n)")} AS v FROM err, n
     UNION ALL
     SELECT 'b2:' || label_id, {sql_places("sum(e) / any_value(n.n)")} FROM err, n GROUP BY label_id
@@ -193,16 +192,20 @@ def mlp_probabilities(spark, sf_dir):
     SELECT 'w2:' || h || ':' || label_id, {sql_places("sum(v * e) / any_value(n.n)")}
     FROM err JOIN o1 USING (idx), n GROUP BY h, label_id
     UNION ALL
-    SELECT 'b1:' || h, {sql_places("sum(CASE WHEN v > 0 THEN back ELSE 0.0 END) / any_value(n.n)")}
-    FROM (SELECT idx, h, sum(e * ({_UNIT.format("'w2:' || h || ':' || label_id")})) AS back
-          FROM err CROSS JOIN hid GROUP BY idx, h) JOIN o1 USING (idx, h), n GROUP BY h
+    SELECT 'b1:' || h, {sql_places("sum(g) / any_value(n.n)")} FROM back, n GROUP BY h
+    UNION ALL
+    SELECT 'w1:' || (pos * (SELECT count(*) FROM chars) + char_id) || ':' || h, {sql_places("sum(g) / any_value(n.n)")}
+    FROM placed JOIN back USING (idx), n WHERE pos < {MAX_LEN} GROUP BY pos, char_id, h
 """)
 def mlp_gradient(spark, sf_dir):
     examples, shape = _prepared(spark, sf_dir, networks.MLP, _HIDDEN)
-    loss, _, grad = networks.evaluate(examples, networks.MLP, shape, _hashed_parameters(shape), True)
+    loss, _, grad = networks.evaluate(examples, networks.MLP, shape, _hashed_parameters(networks.MLP, shape), True)
     rows = [("loss", loss)]
     for name in ("b1", "b2", "w2"):
         rows += [(":".join([name, *map(str, at)]), float(v)) for at, v in _indexed(grad[name])]
+    # A place and character that no name has got no gradient, and no row in SQL.
+    used = grad["w1"].any(axis=1)
+    rows += [(f"w1:{i}:{h}", float(v)) for (i, h), v in _indexed(grad["w1"]) if used[i]]
     out = spark.createDataFrame(rows, "slot string, v double")
     return out.withColumn("v", places("v"))
 
@@ -213,6 +216,56 @@ def _indexed(array):
     return np.ndenumerate(array)
 
 
+_GATES = networks.GATES
+
+
+def _unit(text: str) -> str:
+    return "(" + _UNIT.format(text) + ")"
+
+
+def _lstm_sql() -> str:
+    """The recurrent layer unrolled: one table of hidden and cell values per step."""
+    each = lambda pattern: ", ".join(pattern.format(g=g) for g in _GATES)
+    sigmoid = "1.0 / (1.0 + exp(-({0})))"
+    gate = {g: f"(r{g} + b{g} + coalesce(w{g}, 0.0))" for g in _GATES}
+    parts = [
+        f"WITH {_PLACED}",
+        f"hid AS (SELECT unnest(range(0, {_HIDDEN})) AS h)",
+        "ww AS MATERIALIZED (SELECT char_id, h, " + each("{{}} AS w{g}").format(
+            *[_unit(f"'w{g}:' || char_id || ':' || h") for g in _GATES]) + " FROM chars CROSS JOIN hid)",
+        "uu AS MATERIALIZED (SELECT a.h AS k, b.h AS h, " + each("{{}} AS u{g}").format(
+            *[_unit(f"'u{g}:' || a.h || ':' || b.h") for g in _GATES]) + " FROM hid a CROSS JOIN hid b)",
+        "bb AS MATERIALIZED (SELECT h, " + each("{{}} AS b{g}").format(
+            *[_unit(f"'b{g}:' || h") for g in _GATES]) + " FROM hid)",
+        "s0 AS (SELECT p_partkey AS idx, h, 0.0::DOUBLE AS hv, 0.0::DOUBLE AS cv FROM part CROSS JOIN hid)",
+    ]
+    for t in range(1, MAX_LEN + 1):
+        parts.append(f"""s{t} AS MATERIALIZED (
+            SELECT idx, h, {sigmoid.format(gate["o"])} * tanh(c) AS hv, c AS cv FROM (
+                SELECT *, {sigmoid.format(gate["f"])} * cv + {sigmoid.format(gate["i"])} * tanh({gate["c"]}) AS c
+                FROM (SELECT idx, uu.h, {each("sum(hv * u{g}) AS r{g}")} FROM s{t - 1} JOIN uu ON uu.k = s{t - 1}.h
+                      GROUP BY idx, uu.h)
+                JOIN s{t - 1} USING (idx, h) JOIN bb USING (h)
+                LEFT JOIN (SELECT idx, char_id FROM placed WHERE pos = {MAX_LEN - t}) USING (idx)
+                LEFT JOIN ww USING (char_id, h)))""")
+    parts.append(f"""o2 AS MATERIALIZED (
+        SELECT idx, label_id, greatest(0.0, sum(hv * {_unit("'w2:' || h || ':' || label_id")})
+                                            + any_value({_unit("'b2:' || label_id")})) AS v
+        FROM s{MAX_LEN} CROSS JOIN labels GROUP BY idx, label_id)""")
+    return ",\n".join(parts)
+
+
+@catalog.add(f"""
+    {_lstm_sql()}
+    SELECT idx, label_id, {sql_places("exp(v) / sum(exp(v)) OVER (PARTITION BY idx)")} AS p FROM o2
+""")
+def lstm_probabilities(spark, sf_dir):
+    examples, shape = _prepared(spark, sf_dir, networks.LSTM, _HIDDEN)
+    scored = networks.predict(examples, networks.LSTM, shape, _hashed_parameters(networks.LSTM, shape))
+    flat = scored.select("idx", F.posexplode("probs").alias("label_id", "p"))
+    return flat.withColumn("p", places("p"))
+
+
 def _train_predict(spark, sf_dir, model: networks.Model):
     """Two epochs of a few large batches, then the probabilities of every training name."""
     examples, shape = _prepared(spark, sf_dir, model)
