@@ -55,24 +55,20 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     Parquet rather than ``checkpoint()`` keeps column pruning, partition pruning and size
     statistics for the readers, and the files outlive any executor.
     """
-    return store(df, scratch_path(df.sparkSession, name), partition_by)
-
-
-def discard(df: DataFrame) -> None:
-    """Remove the files of a table written by :func:`materialize` once a newer round exists."""
-    spark = df.sparkSession
-    root = shared_folder(spark).rstrip("/")
-    jvm = spark.sparkContext._jvm
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    top = jvm.org.apache.hadoop.fs.Path(root)
-    fs = top.getFileSystem(hadoop)
-    root = fs.makeQualified(top).toString().rstrip("/") + "/"
-    for folder in {_table_folder(jvm, fs, name, root) for name in df.inputFiles()} - {None}:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(folder), True)
-
-
-def _table_folder(jvm, fs, file_name: str, root: str) -> str | None:
-    full = fs.makeQualified(jvm.org.apache.hadoop.fs.Path(file_name)).toString()
-    if not full.startswith(root):
-        return None
-    return root + full[len(root):].split("/", 1)[0]
+    path = scratch_path(df.sparkSession, name)
+    table = store(df, path, partition_by)
+    table.scratch_path = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Remove the files of a frame that :func:`materialize` returned, once a newer round exists.
+
+    Any other frame is left alone, also one derived from it.
+    """
+    path = getattr(table, "scratch_path", None)
+    if path is None:
+        return
+    context = table.sparkSession.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)

@@ -104,8 +104,9 @@ def test_materialize_and_discard_stay_in_the_shared_folder(spark, path):
     mine = storage.materialize(spark.range(5).withColumn("p", F.col("id") % 2), "t", ["p"])
     assert storage.shared_folder(spark) in mine.inputFiles()[0]
     other = storage.materialize(spark.range(4), "t")
-    storage.discard(mine.filter("p = 1"))
     storage.discard(kept)
+    storage.discard(other.filter("id = 1"))
     assert kept.count() == 3 and other.count() == 4
+    storage.discard(mine)
     with pytest.raises(Exception):
         mine.count()
