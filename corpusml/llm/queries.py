@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusml.llm import mixing
+from corpusml.llm import mixing, secrets
 from corpusml.queries.base import Catalog, table
 
 catalog = Catalog()
@@ -14,3 +14,9 @@ catalog = Catalog()
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that every document gives to a mix of all sources."""
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@catalog.add(secrets.OP_SQL)
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, with values of one owner told from copied examples."""
+    return secrets.digest_columns(secrets.scan(table(spark, sf_dir, "documents")))
