@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusml.llm import mixing, secrets
+from corpusml.llm import mixing, quality, secrets
 from corpusml.queries.base import Catalog, table
 
 catalog = Catalog()
@@ -20,3 +20,9 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, with values of one owner told from copied examples."""
     return secrets.digest_columns(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+@catalog.add()
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document from learned subword vectors."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
