@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusml.llm import mixing, quality, secrets
+from corpusml.llm import mixing, quality, secrets, toxicity
 from corpusml.queries.base import Catalog, table
 
 catalog = Catalog()
@@ -26,3 +26,9 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document from learned subword vectors."""
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@catalog.add()
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document from words restored by a noisy-channel decoder."""
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
