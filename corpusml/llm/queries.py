@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusml.llm import mixing, quality, secrets, toxicity
+from corpusml.llm import mixing, quality, secrets, toxicity, warc
 from corpusml.queries.base import Catalog, table
 
 catalog = Catalog()
@@ -32,3 +32,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document from words restored by a noisy-channel decoder."""
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@catalog.add(warc.OP_SQL)
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as archive records and read back through the index."""
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(*columns)
