@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusml.llm import mixing, quality, secrets, toxicity, warc
+from corpusml.llm import fingerprints, mixing, quality, secrets, toxicity, warc
 from corpusml.queries.base import Catalog, table
 
 catalog = Catalog()
@@ -39,3 +39,9 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as archive records and read back through the index."""
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     return warc.round_trip(table(spark, sf_dir, "pages")).select(*columns)
+
+
+@catalog.add()
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multiset fingerprints of every document and of its edited text."""
+    return fingerprints.with_next(table(spark, sf_dir, "documents"))
