@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusml.llm import fingerprints, mixing, quality, secrets, toxicity, warc
+from corpusml.llm import decontamination, fingerprints, mixing, quality, secrets, toxicity, warc
 from corpusml.queries.base import Catalog, table
 
 catalog = Catalog()
@@ -45,3 +45,9 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Multiset fingerprints of every document and of its edited text."""
     return fingerprints.with_next(table(spark, sf_dir, "documents"))
+
+
+@catalog.add()
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain benchmark items, in whatever order of their parts."""
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
