@@ -38,6 +38,8 @@ _SIEVE = 20
 
 def tokens(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``(hashes, starts, ends, lower-case bytes)`` of the tokens of a text."""
+    if not text.isascii():
+        text = text.decode("utf-8", "replace").lower().encode()
     raw = LOWER[np.frombuffer(text, np.uint8)]
     inside = np.zeros(len(raw) + 2, np.int8)
     inside[1:-1] = _TOKEN[raw]
