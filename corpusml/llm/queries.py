@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusml.llm import decontamination, fingerprints, mixing, quality, secrets, toxicity, warc
+from corpusml.llm import decontamination, fingerprints, mixing, near_dedup, quality, secrets, toxicity, warc
 from corpusml.queries.base import Catalog, table
 
 catalog = Catalog()
@@ -51,3 +51,9 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain benchmark items, in whatever order of their parts."""
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@catalog.add(near_dedup.OP_SQL)
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with similar shingle sets."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), k=4)
