@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusml.llm import decontamination, fingerprints, mixing, near_dedup, quality, secrets, toxicity, warc
+from corpusml.llm import decontamination, fingerprints, mixing, near_dedup, quality, secrets, substring_dedup, suffix_dedup, toxicity, warc
 from corpusml.queries.base import Catalog, table
 
 catalog = Catalog()
@@ -57,3 +57,15 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents with similar shingle sets."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), k=4)
+
+
+@catalog.add(suffix_dedup.OP_SQL)
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the byte strings that also start earlier."""
+    return suffix_dedup.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@catalog.add(substring_dedup.OP_SQL)
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the word sequences that also start earlier."""
+    return substring_dedup.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
