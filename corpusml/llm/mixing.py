@@ -63,9 +63,9 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: in
 
 def mix(docs: DataFrame, idx: str = "doc_id", text: str = "text", source: str = "source", seed: int = 0,
         weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, bits: int = 16) -> DataFrame:
-    """``(doc_id, source, size, source_size, target, copies, taken)``: one row for each row of ``docs``."""
+    """``(doc_id, source, text_hash, size, source_size, target, copies, taken)``: one row for each row of ``docs``."""
     digest = digest_bits(F.concat_ws(":", F.lit(str(seed)), F.col(idx).cast("string")))
-    rows = docs.select(F.col(idx).alias("doc_id"), F.col(source).alias("source"), size_in_words(text).alias("size"), digest.alias("_digest"))
+    rows = docs.select(F.col(idx).alias("doc_id"), F.col(source).alias("source"), F.xxhash64(text).alias("text_hash"), size_in_words(text).alias("size"), digest.alias("_digest"))
     rows = materialize(rows.withColumn("_range", F.shiftright("_digest", 32 - bits)), "mix-sizes")
     ranges = rows.groupBy("source", "_range").agg(F.sum("size").alias("_sum"))
     plan = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, max_epochs)
@@ -81,7 +81,7 @@ def mix(docs: DataFrame, idx: str = "doc_id", text: str = "text", source: str =
     extra = (2 * (F.col("_start") + F.col("_before")) + F.col("size")).cast("double") <= 2 * rest
     copies = F.col("_whole") + F.when(extra & (F.col("size") > 0), 1).otherwise(0)
     mixed = joined.withColumn("_whole", whole).withColumn("copies", copies.cast("long"))
-    return mixed.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return mixed.select("doc_id", "source", "text_hash", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 #: The same rows in DuckDB; takes the documents as ``{docs}``.

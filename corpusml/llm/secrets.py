@@ -91,14 +91,14 @@ def joined(spans: Column) -> Column:
 
 
 def candidates(docs: DataFrame, idx: str, text: str, owner: str, repository: str) -> DataFrame:
-    """The spans of all documents, stored: ``(row, doc_id, owner, repository, base, bare)``."""
+    """The spans of all documents, stored: ``(row, doc_id, owner, repository, text_hash, base, bare)``."""
     body = F.coalesce(F.col(text), F.lit(""))
     base = F.concat(
         spans_of(body, ASSIGN, 0, group=1, least=ASSIGN_LENGTH), spans_of(body, ACCESS, 1), spans_of(body, HEX, 2)
     )
     rows = docs.select(
         F.col(idx).alias("doc_id"), F.col(owner).cast("string").alias("owner"), F.col(repository).cast("string").alias("repository"),
-        base.alias("base"), spans_of(body, BARE, 3).alias("bare"),
+        F.xxhash64(text).alias("text_hash"), base.alias("base"), spans_of(body, BARE, 3).alias("bare"),
     )
     free = F.filter("bare", lambda b: _mixed(b["value"]) & _live(b["value"]) & ~F.exists("base", lambda s: (s["start"] < b["end"]) & (b["start"] < s["end"])))
     return materialize(rows.withColumn("bare", free).withColumn("row", F.monotonically_increasing_id()), "secret-spans")
@@ -111,7 +111,7 @@ def ownership(values: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, idx: str = "doc_id", text: str = "text", owner: str = "source", repository: str = "doc_id") -> DataFrame:
-    """``(row, doc_id, base, spans, live, copied)`` for every row of ``docs``.
+    """``(row, doc_id, text_hash, base, spans, live, copied)`` for every row of ``docs``.
 
     ``base`` and ``spans`` are arrays of ``(start, end, kind, value)``; ``live`` counts the spans whose
     value one owner has and looks live, ``copied`` those that at least ``COPIED_OWNERS`` owners have.
@@ -127,9 +127,9 @@ def scan(docs: DataFrame, idx: str = "doc_id", text: str = "text", owner: str =
         F.sum((F.col("owners") >= COPIED_OWNERS).cast("long")).alias("copied"),
     )
     none = F.array().cast(_SPAN)
-    whole = found.select("row", "doc_id", "base").join(per_row, "row", "left")
+    whole = found.select("row", "doc_id", "text_hash", "base").join(per_row, "row", "left")
     return whole.select(
-        "row", "doc_id", "base", F.concat("base", F.coalesce("_added", none)).alias("spans"),
+        "row", "doc_id", "text_hash", "base", F.concat("base", F.coalesce("_added", none)).alias("spans"),
         F.coalesce("live", F.lit(0)).cast("long").alias("live"), F.coalesce("copied", F.lit(0)).cast("long").alias("copied"),
     )
 

@@ -246,9 +246,8 @@ def score(docs: DataFrame, model: tuple[np.ndarray, dict[str, float], float], id
             values, why = [], []
             for raw in part.column("raw"):
                 own = sorted(telling[w] for w in telling.keys() & restorer.words(raw.as_py()))
-                # A tie on the threshold must not depend on the order of addition: sorted words.
-                total = base + sum(weights[w] for w in own)
-                values.append(0.0 if total == -math.inf else 1 / (1 + math.exp(-max(-700.0, min(700.0, total)))))
+                # Sorted, so that the sum does not depend on the order of a set.
+                values.append(logistic(base + sum(weights[w] for w in own)))
                 why.append(" ".join(own))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(values, pa.float64()), pa.array(why, pa.string())], names=["doc_id", "score", "restored"])
 
@@ -259,6 +258,27 @@ def score(docs: DataFrame, model: tuple[np.ndarray, dict[str, float], float], id
     )
 
 
+def keep_clean(docs: DataFrame, model: tuple[np.ndarray, dict[str, float], float], text: str = "text") -> DataFrame:
+    """The documents that score below the threshold, all columns kept."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(parts):
+        costs, weights, base = shared.value
+        restorer, telling = Restorer(costs), {w.encode(): w for w in weights}
+        for part in parts:
+            keep = []
+            for body in part.column(text):
+                own = sorted(telling[w] for w in telling.keys() & restorer.words((body.as_py() or "").encode()))
+                keep.append(logistic(base + sum(weights[w] for w in own)) < THRESHOLD)
+            yield part.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def logistic(total: float) -> float:
+    return 0.0 if total == -math.inf else 1 / (1 + math.exp(-max(-700.0, min(700.0, total))))
+
+
 def fit(docs: DataFrame, labels: DataFrame, idx: str = "doc_id", text: str = "text") -> tuple[np.ndarray, dict[str, float], float]:
     costs = language_model(docs, text)
     weights, base = word_weights(training_sample(docs, labels, "toxic", TRAIN_ROWS, idx, text), costs)
