@@ -96,7 +96,10 @@ def stretches(docs: DataFrame, item_sums: Callable[[bytes], np.ndarray], k: int,
             keys, contents, owners, firsts, windows = (np.concatenate(c) for c in zip(*found))
             order = np.lexsort((firsts, owners, contents, keys))
             keys, contents, owners, firsts, windows = (c[order] for c in (keys, contents, owners, firsts, windows))
-            settled = np.append(False, (keys[1:] == keys[:-1]) & (contents[1:] == contents[:-1]))
+            again = np.append(False, (keys[1:] == keys[:-1]) & (contents[1:] == contents[:-1]))
+            head = np.maximum.accumulate(np.where(again, 0, np.arange(len(keys))))
+            # The same place once more, from a repeated row, is no second occurrence.
+            settled = again & ((owners != owners[head]) | (firsts != firsts[head]))
             # Settled rows only travel on: any key will do, each its own.
             keys[settled] = mix(keys[settled] + owners[settled].astype(np.uint64) + (firsts[settled].astype(np.uint64) << np.uint64(32)))
             for at in range(0, len(keys), 200_000):
@@ -114,7 +117,7 @@ def sort_out(rows: DataFrame) -> DataFrame:
     schema = pa.schema([("run", pa.int64()), ("doc_id", pa.int64()), ("first", pa.int32()), ("windows", pa.int32()), ("open", pa.bool_())])
 
     def run(parts):
-        last = None  # (run, content) of the row before
+        last = None  # (run, content) of the row before, and the place where that content is first
         waiting = None  # first stretch of the current run while it has one content only
         for part in parts:
             if not part.num_rows:
@@ -137,15 +140,19 @@ def sort_out(rows: DataFrame) -> DataFrame:
             goes_on = bool((of_head == 0).any())
             if goes_on and waiting is not None:
                 yield pa.RecordBatch.from_arrays([*[pa.array([v], f.type) for v, f in zip(waiting, schema)], pa.array([True])], schema=schema)
-            picked = np.append(np.flatnonzero(~new_kind), heads[several])
-            is_open = np.append(np.zeros(len(keys) - len(heads), bool), np.ones(int(several.sum()), bool))
+            head = np.maximum.accumulate(np.where(new_kind, np.arange(len(keys)), -1))
+            owner, place = (np.where(head < 0, 0 if last is None else last[i], own[i - 1][np.maximum(head, 0)]) for i in (2, 3))
+            # The same place once more, from a repeated row, is no second occurrence.
+            later = ~new_kind & ((own[1] != owner) | (own[2] != place))
+            picked = np.append(np.flatnonzero(later), heads[several])
+            is_open = np.append(np.zeros(int(later.sum()), bool), np.ones(int(several.sum()), bool))
             yield pa.RecordBatch.from_arrays([*[pa.array(c[picked]) for c in own], pa.array(is_open)], schema=schema)
             if group[-1]:
                 ending = heads[of_head == group[-1]]
                 waiting = tuple(c[ending[0]] for c in own) if len(ending) == 1 else None
             elif goes_on:
                 waiting = None
-            last = keys[-1], contents[-1]
+            last = keys[-1], contents[-1], owner[-1], place[-1]
 
     near = rows.repartition("run").sortWithinPartitions("run", "content", "doc_id", "first")
     walked = near.select("run", "content", "doc_id", "first", "windows", "settled").mapInArrow(
@@ -172,7 +179,7 @@ def source(docs: DataFrame, idx: str, text: str) -> DataFrame:
 def fetch(docs: DataFrame, found: DataFrame, slices: Callable, idx: str, text: str) -> DataFrame:
     """``(run, doc_id, first, windows, piece)``: the contents of the open stretches.
 
-    ``slices(raw, firsts, windows)`` cuts the pieces out of a text.
+    ``slices(raw, firsts, windows)`` cuts the pieces out of a text, None where it is too short.
     """
     wanted = found.filter("open").groupBy("doc_id").agg(F.collect_list(F.struct("run", "first", "windows")).alias("wanted"))
     # One row per document, also where the table repeats it.
@@ -185,6 +192,10 @@ def fetch(docs: DataFrame, found: DataFrame, slices: Callable, idx: str, text: s
                 flat = wants.values
                 keys, firsts, windows = (flat.field(n).to_numpy(zero_copy_only=False) for n in ("run", "first", "windows"))
                 pieces = slices(expand.decompress(body.as_py()), firsts, windows)
+                # A row that repeats an id with a shorter text does not have them all.
+                there = np.array([p is not None for p in pieces])
+                keys, firsts, windows = keys[there], firsts[there], windows[there]
+                pieces = [p for p in pieces if p is not None]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys), pa.array(np.full(len(keys), doc_id.as_py())), pa.array(firsts), pa.array(windows), pa.array(pieces, pa.binary())],
                     names=["run", "doc_id", "first", "windows", "piece"])

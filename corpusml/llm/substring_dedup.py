@@ -111,7 +111,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, k: int = RUN, idx: st
     def slices(raw, firsts, windows):
         starts, ends = word_spans(as_bytes(raw))
         # Words are split by ASCII blanks only, as bytes.split() does.
-        return [raw[starts[f] : ends[f + n + window - 2]] for f, n in zip(firsts.tolist(), windows.tolist())]
+        return [raw[starts[f] : ends[f + n + window - 2]] if f + n + window - 2 < len(ends) else None for f, n in zip(firsts.tolist(), windows.tolist())]
 
     def finish(raw, firsts, windows):
         starts, ends = word_spans(as_bytes(raw))

@@ -136,7 +136,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, k: int = RUN, idx: st
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept)`` of every document."""
 
     def slices(raw, firsts, windows):
-        return [raw[f : f + n - 1 + window] for f, n in zip(firsts.tolist(), windows.tolist())]
+        return [raw[f : f + n - 1 + window] if f + n - 1 + window <= len(raw) else None for f, n in zip(firsts.tolist(), windows.tolist())]
 
     def finish(raw, firsts, windows):
         gone = covered(len(raw), firsts, firsts + windows - 1 + window)
