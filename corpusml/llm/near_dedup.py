@@ -28,11 +28,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusml.llm.common import LOWER, mix, shingles, utf8, word_hashes
 from corpusml.llm.components import connected_components
+from corpusml.llm.repeats import packed
 from corpusml.storage import materialize
 
 SYMBOLS = 96
@@ -215,14 +217,16 @@ def confirmed_links(clusters: DataFrame, docs: DataFrame, idx: str, text: str, k
     sizes = clusters.groupBy("component").agg(F.count("*").alias("size"))
     blocks = F.ceil(F.col("size") / BLOCK)
     placed = clusters.join(sizes, "component").select(F.col("node").alias("_node"), "component", blocks.alias("blocks"))
-    texts = docs.select(F.col(idx).cast("long").alias("doc_id"), utf8(text).alias("raw"))
-    members = texts.join(placed, F.col("doc_id") == F.col("_node")).select("component", "blocks", "doc_id", "raw")
+    # Texts move compressed, and by a merge join whatever the number of members: alike at every size.
+    members = packed(docs.filter(F.col(idx).isNotNull()), idx, text).join(placed.hint("merge"), F.col("doc_id") == F.col("_node"))
+    members = members.select("component", "blocks", "doc_id", "body")
 
     def sets(parts):
+        expand = zstandard.ZstdDecompressor()
         for part in parts:
             for at in range(0, part.num_rows, 500):
                 some = part.slice(at, 500)
-                items = [shingle_set(raw.as_py(), k) for raw in some.column("raw")]
+                items = [shingle_set(expand.decompress(body.as_py()), k) for body in some.column("body")]
                 sketches = [sketch(signature(i)).tobytes() for i in items]
                 yield pa.RecordBatch.from_arrays(
                     [some.column("component"), some.column("blocks"), some.column("doc_id"), pa.array(sketches, pa.binary()), pa.array([i.tobytes() for i in items], pa.binary())],
