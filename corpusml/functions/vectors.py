@@ -99,8 +99,12 @@ def softmax(a: Column | str) -> Column:
 
 
 def cross_entropy(p: Column | str, target: Column | str) -> Column:
-    """``-sum(target * log(p))`` over one row."""
-    return -total(F.zip_with(_col(target), _col(p), lambda t, q: t * F.log(q)))
+    """``-sum(target * log(p))`` over one row.
+
+    Terms with target 0 are 0; a target with probability 0 makes the loss infinite.
+    """
+    log = lambda q: F.when(q == 0, F.lit(float("-inf"))).otherwise(F.log(q))
+    return -total(F.zip_with(_col(target), _col(p), lambda t, q: F.when(t == 0, F.lit(0.0)).otherwise(t * log(q))))
 
 
 def row_times_matrix(a: Column | str, columns: Column | str) -> Column:

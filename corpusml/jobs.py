@@ -83,8 +83,9 @@ def train_topics(
     """``word_topics`` and ``likelihood`` tables, and with a vocabulary file ``topic_words``."""
     docs = materialize(text.read_id_lists(spark, data), "job-documents")
     settings = topics.Settings(topics_wanted, alpha, beta, sweeps, clocks, seed)
-    trained = topics.train(docs, num_words or topics.num_words(docs), settings)
-    sinks.write_word_topics(trained.word_topics, topics_wanted, f"{output}/word_topics")
+    num_words = num_words or topics.num_words(docs)
+    trained = topics.train(docs, num_words, settings)
+    sinks.write_word_topics(trained.word_topics, topics_wanted, f"{output}/word_topics", num_words)
     history = spark.createDataFrame(trained.history, "iteration int, seconds double, likelihood double")
     sinks.write_likelihood(history, f"{output}/likelihood")
     if vocabulary:

@@ -77,9 +77,18 @@ def fold_groups(
 
 
 def concat_lists(df: DataFrame, keys: list[str], lists: str, piece_rows: int = 10_000) -> DataFrame:
-    """Concatenate the list values of each group, in pieces as :func:`group_rows` gives them."""
+    """Concatenate the list values of each group, in pieces as :func:`group_rows` gives them.
+
+    A group whose lists are all empty or missing is one empty piece.
+    """
     items = df.select(*keys, F.explode(lists).alias("item"))
-    return group_rows(items, keys, F.col("item"), piece_rows)
+    pieces = group_rows(items, keys, F.col("item"), piece_rows)
+    longest = df.groupBy(*keys).agg(F.coalesce(F.max(F.when(F.col(lists).isNotNull(), F.size(lists))), F.lit(0)).alias("longest"))
+    kinds = {f.name: f.dataType for f in pieces.schema.fields}
+    empty = longest.filter(F.col("longest") == 0).select(
+        *keys, F.lit(0).cast(kinds["piece"]).alias("piece"), F.lit(1).cast(kinds["pieces"]).alias("pieces"), F.array().cast(kinds["items"]).alias("items")
+    )
+    return pieces.unionByName(empty)
 
 
 def roll_up_counters(word_counts: DataFrame, document_counts: DataFrame) -> DataFrame:

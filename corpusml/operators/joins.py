@@ -40,15 +40,20 @@ def join(
 
 
 def _full_join(left: DataFrame, right: DataFrame, keys: Keys, null_safe: bool) -> DataFrame:
-    # A full outer join cannot be split at a hot key, a left outer and an anti join can.
-    # The anti join sees each left key once.
-    matched = left.join(right, _condition(keys, null_safe), "left")
+    # A full outer join cannot be split at a hot key and a left outer one on its left side only. An inner
+    # join can be split on either side; the anti joins see each key of the other side once.
+    matched = left.join(right, _condition(keys, null_safe), "inner")
     names = [f"_key{i}" for i in range(len(keys))]
     left_keys = left.select(*[a.alias(n) for n, (a, _) in zip(names, keys)]).distinct()
-    against = [(left_keys[n], b) for n, (_, b) in zip(names, keys)]
-    unmatched = right.join(left_keys, _condition(against, null_safe), "left_anti")
-    padding = [F.lit(None).cast(f.dataType).alias(f.name) for f in left.schema.fields]
-    return matched.union(unmatched.select(*padding, *[right[c] for c in right.columns]))
+    right_keys = right.select(*[b.alias(n) for n, (_, b) in zip(names, keys)]).distinct()
+    left_only = left.join(right_keys, _condition([(a, right_keys[n]) for n, (a, _) in zip(names, keys)], null_safe), "left_anti")
+    right_only = right.join(left_keys, _condition([(left_keys[n], b) for n, (_, b) in zip(names, keys)], null_safe), "left_anti")
+
+    def nothing(of: DataFrame) -> list[Column]:
+        return [F.lit(None).cast(f.dataType).alias(f.name) for f in of.schema.fields]
+
+    matched = matched.union(left_only.select(*[left[c] for c in left.columns], *nothing(right)))
+    return matched.union(right_only.select(*nothing(left), *[right[c] for c in right.columns]))
 
 
 def join_all(views: list[DataFrame], on: list[str]) -> DataFrame:
@@ -57,8 +62,12 @@ def join_all(views: list[DataFrame], on: list[str]) -> DataFrame:
 
 
 def lookup(df: DataFrame, side: DataFrame, key: str, value: str, default: Column | None = None) -> DataFrame:
-    """Add ``value`` from a keyed side table, or the default where the key is missing."""
-    found = df.join(side.select(key, value), key, "left")
+    """Add ``value`` from a keyed side table, or the default where the key is missing.
+
+    A missing value that the side table has for a key stays missing. The side table must have each
+    key once, or rows are multiplied.
+    """
     if default is None:
-        return found
-    return found.withColumn(value, F.coalesce(F.col(value), default))
+        return df.join(side.select(key, value), key, "left")
+    found = df.join(side.select(key, value, F.lit(True).alias("_found")), key, "left")
+    return found.withColumn(value, F.when(F.col("_found"), F.col(value)).otherwise(default)).drop("_found")

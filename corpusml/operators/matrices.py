@@ -7,7 +7,7 @@ rows instead and needs no shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusml.functions.vectors import row_times_matrix
@@ -30,6 +30,30 @@ def product(a: DataFrame, b: DataFrame) -> DataFrame:
     return left.join(right, "inner").groupBy("i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("v"))
 
 
+def transpose(a: DataFrame) -> DataFrame:
+    return a.select(F.col("j").alias("i"), F.col("i").alias("j"), "v")
+
+
+def product_grad_left(delta: DataFrame, b: DataFrame) -> DataFrame:
+    """Error of the left factor of ``a b``: the incoming error times ``b`` transposed."""
+    return product(delta, transpose(b))
+
+
+def product_grad_right(a: DataFrame, delta: DataFrame) -> DataFrame:
+    """Error of the right factor of ``a b``: ``a`` transposed times the incoming error."""
+    return product(transpose(a), delta)
+
+
+def bias_grad(delta: DataFrame) -> DataFrame:
+    """``(j, v)``: error of a vector that was added to every row, the sum over the rows."""
+    return delta.groupBy("j").agg(F.sum("v").alias("v"))
+
+
+def mean_grad(delta: Column, count: Column) -> Column:
+    """Error of each of ``count`` values whose mean has the error ``delta``."""
+    return delta / count
+
+
 def times_small(df: DataFrame, vector: str, columns: DataFrame, name: str, max_rows: int = 10_000) -> DataFrame:
     """Multiply every row vector with a small matrix given as ``(j, column array<double>)`` rows.
 

@@ -30,6 +30,22 @@ def flat_map(df: DataFrame, items: Column, name: str, *keep: Column | str) -> Da
     return df.select(*keep, F.explode(items).alias(name))
 
 
+def flat_map_function(df: DataFrame, by: Callable[[object], list], item: str, name: str, kind: str, *keep: str) -> DataFrame:
+    """Flat map by a Python function that no array expression covers.
+
+    ``by`` turns the value of column ``item`` into a list; each element becomes a row with the kept
+    columns. Rows travel in Arrow batches.
+    """
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = frame[list(keep)].assign(**{name: [by(value) for value in frame[item]]}).explode(name)
+            # A row without elements gives none.
+            yield out[out[name].notna()]
+
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for k in keep for f in [df.schema[k]]]
+    return df.select(*dict.fromkeys([*keep, item])).mapInPandas(run, ", ".join([*fields, f"`{name}` {kind}"]))
+
+
 def filter_rows(df: DataFrame, condition: Column) -> DataFrame:
     """Keep the rows where the condition is true; NULL drops the row."""
     return df.filter(condition)

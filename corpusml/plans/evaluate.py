@@ -13,9 +13,12 @@ def top_label(scores: Column | str) -> Column:
 
 
 def accuracy(predictions: DataFrame, docs: DataFrame) -> DataFrame:
-    """One row ``(documents, correct, accuracy)``; a prediction counts if it is among the labels."""
-    joined = predictions.select("doc_id", "label").join(docs.select("doc_id", "labels"), "doc_id")
-    hit = F.array_contains("labels", F.col("label")).cast("long")
+    """One row ``(documents, correct, accuracy)``; a prediction counts if it is among the labels.
+
+    All documents count, also those without a prediction. A document has one prediction.
+    """
+    joined = docs.select("doc_id", "labels").join(predictions.select("doc_id", "label"), "doc_id", "left")
+    hit = F.coalesce(F.array_contains("labels", F.col("label")), F.lit(False)).cast("long")
     return joined.agg(
         F.count(F.lit(1)).alias("documents"), F.sum(hit).alias("correct"), F.avg(hit).alias("accuracy")
     )

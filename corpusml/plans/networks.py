@@ -58,7 +58,7 @@ class Trained:
 
 # models ---------------------------------------------------------------------------------
 #
-# A model is ``(parameters, inputs, targets) -> (probabilities, gradient or None)`` for a block
+# A model is ``(parameters, inputs, targets) -> (log probabilities, gradient or None)`` for a block
 # of rows. Inputs are character ids, -1 where a name has ended: that position contributes
 # nothing, as a zero row of a one-hot matrix would.
 
@@ -85,12 +85,13 @@ def _head(p: Parameters, hidden: np.ndarray):
     # The output layer is rectified before the softmax.
     raw = hidden @ p["w2"] + p["b2"]
     logits = np.maximum(raw, 0.0)
-    exps = np.exp(logits - logits.max(axis=1, keepdims=True))
-    return raw, exps / exps.sum(axis=1, keepdims=True)
+    shifted = logits - logits.max(axis=1, keepdims=True)
+    # Logarithms straight from the logits: a probability may round to 0, its logarithm stays finite.
+    return raw, shifted - np.log(np.exp(shifted).sum(axis=1, keepdims=True))
 
 
-def _head_gradient(p: Parameters, hidden: np.ndarray, raw: np.ndarray, probs: np.ndarray, y: np.ndarray):
-    error = (probs - y) * (raw > 0)
+def _head_gradient(p: Parameters, hidden: np.ndarray, raw: np.ndarray, logs: np.ndarray, y: np.ndarray):
+    error = (np.exp(logs) - y) * (raw > 0)
     return {"w2": hidden.T @ error, "b2": error.sum(axis=0)}, error @ p["w2"].T
 
 
@@ -100,16 +101,16 @@ def mlp(p: Parameters, x: np.ndarray, y: np.ndarray | None):
     rows = np.arange(positions) * (p["w1"].shape[0] // positions) + np.where(used, x, 0)
     raw1 = (p["w1"][rows] * used[..., None]).sum(axis=1) + p["b1"]
     hidden = np.maximum(raw1, 0.0)
-    raw2, probs = _head(p, hidden)
+    raw2, logs = _head(p, hidden)
     if y is None:
-        return probs, None
-    grad, back = _head_gradient(p, hidden, raw2, probs, y)
+        return logs, None
+    grad, back = _head_gradient(p, hidden, raw2, logs, y)
     back = back * (raw1 > 0)
     grad["b1"] = back.sum(axis=0)
     grad["w1"] = np.zeros_like(p["w1"])
     owner, place = np.nonzero(used)
     np.add.at(grad["w1"], rows[owner, place], back[owner])
-    return probs, grad
+    return logs, grad
 
 
 GATES = ("i", "f", "o", "c")
@@ -148,10 +149,10 @@ def lstm(p: Parameters, x: np.ndarray, y: np.ndarray | None):
         squashed = np.tanh(cell)
         h = gate["o"] * squashed
         trace.append((gate, before, h_before, squashed))
-    raw2, probs = _head(p, h)
+    raw2, logs = _head(p, h)
     if y is None:
-        return probs, None
-    grad, back_h = _head_gradient(p, h, raw2, probs, y)
+        return logs, None
+    grad, back_h = _head_gradient(p, h, raw2, logs, y)
     for g in GATES:
         for kind in "wub":
             grad[kind + g] = np.zeros_like(p[kind + g])
@@ -173,7 +174,7 @@ def lstm(p: Parameters, x: np.ndarray, y: np.ndarray | None):
             grad["b" + g] += error[g].sum(axis=0)
             back_h = back_h + error[g] @ p["u" + g].T
         back_cell = back_cell * gate["f"]
-    return probs, grad
+    return logs, grad
 
 
 @dataclass(frozen=True)
@@ -238,14 +239,17 @@ def partial_sums(examples: DataFrame, model: Model, shape: Shape, shared, with_g
             if not len(frame):
                 continue
             x, y = _inputs(frame["x"], max_len), _targets(frame["y"])
-            probs, grad = run(p, x, y if with_gradient else None)
-            loss -= float((y * np.log(probs)).sum())
+            logs, grad = run(p, x, y if with_gradient else None)
+            loss -= float((y * logs).sum())
             rows += len(x)
             if with_gradient:
                 flat = flatten(grad)
                 summed = flat if summed is None else summed + flat
         if not rows:
             return
+        # On the way to Spark a NaN would become a missing value, which a sum passes over.
+        if not np.isfinite(loss) or summed is not None and not np.isfinite(summed).all():
+            raise FloatingPointError("loss or gradient is not finite; a smaller learning rate may help")
         slots, values = [LOSS, ROWS], [loss, float(rows)]
         if summed is not None:
             touched = np.nonzero(summed)[0]
@@ -327,9 +331,9 @@ def predict(examples: DataFrame, model: Model, shape: Shape, p: Parameters) -> D
         for frame in frames:
             if not len(frame):
                 continue
-            probs, _ = run(shared.value, _inputs(frame["x"], max_len), None)
-            loss = -(_targets(frame["y"]) * np.log(probs)).sum(axis=1)
-            yield pd.DataFrame({"idx": frame["idx"], "probs": list(probs), "loss": loss})
+            logs, _ = run(shared.value, _inputs(frame["x"], max_len), None)
+            loss = -(_targets(frame["y"]) * logs).sum(axis=1)
+            yield pd.DataFrame({"idx": frame["idx"], "probs": list(np.exp(logs)), "loss": loss})
 
     return examples.select("idx", "x", "y").mapInPandas(block, "idx long, probs array<double>, loss double")
 

@@ -34,7 +34,6 @@ class Settings:
     sweeps: int = 10
     clocks: int = 1
     seed: int = 0
-    max_broadcast_bytes: int = 256 << 20
 
 
 # documents as word ids --------------------------------------------------------------------
@@ -224,49 +223,36 @@ def _sample(rows: DataFrame, schema: str, totals: np.ndarray, words: int, stream
 def sample(state: DataFrame, word_topics: DataFrame, words: int, stream: int, s: Settings) -> DataFrame:
     """One pass over the documents of ``state`` against frozen counts.
 
-    A dense count table that stays below ``max_broadcast_bytes`` is broadcast. A larger one
-    stays distributed: each document fetches the counts of its own words through a join, with
-    one row per word on the model side so that a hot word can be split. Both ways give the
-    same topics.
+    The counts stay distributed: each document fetches those of its own words through a join. The model
+    side has one row per word with its (topic, count) pairs, so a hot word can be split; the pairs are
+    laid out as a dense table only for the block of documents at hand.
     """
     ship_package(state.sparkSession)
     totals = np.zeros(s.topics)
     for row in topic_counts(word_topics).collect():
         totals[row["topic"]] = row["n"]
     schema = _STATE.format(id_type=state.schema["doc_id"].dataType.simpleString())
-    rows = state.withColumn("key", F.xxhash64("doc_id"))
-
-    if words * s.topics * 4 <= s.max_broadcast_bytes:
-        table = np.zeros((words, s.topics), dtype=np.int32)
-        found = word_topics.toPandas()
-        table[found["word_id"], found["topic"]] = found["n"]
-        shared = state.sparkSession.sparkContext.broadcast(table)
-
-        def from_broadcast(frame, all_words, part):
-            distinct = [np.unique(w) for w in all_words[part]]
-            return distinct, shared.value[np.concatenate(distinct).astype(np.int64)].astype(np.float64)
-
-        return _sample(rows, schema, totals, words, stream, s, from_broadcast)
-
-    n = F.map_from_entries(F.collect_list(F.struct("topic", "n")))
-    topic_ids = F.array(*[F.lit(k) for k in range(s.topics)])
-    packed = word_topics.groupBy("word_id").agg(
-        F.transform(topic_ids, lambda k: F.coalesce(F.try_element_at(n, k), F.lit(0))).alias("counts")
-    )
+    packed = word_topics.groupBy("word_id").agg(F.collect_list(F.struct("topic", "n")).alias("pairs"))
     own = state.select("doc_id", F.explode(F.array_distinct("words")).alias("word_id")).join(packed, "word_id")
-    own = own.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("word_id", "counts"))).alias("own"))
-    # The word list of a document comes back flat: ids, then their counts one after another.
-    rows = rows.join(own, "doc_id", "left").select(
-        "doc_id", "key", "words", "z",
-        F.coalesce("own.word_id", F.array().cast("array<int>")).alias("ids"),
-        F.coalesce(F.flatten("own.counts"), F.array().cast("array<bigint>")).alias("flat"),
+    own = own.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("word_id", "pairs"))).alias("own"))
+    # The word list of a document comes back flat: ids, pairs of each id, then topics and counts.
+    whole, counts = F.array().cast("array<int>"), F.array().cast("array<bigint>")
+    rows = state.join(own, "doc_id", "left").select(
+        "doc_id", F.xxhash64("doc_id").alias("key"), "words", "z",
+        F.coalesce(F.col("own.word_id").cast("array<int>"), whole).alias("ids"),
+        F.coalesce(F.transform("own.pairs", F.size), whole).alias("sizes"),
+        F.coalesce(F.transform(F.flatten("own.pairs"), lambda p: p["topic"].cast("int")), whole).alias("topics"),
+        F.coalesce(F.transform(F.flatten("own.pairs"), lambda p: p["n"].cast("bigint")), counts).alias("counts"),
     )
 
-    def from_join(frame, all_words, part):
-        flat = np.concatenate(list(frame["flat"][part])).astype(np.float64)
-        return list(frame["ids"][part]), flat.reshape(-1, s.topics)
+    def counts_of(frame, all_words, part):
+        ids = list(frame["ids"][part])
+        sizes, topic, n = (np.concatenate(list(frame[c][part])) for c in ("sizes", "topics", "counts"))
+        table = np.zeros((len(sizes), s.topics))
+        table[np.repeat(np.arange(len(sizes)), sizes.astype(np.int64)), topic.astype(np.int64)] = n
+        return ids, table
 
-    return _sample(rows, schema, totals, words, stream, s, from_join)
+    return _sample(rows, schema, totals, words, stream, s, counts_of)
 
 
 @dataclass(frozen=True)
@@ -291,7 +277,11 @@ def train(docs: DataFrame, words: int, s: Settings, likelihood: bool = True) ->
     for sweep in range(s.sweeps):
         began = time.monotonic()
         for c in range(s.clocks):
-            new = materialize(sample(spread(states[c], "doc_id"), _total(counts), words, sweep, s), "topics-state")
+            # Summed up once; the sampler reads it for the totals and for the words.
+            total = materialize(_total(counts), "topics-total") if s.clocks > 1 else counts[0]
+            new = materialize(sample(spread(states[c], "doc_id"), total, words, sweep, s), "topics-state")
+            if s.clocks > 1:
+                discard(total)
             new_counts = materialize(word_topic_counts(new), "topics-counts")
             if not fresh:
                 discard(states[c])
@@ -325,8 +315,10 @@ def _total(counts: list[DataFrame]) -> DataFrame:
 def topic_words(word_topics: DataFrame, vocab: DataFrame, k: int = 10) -> DataFrame:
     """``(topic, words array<string>)``: the ``k`` most frequent words of each topic, in order.
 
-    Ties go to the lower word id. A word the topic does not have is never listed.
+    Ties go to the lower word id. A word the topic does not have is never listed; one that the
+    vocabulary does not have is listed by its id.
     """
     top = top_k(word_topics, "topic", [F.desc("n"), F.asc("word_id")], k)
-    named = top.join(vocab, "word_id").groupBy("topic").agg(F.sort_array(F.collect_list(F.struct("rank", "word"))).alias("at"))
+    named = top.join(vocab, "word_id", "left").withColumn("word", F.coalesce("word", F.col("word_id").cast("string")))
+    named = named.groupBy("topic").agg(F.sort_array(F.collect_list(F.struct("rank", "word"))).alias("at"))
     return named.select("topic", F.col("at.word").alias("words"))

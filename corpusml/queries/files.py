@@ -196,12 +196,28 @@ def word_topic_file(spark, sf_dir):
     """The word-by-topic table and its vocabulary, written and read back in long form."""
     counts, vocab = _topics(spark, sf_dir)
     path, vocab_path = scratch_path(spark, "word-topic"), scratch_path(spark, "vocabulary")
-    sinks.write_word_topics(counts, TOPICS, path)
+    sinks.write_word_topics(counts, TOPICS, path, vocab.count())
     sinks.write_lines(vocab.orderBy("word_id"), F.col("word"), vocab_path)
     read = text.read_word_topics(spark, path, TOPICS).join(text.read_vocabulary(spark, vocab_path), "word_id")
     return read.select("word", F.col("topic").cast("long").alias("topic"), F.col("n").cast("long").alias("n"))
 
 
+@catalog.add(f"""
+    WITH {_SQL_TOPICS}
+    SELECT 2 * word_id + g AS word_id, k AS topic, CASE WHEN g = 0 THEN coalesce(n, 0) ELSE 0 END AS n
+    FROM (SELECT word_id, unnest(range(0, {TOPICS})) AS k FROM vocab) CROSS JOIN (SELECT unnest([0, 1]) AS g)
+    LEFT JOIN (SELECT word_id, topic AS k, n FROM wt) USING (word_id, k)
+""")
+def word_topic_gaps(spark, sf_dir):
+    """The word-by-topic table of a vocabulary in which no document uses any odd id."""
+    counts, vocab = _topics(spark, sf_dir)
+    path = scratch_path(spark, "word-topic")
+    spaced = counts.withColumn("word_id", F.col("word_id") * 2)
+    sinks.write_word_topics(spaced, TOPICS, path, 2 * vocab.count())
+    read = text.read_word_topics(spark, path, TOPICS)
+    return read.select("word_id", F.col("topic").cast("long").alias("topic"), F.col("n").cast("long").alias("n"))
+
+
 @catalog.add(f"""
     WITH {_SQL_TOPICS}
     SELECT topic || ',' || string_agg(word, ',' ORDER BY rank) AS line

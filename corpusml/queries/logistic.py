@@ -91,9 +91,9 @@ _SCORED = f"""{_TRAINED},
     SELECT label, row_number() OVER (ORDER BY label) - 1 AS label_id FROM (SELECT DISTINCT label FROM ({SQL_DOC_LABELS}))
 """)
 def lr_label_index(spark, sf_dir):
-    from corpusml.plans.characters import label_dictionary
-
-    return label_dictionary(documents(spark, sf_dir)).withColumn("label_id", F.col("label_id").cast("long"))
+    """The labels as training numbers them."""
+    found = logistic.label_list(documents(spark, sf_dir))
+    return spark.createDataFrame(list(enumerate(found)), "label_id long, label string").select("label", "label_id")
 
 
 @catalog.add(f"""

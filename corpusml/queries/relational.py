@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from corpusml.functions.text import words
 from corpusml.operators import groups, joins, ranking, rows, sets
 from corpusml.plans import naive_bayes
+from corpusml.sources.sinks import show_rows as show
+from corpusml.sources.text import take_part as part_of
 from corpusml.queries.base import SQL_DOC_LABELS, Catalog, documents, places, table
 
 catalog = Catalog()
@@ -157,6 +159,32 @@ def lookup_default(spark, sf_dir):
     return joins.lookup(docs.select("doc_id"), marks, "doc_id", "quality", F.lit(-1))
 
 
+@catalog.add("""
+    SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN -1 ELSE nullif(toxic, 0) END AS toxic
+    FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+""")
+def lookup_null_value(spark, sf_dir):
+    """A missing value of the side table stays missing; only a missing key gets the default."""
+    docs = table(spark, sf_dir, "documents")
+    marks = table(spark, sf_dir, "labels").select("doc_id", F.nullif("toxic", F.lit(0)).alias("toxic"))
+    return joins.lookup(docs.select("doc_id"), marks, "doc_id", "toxic", F.lit(-1))
+
+
+@catalog.add("SELECT n_nationkey, doc_id, quality FROM nation FULL JOIN labels ON n_nationkey = quality")
+def join_full_hot_right(spark, sf_dir):
+    """A full join whose right side has two keys only."""
+    nations, marks = table(spark, sf_dir, "nation"), table(spark, sf_dir, "labels")
+    joined = joins.join(nations, marks, [(nations.n_nationkey, marks.quality)], left_outer=True, right_outer=True)
+    return joined.select("n_nationkey", "doc_id", "quality")
+
+
+@catalog.add("SELECT doc_id, quality, n_nationkey FROM labels FULL JOIN nation ON quality = n_nationkey")
+def join_full_hot_left(spark, sf_dir):
+    nations, marks = table(spark, sf_dir, "nation"), table(spark, sf_dir, "labels")
+    joined = joins.join(marks, nations, [(marks.quality, nations.n_nationkey)], left_outer=True, right_outer=True)
+    return joined.select("doc_id", "quality", "n_nationkey")
+
+
 # side tables --------------------------------------------------------------------------------
 
 @catalog.add("SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey")
@@ -247,6 +275,36 @@ def group_list_concat(spark, sf_dir):
     return lists.withColumn("items", F.array_join("items", ","))
 
 
+@catalog.add("""
+    SELECT o_custkey, CAST(0 AS BIGINT) AS piece, CAST(1 AS BIGINT) AS pieces,
+           coalesce(string_agg(o_orderpriority, ',' ORDER BY o_orderpriority) FILTER (WHERE o_orderstatus = 'P'), '') AS items
+    FROM orders GROUP BY o_custkey
+""")
+def list_concat_empty(spark, sf_dir):
+    """Lists of the orders in process; most customers have none and keep an empty list."""
+    listed = F.when(F.col("o_orderstatus") == "P", F.array("o_orderpriority")).otherwise(F.array().cast("array<string>"))
+    lists = groups.concat_lists(table(spark, sf_dir, "orders").select("o_custkey", listed.alias("items_of")), ["o_custkey"], "items_of")
+    return lists.withColumn("items", F.array_join("items", ","))
+
+
+@catalog.add("SELECT l_returnflag, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS total, TRUE AS bounded FROM lineitem GROUP BY l_returnflag")
+def group_rows_hot(spark, sf_dir):
+    """Groups of many thousand rows, in pieces that together hold every row."""
+    pieces = groups.group_rows(table(spark, sf_dir, "lineitem"), ["l_returnflag"], F.col("l_orderkey"), piece_rows=1000)
+    sizes = pieces.select("l_returnflag", F.size("items").alias("size"), F.aggregate("items", F.lit(0).cast("long"), lambda a, x: a + x).alias("sum"))
+    bounded = F.max("size") <= 2000
+    return sizes.groupBy("l_returnflag").agg(F.sum("size").alias("n"), F.sum("sum").alias("total"), bounded.alias("bounded"))
+
+
+@catalog.add("SELECT l_returnflag, bit_xor(l_orderkey) AS result FROM lineitem GROUP BY l_returnflag")
+def group_fold_hot(spark, sf_dir):
+    def xor(a, b):
+        return a.bitwiseXOR(b)
+
+    items = table(spark, sf_dir, "lineitem")
+    return groups.fold_groups(items, ["l_returnflag"], F.col("l_orderkey"), F.lit(0).cast("long"), xor, xor, piece_rows=1000)
+
+
 @catalog.add("""
     SELECT string_agg(c_mktsegment || '=' || n, ',' ORDER BY c_mktsegment) AS entries
     FROM (SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY c_mktsegment)
@@ -328,3 +386,42 @@ def sort_rows(spark, sf_dir):
 def shuffled_row_number(spark, sf_dir):
     ids = table(spark, sf_dir, "documents").select("doc_id")
     return ranking.shuffled_rank(ids, "doc_id", seed=7, epoch=0)
+
+
+# reading results ------------------------------------------------------------------------------
+
+@catalog.add("SELECT count(*) AS orders, min(o_orderkey) AS first, max(o_orderkey) AS last FROM orders")
+def only_row(spark, sf_dir):
+    """The one row of a view, as a value."""
+    view = table(spark, sf_dir, "orders").agg(F.count("*").alias("orders"), F.min("o_orderkey").alias("first"), F.max("o_orderkey").alias("last"))
+    return spark.createDataFrame([tuple(rows.only_row(view))], view.schema)
+
+
+@catalog.add("SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY o_orderpriority")
+def show_rows(spark, sf_dir):
+    """All rows of a result, read one partition at a time."""
+    counts = groups.count_groups(table(spark, sf_dir, "orders"), ["o_orderpriority"])
+    return spark.createDataFrame([tuple(r) for r in show(counts)], counts.schema)
+
+
+@catalog.add("SELECT doc_id % 3 AS worker, doc_id FROM documents")
+def take_part(spark, sf_dir):
+    """What each of three workers loads; together they load every row."""
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    loads = [part_of(docs, "doc_id", w, 3).select(F.lit(w).cast("long").alias("worker"), "doc_id") for w in range(3)]
+    return loads[0].union(loads[1]).union(loads[2])
+
+
+def _halves(text):
+    """Both halves of a text, cut at a code point; a list that depends on the length of the text."""
+    return [text[: len(text) // 2], text[len(text) // 2 :]] if text else []
+
+
+@catalog.add("""
+    SELECT doc_id, md5(half) AS digest FROM (
+        SELECT doc_id, unnest([text[1 : length(text) // 2], text[length(text) // 2 + 1 :]]) AS half
+        FROM documents WHERE text <> '')
+""")
+def flat_map_function(spark, sf_dir):
+    parts = rows.flat_map_function(table(spark, sf_dir, "documents"), _halves, "text", "half", "string", "doc_id")
+    return parts.select("doc_id", F.md5("half").alias("digest"))

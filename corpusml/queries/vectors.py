@@ -136,3 +136,84 @@ def matrix_product_small(spark, sf_dir):
         "vec_id", F.explode(F.arrays_zip("labels", "out")).alias("x")
     )
     return flat.select("vec_id", F.col("x.labels").alias("j"), places("x.out").alias("v"))
+
+
+# derivatives: the incoming error is the reversed vector ---------------------------------------
+
+def _sql_gradient(entry: str) -> str:
+    return _sql_entries(f"list_transform(range(1, len(a) + 1), lambda i: a[len(a) + 1 - i] * ({entry}))")
+
+
+@catalog.add(_sql_gradient("CASE WHEN a[i] > 0 THEN 1 ELSE 0 END"))
+def relu_gradient(spark, sf_dir):
+    return _entries(spark, sf_dir, V.relu_grad(F.reverse("a"), "a"))
+
+
+@catalog.add(_sql_gradient("1 - tanh(a[i]) * tanh(a[i])"))
+def tanh_gradient(spark, sf_dir):
+    return _entries(spark, sf_dir, V.tanh_grad(F.reverse("a"), V.tanh("a")))
+
+
+@catalog.add(_sql_gradient("1 / (1 + exp(-a[i])) * (1 - 1 / (1 + exp(-a[i])))"))
+def sigmoid_gradient(spark, sf_dir):
+    return _entries(spark, sf_dir, V.sigmoid_grad(F.reverse("a"), V.sigmoid("a")))
+
+
+@catalog.add(_sql_gradient("2 * a[i]"))
+def square_gradient(spark, sf_dir):
+    return _entries(spark, sf_dir, V.square_grad(F.reverse("a"), "a"))
+
+
+@catalog.add(_sql_gradient("a[i]"))
+def hadamard_gradient(spark, sf_dir):
+    """The error of one factor is the incoming error times the other factor."""
+    return _entries(spark, sf_dir, V.hadamard(F.reverse("a"), "a"))
+
+
+_SQL_CELLS = f"""
+    x AS (SELECT vec_id, unnest(range(0, len(a))) AS pos, unnest(a) AS v FROM {_E}),
+    w AS ({_SQL_CENTRES}),
+    d AS (SELECT x.vec_id, w.label, sum(x.v * w.v) AS v FROM x JOIN w ON x.pos = w.pos GROUP BY x.vec_id, w.label)"""
+
+
+def _factors(spark, sf_dir):
+    """Vectors, centres and their product, which serves as incoming error."""
+    a, b = matrices.to_long(_vectors(spark, sf_dir), "vec_id", "a"), _centres(spark, sf_dir)
+    return a, b, matrices.product(a, b)
+
+
+@catalog.add(f"""
+    WITH {_SQL_CELLS}
+    SELECT vec_id, pos, {sql_places("sum(d.v * w.v)")} AS v FROM d JOIN w ON d.label = w.label GROUP BY vec_id, pos
+""")
+def product_gradient_left(spark, sf_dir):
+    _, b, delta = _factors(spark, sf_dir)
+    cells = matrices.product_grad_left(delta, b)
+    return cells.select(F.col("i").alias("vec_id"), F.col("j").cast("long").alias("pos"), places("v").alias("v"))
+
+
+@catalog.add(f"""
+    WITH {_SQL_CELLS}
+    SELECT pos, label, {sql_places("sum(x.v * d.v)")} AS v FROM x JOIN d ON x.vec_id = d.vec_id GROUP BY pos, label
+""")
+def product_gradient_right(spark, sf_dir):
+    a, _, delta = _factors(spark, sf_dir)
+    cells = matrices.product_grad_right(a, delta)
+    return cells.select(F.col("i").cast("long").alias("pos"), F.col("j").alias("label"), places("v").alias("v"))
+
+
+@catalog.add(f"WITH {_SQL_CELLS} SELECT label, {sql_places('sum(v)')} AS v FROM d GROUP BY label")
+def bias_gradient(spark, sf_dir):
+    _, _, delta = _factors(spark, sf_dir)
+    return matrices.bias_grad(delta).select(F.col("j").alias("label"), places("v").alias("v"))
+
+
+@catalog.add(f"""
+    SELECT vec_id, label, {sql_places("list_sum(a) / count(*) OVER (PARTITION BY label)", 9)} AS v FROM {_E}
+""")
+def mean_gradient(spark, sf_dir):
+    """Error of every vector in the mean of its label, the incoming error being its own sum."""
+    rows = _vectors(spark, sf_dir)
+    sizes = rows.groupBy("label").agg(F.count("*").alias("n"))
+    joined = rows.join(sizes, "label")
+    return joined.select("vec_id", "label", places(matrices.mean_grad(V.total("a"), F.col("n")), 9).alias("v"))

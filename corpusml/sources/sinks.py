@@ -44,15 +44,21 @@ def prediction_line(scores: Column | str = "scores") -> Column:
     return F.array_join(F.transform(scores, lambda s: F.concat_ws("\t", s["label"], s["p"].cast("string"))), ",")
 
 
-def word_topic_lines(word_topics: DataFrame, topics: int) -> DataFrame:
-    """One row per word: its counts of topics 0 … K-1, absent ones as 0."""
+def word_topic_lines(word_topics: DataFrame, topics: int, num_words: int) -> DataFrame:
+    """One row per word id from 0 to ``num_words - 1``: its counts of topics 0 … K-1, absent ones as 0.
+
+    The line number stands for the word id, so a word that does not occur has a line of zeros.
+    """
     counts = [F.sum(F.when(F.col("topic") == k, F.col("n")).otherwise(0)).cast("string") for k in range(topics)]
-    return word_topics.groupBy("word_id").agg(F.concat_ws(",", *counts).alias("line"))
+    found = word_topics.groupBy(F.col("word_id").cast("long").alias("word_id")).agg(F.concat_ws(",", *counts).alias("line"))
+    every = word_topics.sparkSession.range(num_words).withColumnRenamed("id", "word_id")
+    zeros = F.lit(",".join(["0"] * topics))
+    return every.join(found, "word_id", "left").select("word_id", F.coalesce("line", zeros).alias("line"))
 
 
-def write_word_topics(word_topics: DataFrame, topics: int, path: str) -> None:
-    """The word-by-topic table as text, in order of word id."""
-    ordered = word_topic_lines(word_topics, topics).orderBy("word_id")
+def write_word_topics(word_topics: DataFrame, topics: int, path: str, num_words: int) -> None:
+    """The word-by-topic table as text, in order of word id, one line for each of ``num_words`` ids."""
+    ordered = word_topic_lines(word_topics, topics, num_words).orderBy("word_id")
     write_lines(ordered, F.col("line"), path)
 
 

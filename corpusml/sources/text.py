@@ -93,7 +93,8 @@ def distribute(df: DataFrame, idx: str, parts: int) -> DataFrame:
 def read_counters(spark: SparkSession, path: str) -> DataFrame:
     """``(label, word, n)`` rows from a ``Y=label,W=word \\t n`` counter file.
 
-    Other levels of the file are left out, as only the word counters feed the top lists.
+    Other levels of the file are left out, as only the word counters feed the top lists, and so are
+    lines whose count is no number.
     """
     key = _field(0)
     pattern = r"^Y=(.*),W=(\w+)$"
@@ -102,13 +103,20 @@ def read_counters(spark: SparkSession, path: str) -> DataFrame:
         F.regexp_extract(key, pattern, 2).alias("word"),
         F.try_to_number(_field(1), F.lit("9999999999999999999")).cast("long").alias("n"),
     )
-    return parsed.filter(F.col("word") != "")
+    return parsed.filter((F.col("word") != "") & F.col("n").isNotNull())
 
 
-def read_word_topics(spark: SparkSession, path: str, topics: int) -> DataFrame:
-    """``(word_id, topic, n)`` rows from a word-by-topic table, one line of counts per word."""
-    rows = read_id_lists(spark, path)
-    return rows.select(F.col("doc_id").alias("word_id"), F.posexplode(F.slice("words", 1, topics)).alias("topic", "n"))
+def read_word_topics(spark: SparkSession, path: str, topics: int | None = None) -> DataFrame:
+    """``(word_id, topic, n)`` rows from a word-by-topic table, one line of counts per word.
+
+    The number of topics is that of the line; a line with another number than ``topics`` is an error.
+    """
+    lines = numbered_lines(spark, path).select(F.split("value", ",").cast("array<bigint>").alias("counts"), "path", "block", "position")
+    rows = file_rank(lines, "word_id")
+    if topics is not None:
+        wrong = F.raise_error(F.concat(F.lit(f"expected {topics} topics, found "), F.size("counts").cast("string")))
+        rows = rows.withColumn("counts", F.when(F.size("counts") == topics, F.col("counts")).otherwise(wrong))
+    return rows.select("word_id", F.posexplode("counts").alias("topic", "n"))
 
 
 def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:

@@ -130,7 +130,15 @@ def test_fold_over_pieces(spark):
 
 def test_concat_lists(spark):
     df = spark.createDataFrame([("d", [3, 1]), ("d", [2]), ("e", [])], "k string, xs array<int>")
-    assert rows(groups.concat_lists(df, ["k"], "xs")) == [("d", 0, 1, [1, 2, 3])]
+    assert rows(groups.concat_lists(df, ["k"], "xs")) == [("d", 0, 1, [1, 2, 3]), ("e", 0, 1, [])]
+    missing = spark.createDataFrame([("f", None), (None, []), ("g", [None])], "k string, xs array<int>")
+    assert rows(groups.concat_lists(missing, ["k"], "xs")) == [(None, 0, 1, []), ("f", 0, 1, []), ("g", 0, 1, [None])]
+
+
+def test_lookup_keeps_missing_values_of_the_side_table(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    side = spark.createDataFrame([(1, None), (3, 7)], "k int, v int")
+    assert rows(joins.lookup(df, side, "k", "v", F.lit(-1))) == [(None, -1), (1, None), (2, -1)]
 
 
 def test_roll_up_counters(spark):

@@ -68,11 +68,14 @@ def test_prediction_lines(spark):
 
 
 def test_word_topic_and_vocabulary_round_trip(spark, tmp_path):
-    counts = spark.createDataFrame([(0, 1, 5), (1, 0, 2), (1, 2, 1)], "word_id int, topic int, n long")
-    sinks.write_word_topics(counts, 3, str(tmp_path / "wt"))
-    assert [r["value"] for r in text.read_lines(spark, str(tmp_path / "wt")).collect()] == ["0,5,0", "2,0,1"]
-    got = text.read_word_topics(spark, str(tmp_path / "wt"), 3).filter("n > 0")
-    assert rows(got.select("word_id", "topic", "n")) == [(0, 1, 5), (1, 0, 2), (1, 2, 1)]
+    counts = spark.createDataFrame([(0, 1, 5), (2, 0, 3_000_000_000), (2, 2, 1)], "word_id int, topic int, n long")
+    sinks.write_word_topics(counts, 3, str(tmp_path / "wt"), 4)
+    # A line for every id, also for words that do not occur.
+    assert [r["value"] for r in text.read_lines(spark, str(tmp_path / "wt")).collect()] == ["0,5,0", "0,0,0", "3000000000,0,1", "0,0,0"]
+    got = text.read_word_topics(spark, str(tmp_path / "wt")).filter("n > 0")
+    assert rows(got.select("word_id", "topic", "n")) == [(0, 1, 5), (2, 0, 3_000_000_000), (2, 2, 1)]
+    with pytest.raises(Exception, match="expected 2 topics, found 3"):
+        text.read_word_topics(spark, str(tmp_path / "wt"), 2).collect()
     words = spark.createDataFrame([("zebra",), ("apple",)], "w string").coalesce(1)
     sinks.write_lines(words, F.col("w"), str(tmp_path / "v"))
     assert rows(text.read_vocabulary(spark, str(tmp_path / "v"))) == [(0, "zebra"), (1, "apple")]

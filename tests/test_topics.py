@@ -1,4 +1,3 @@
-import dataclasses
 import math
 
 import numpy as np
@@ -96,11 +95,25 @@ def test_training_keeps_the_count_invariants(spark, docs):
     assert [h[0] for h in got.history] == [1, 2]
 
 
-def test_result_depends_on_neither_partitioning_nor_the_way_counts_travel(spark, docs):
+def test_result_does_not_depend_on_partitioning(spark, docs):
     base = rows(topics.train(docs, 11, S, likelihood=False).state)
     assert rows(topics.train(docs.repartition(1), 11, S, likelihood=False).state) == base
-    joined = dataclasses.replace(S, max_broadcast_bytes=0)
-    assert rows(topics.train(docs, 11, joined, likelihood=False).state) == base
+
+
+def test_counts_beyond_32_bits_keep_their_weight(spark):
+    s = topics.Settings(topics=2, alpha=0.1, beta=0.1)
+    state = spark.createDataFrame([(i, [0, 1], [0, 1]) for i in range(20)], "doc_id long, words array<int>, z array<int>")
+    counts = spark.createDataFrame([(0, 0, 3_000_000_000), (0, 1, 1), (1, 0, 3_000_000_000), (1, 1, 1)], "word_id int, topic int, n long")
+    # Totals weigh the topics alike, so the huge counts decide.
+    balanced = counts.union(spark.createDataFrame([(2, 1, 6_000_000_000)], counts.schema))
+    found = topics.sample(state, balanced, 3, 0, s)
+    assert {t for r in found.collect() for t in r["z"]} == {0}
+
+
+def test_words_outside_the_vocabulary_are_listed_by_id(spark):
+    counts = spark.createDataFrame([(0, 0, 5), (1, 0, 9), (1, 1, 2)], "word_id int, topic int, n long")
+    vocab = spark.createDataFrame([(0, "zero")], "word_id long, word string")
+    assert rows(topics.topic_words(counts, vocab, 5)) == [(0, ["1", "zero"]), (1, ["1"])]
 
 
 def test_sampling_finds_separate_topics(spark):
