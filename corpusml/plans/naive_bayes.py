@@ -14,10 +14,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusml.functions.text import is_content_word, words
+from corpusml.functions.text import digest_bits, is_content_word, words
 from corpusml.operators.groups import count_groups, roll_up_counters
-from corpusml.operators.ranking import top_k
-from corpusml.operators.rows import augment, label_words
+from corpusml.operators.ranking import hashed_rank, top_k
+from corpusml.operators.rows import label_words
 from corpusml.storage import materialize
 
 
@@ -103,88 +103,67 @@ def term_counts(docs: DataFrame) -> DataFrame:
     return count_groups(tokens, ["doc_id", "word"], "tf")
 
 
-def score(model: Counts, docs: DataFrame, max_columns: int = 200) -> DataFrame:
-    """``(doc_id, scores)``: the log score of every label of the model, per document.
+def number_labels(table: DataFrame, width: int) -> DataFrame:
+    """Add ``block`` and ``place``: labels side by side in blocks of ``width``, any number of them."""
+    ranked = hashed_rank(table, digest_bits(F.col("label")), F.col("label"), "_at")
+    at = F.col("_at")
+    return ranked.select(*table.columns, F.floor(at / width).alias("block"), (at % width).cast("int").alias("place"))
+
+
+def score(model: Counts, docs: DataFrame, width: int = 64) -> DataFrame:
+    """``(doc_id, scores)``: the log score of every label of the model, per document, sorted by label.
 
     With full smoothing a label's score is
     ``prior + sum of log(count + 1) over seen words - known * log(word total + vocabulary)``,
     with ``known`` the words of the document that the model has. Labels a document shares no
     word with therefore need no row of their own.
 
-    Up to ``max_columns`` labels are summed side by side, one row per document and word. With
-    more labels, each pair of a document and a label it shares a word with is a row.
+    Labels are summed side by side in blocks of ``width``: one row per word and block that the word has
+    labels in, and one row per word that marks it as known. Rows of a document grow with the blocks
+    of its words, never with single labels.
     """
-    table = label_model(model)
-    rows = table.limit(max_columns + 1).collect()
-    if len(rows) <= max_columns:
-        return _score_columns(model, docs, sorted(rows))
-    return _score_rows(model, docs, table)
-
-
-def _quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _score_columns(model: Counts, docs: DataFrame, table: list) -> DataFrame:
-    names = F.array(*[F.lit(row["label"]) for row in table])
-    # Expressions as text: a call per operator and label would take longer than a small query.
-    every = range(len(table))
-    # One row per word on the model side, so a hot word can be split on the document side.
-    logs = ", ".join(f"max(if(label = {_quoted(row['label'])}, ln(n + 1D), NULL))" for row in table)
-    vectors = model.words.groupBy("word").agg(F.expr(f"array({logs})").alias("v"))
+    labels = materialize(number_labels(label_model(model), width), "nb-label-model")
+    count = labels.count()
+    width = min(width, max(1, count))
+    every = range(width)
+    # One row per word and block on the model side, so a hot word can be split on the document side.
+    logs = ", ".join(f"max(if(place = {i}, ln(n + 1D), NULL))" for i in every)
+    numbered = model.words.join(labels.select("label", "block", "place"), "label")
+    vectors = numbered.groupBy("word", "block").agg(F.expr(f"array({logs})").alias("v"))
+    marks = model.words.select("word").distinct().select("word", F.lit(-1).cast("long").alias("block"), F.lit(None).cast("array<double>").alias("v"))
     seen = "array(" + ", ".join(f"sum(tf * v[{i}])" for i in every) + ")"
     used = "array(" + ", ".join(f"sum(if(v[{i}] IS NULL, 0, tf))" for i in every) + ")"
-    sums = term_counts(docs).join(vectors, "word", "left").groupBy("doc_id").agg(
-        F.expr("sum(if(v IS NULL, 0, tf))").alias("known"),
-        F.expr(seen).alias("s"),
-        *([F.expr(used).alias("m")] if model.compat else []),
+    by_block = term_counts(docs).join(vectors.union(marks), "word", "left").groupBy("doc_id", "block").agg(
+        F.sum("tf").alias("tf"), F.expr(seen).alias("s"), *([F.expr(used).alias("m")] if model.compat else [])
     )
-    if model.compat:
-        sums = sums.filter("known > 0")
-    weight = "m[{0}]" if model.compat else "known"
-
-    def one(i: int) -> str:
-        floor, prior = repr(float(table[i]["floor"])), repr(float(table[i]["prior"]))
-        return f"coalesce(s[{i}], 0D) - {weight.format(i)} * {floor}D + {prior}D"
-
-    values = F.expr("array(" + ", ".join(map(one, every)) + ")")
-    scored = sums.withColumn("scores", F.zip_with(names, values, lambda y, x: F.struct(y.alias("label"), x.alias("score"))))
-    if model.compat:
-        scored = scored.withColumn("scores", F.filter("scores", lambda _, i: F.col("m")[i] > 0))
-    return scored.select("doc_id", "scores")
-
-
-def _score_rows(model: Counts, docs: DataFrame, table: DataFrame) -> DataFrame:
-    # An entry without label marks the word as known.
-    known = F.struct(F.lit(None).cast("string").alias("label"), F.lit(0).cast("long").alias("n"))
-    model_side = word_lists(model).withColumn("entries", F.concat(F.array(known), "entries"))
-    joined = term_counts(docs).join(model_side, "word", "left")
-    per_label = joined.select("doc_id", "tf", F.explode_outer("entries").alias("e")).groupBy(
-        "doc_id", F.col("e.label").alias("label")
-    ).agg(
-        F.sum(F.when(F.col("e").isNotNull(), F.col("tf")).otherwise(0)).alias("m"),
-        F.sum(F.col("tf") * F.log(F.col("e.n") + 1.0)).alias("s"),
-    )
-    seen = per_label.groupBy("doc_id").agg(
-        F.sum(F.when(F.col("label").isNull(), F.col("m"))).alias("known"),
-        F.map_from_entries(
-            F.collect_list(F.when(F.col("label").isNotNull(), F.struct("label", F.struct("m", "s"))))
-        ).alias("seen"),
+    # The word that stands for the document itself has no block.
+    known = F.coalesce(F.sum(F.when(F.col("block") == -1, F.col("tf"))), F.lit(0)).alias("known")
+    sums = F.struct("s", *(["m"] if model.compat else []))
+    per_doc = by_block.groupBy("doc_id").agg(
+        known, F.map_from_entries(F.collect_list(F.when(F.col("block") >= 0, F.struct("block", sums)))).alias("sums")
     )
-    stored = materialize(table, "nb-label-model")
-    rows = augment(seen, stored, lambda v: v.agg(F.sort_array(F.collect_list(F.struct("*")))), "table")
-    labels = F.col("table")
     if model.compat:
-        rows = rows.filter(F.col("known") > 0)
-        labels = F.filter("table", lambda y: F.map_contains_key("seen", y["label"]))
+        per_doc = per_doc.filter("known > 0")
+    entries = F.sort_array(F.collect_list(F.struct("place", "label", "prior", "floor"))).alias("entries")
+    blocks = labels.groupBy("block").agg(entries)
+    last = -(-count // width) - 1
+    spread_out = per_doc.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(0, last)).cast("long"))))
+    # Looked up before the join, so once for each block.
+    spread_out = spread_out.select("doc_id", "known", "block", F.try_element_at("sums", F.col("block")).alias("own"))
+    own = F.col("own")
 
     def one(y: Column) -> Column:
-        hit = F.try_element_at("seen", y["label"])
-        weight = hit["m"] if model.compat else F.col("known")
-        value = F.coalesce(hit["s"], F.lit(0.0)) - weight * y["floor"] + y["prior"]
+        weight = F.get(own["m"], y["place"]) if model.compat else F.col("known")
+        value = F.coalesce(F.get(own["s"], y["place"]), F.lit(0.0)) - weight * y["floor"] + y["prior"]
         return F.struct(y["label"].alias("label"), value.alias("score"))
 
-    return rows.select("doc_id", F.transform(labels, one).alias("scores"))
+    listed = F.col("entries")
+    if model.compat:
+        listed = F.filter(listed, lambda y: F.coalesce(F.get(own["m"], y["place"]), F.lit(0)) > 0)
+    scored = spread_out.join(blocks, "block").select("doc_id", F.transform(listed, one).alias("scores"))
+    if last > 0:
+        scored = scored.groupBy("doc_id").agg(F.flatten(F.collect_list("scores")).alias("scores"))
+    return scored.select("doc_id", F.array_sort("scores").alias("scores"))
 
 
 def predict(model: Counts, docs: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusml.operators import groups
 from corpusml.plans import evaluate, naive_bayes
-from corpusml.queries.base import SQL_DOC_LABELS, Catalog, documents, places, sql_places, sql_stop_words
+from corpusml.queries.base import SQL_DOC_LABELS, Catalog, documents, places, sql_places, sql_stop_words, table
 
 catalog = Catalog()
 
@@ -114,3 +114,33 @@ def nb_accuracy(spark, sf_dir):
 def nb_label_vocabulary(spark, sf_dir):
     counts = naive_bayes.count(documents(spark, sf_dir)).words
     return groups.reduce_groups(counts, ["label"], distinct_words=F.count(F.lit(1)), top_count=F.max("n"))
+
+
+# Part names as short documents with more labels than one block holds.
+_MANY = rf"""
+    docs AS (SELECT p_partkey AS doc_id, 'c' || (p_partkey % 1200) AS label, p_name AS text FROM part),
+    t AS (SELECT * FROM (SELECT doc_id, label, lower(unnest(regexp_extract_all(text, '\w+'))) AS word FROM docs) WHERE {_CONTENT}),
+    tf AS (SELECT doc_id, word, count(*) AS tf FROM t GROUP BY doc_id, word),
+    dl AS (SELECT label, count(*) AS n FROM docs GROUP BY label),
+    wl AS (SELECT label, word, count(*) AS n FROM t GROUP BY label, word),
+    tl AS (SELECT label, coalesce(sum(wl.n), 0) AS n FROM dl LEFT JOIN wl USING (label) GROUP BY label),
+    s AS (SELECT (SELECT count(*) FROM dl) AS num_labels, (SELECT sum(n) FROM dl) AS label_total, (SELECT count(DISTINCT word) FROM wl) AS vocabulary),
+    lm AS (SELECT dl.label, ln(dl.n + 1.0) - ln(label_total + num_labels) AS prior, ln(tl.n + vocabulary) AS floor FROM dl JOIN tl USING (label), s)"""
+
+
+@catalog.add(f"""
+    WITH {_MANY},
+    seen AS (SELECT doc_id, label, sum(tf * ln(n + 1.0)) AS s FROM tf JOIN wl USING (word) GROUP BY doc_id, label),
+    known AS (SELECT doc_id, sum(tf) AS known FROM tf GROUP BY doc_id),
+    scores AS (
+        SELECT docs.doc_id, lm.label, coalesce(s, 0) - coalesce(known, 0) * floor + prior AS score
+        FROM docs CROSS JOIN lm LEFT JOIN known USING (doc_id) LEFT JOIN seen ON seen.doc_id = docs.doc_id AND seen.label = lm.label),
+    best AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 9) DESC, label) AS place FROM scores)
+    SELECT doc_id, label, {sql_places("score")} AS score FROM best WHERE place = 1
+""")
+def nb_many_labels(spark, sf_dir):
+    """Over a thousand labels, in blocks."""
+    label = F.concat(F.lit("c"), (F.col("p_partkey") % 1200).cast("string"))
+    docs = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("doc_id"), F.array(label).alias("labels"), F.col("p_name").alias("text"))
+    chosen = naive_bayes.predict(naive_bayes.count(docs).stored(), docs)
+    return chosen.withColumn("score", places("score"))

@@ -1,3 +1,5 @@
+import re
+
 import duckdb
 import pytest
 
@@ -13,7 +15,8 @@ mlp_gradient minibatch_assign lda_log_likelihood labelled_documents_file entity_
 def test_contract(spark):
     queries, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(queries)
-    assert set(queries) - set(sql) == {"mlp_train_predict", "lstm_train_predict", "lda_gibbs", "lda_likelihood_history"}
+    own = {name for name in set(queries) - set(sql) if not re.fullmatch(r"op\d+_.*|pipeline", name)}
+    assert own == {"mlp_train_predict", "lstm_train_predict", "lda_gibbs", "lda_likelihood_history"}
     assert entry.entry(spark).columns == ["label", "word", "n", "rank"]
 
 

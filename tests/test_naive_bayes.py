@@ -48,11 +48,11 @@ def by_hand(text, compat):
     return out
 
 
-@pytest.mark.parametrize("max_columns", [200, 1])
+@pytest.mark.parametrize("width", [64, 1])
 @pytest.mark.parametrize("compat", [False, True])
-def test_scores_against_hand_computation(spark, compat, max_columns):
+def test_scores_against_hand_computation(spark, compat, width):
     train, test = frames(spark)
-    scored = naive_bayes.score(naive_bayes.count(train, compat=compat), test, max_columns)
+    scored = naive_bayes.score(naive_bayes.count(train, compat=compat), test, width)
     got = {r["doc_id"]: {s["label"]: s["score"] for s in r["scores"]} for r in scored.collect()}
     wanted = {i: by_hand(text, compat) for i, text in TEST}
     if compat:
