@@ -16,7 +16,7 @@ that repeat an id one stays at the second stage; empty tables give empty results
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusml.llm import decontamination, mixing, near_dedup, secrets, toxicity
@@ -65,11 +65,20 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows that repeat id and text become one, with the copies of all of them.
     """
     added = ("size", "target", "copies", "taken")
-    mixed = mixing.mix(docs).filter("copies > 0").groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("source").alias("__source"))
-    mixed = mixed.agg(F.max("size").alias("mix_size"), F.max("target").alias("mix_target"), F.sum("copies").alias("mix_copies"), F.sum("taken").alias("mix_taken"))
-    known = docs.drop(*[f"mix_{c}" for c in added]).withColumn("__text", F.xxhash64("text")).dropDuplicates(["doc_id", "source", "__text"])
-    same = known.doc_id.eqNullSafe(F.col("__id")) & known.source.eqNullSafe(F.col("__source")) & (F.col("__text") == F.col("__hash"))
-    return known.join(mixed, same).drop("__id", "__hash", "__source", "__text")
+    keys = ["__id", "__no_id", "__source", "__no_source", "__hash"]
+
+    def keyed(df: DataFrame, text_hash: Column) -> DataFrame:
+        # Never null, so that one shuffle of the texts serves both the repeats and the join.
+        return df.withColumns({
+            "__id": F.coalesce("doc_id", F.lit(0).cast("long")), "__no_id": F.isnull("doc_id"),
+            "__source": F.coalesce("source", F.lit("")), "__no_source": F.isnull("source"), "__hash": text_hash,
+        })
+
+    mixed = keyed(mixing.mix(docs).filter("copies > 0"), F.col("text_hash")).groupBy(*keys).agg(
+        F.max("size").alias("mix_size"), F.max("target").alias("mix_target"), F.sum("copies").alias("mix_copies"), F.sum("taken").alias("mix_taken")
+    )
+    known = keyed(docs.drop(*[f"mix_{c}" for c in added]), F.xxhash64("text")).dropDuplicates(keys)
+    return known.join(mixed, keys).drop(*keys)
 
 
 STAGES = [
