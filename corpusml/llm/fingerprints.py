@@ -11,10 +11,10 @@ squared difference of two sums estimates how many runs they do not share. Likene
 over the sum of both squares, cut to 0..1, and 1 for equal fingerprints.
 
 The query pairs each document with the next one in descending id order. Ids are range-partitioned and
-sorted, so neighbours meet in one task and the texts move once; the first and last document of
+sorted, so neighbours meet in one task and the texts move once, compressed; the first and last document of
 each partition are stored with their texts and paired afterwards (two rows per partition).
 
-A null text is empty, and an empty text is one empty paragraph; ties of the id are ordered by text;
+A null text is empty, and an empty text is one empty paragraph; ties of the id are in a fixed order of their compressed texts;
 a null id comes last; a single document is its own next; an empty table gives no rows.
 """
 
@@ -24,10 +24,12 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusml.llm.common import mix, prefix_sums, run_hashes, stretch_hashes, byte_sums, word_spans
+from corpusml.llm.common import byte_sums, mix, prefix_sums, run_hashes, stretch_hashes, word_spans
+from corpusml.llm.repeats import NO_ID, packed
 from corpusml.storage import scratch_path
 
 LANES = 64
@@ -117,9 +119,12 @@ def with_next(docs: DataFrame, idx: str = "doc_id", text: str = "text") -> DataF
     def run(parts):
         # place: 0 complete, 1 first of a partition (again, with its text), 2 last (its next is elsewhere)
         held, name = None, None
+        expand = zstandard.ZstdDecompressor()
         for part in parts:
             rows = []
-            for doc_id, body in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
+            for doc_id, squeezed in zip(part.column("doc_id").to_pylist(), part.column("body").to_pylist()):
+                doc_id = None if doc_id == NO_ID else doc_id
+                body = expand.decompress(squeezed).decode()
                 own = fingerprint(body.encode())
                 if held is None:
                     name = hashlib.sha256(f"{doc_id}".encode()).hexdigest()
@@ -132,9 +137,8 @@ def with_next(docs: DataFrame, idx: str = "doc_id", text: str = "text") -> DataF
             yield pa.RecordBatch.from_arrays(
                 [pa.array([v], f.type) for v, f in zip((held[0], *[None] * 6, name, 2, held[1]), schema)], schema=schema)
 
-    rows = docs.select(F.col(idx).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
-    order = F.col("doc_id").desc_nulls_last()
-    ranged = rows.repartitionByRange(order).sortWithinPartitions(order, "text")
+    order = F.col("doc_id").desc()
+    ranged = packed(docs, idx, text).repartitionByRange(order).sortWithinPartitions(order, "body")
     path = scratch_path(spark, "fingerprints")
     walked = ranged.mapInArrow(run, f"doc_id long, {_RESULT_SQL}, part string, place int, text string")
     walked.write.option("compression", "zstd").parquet(path)
