@@ -284,14 +284,18 @@ def evaluate(
     return loss / rows, rows, unflatten(flat / rows, p)
 
 
-def train(examples: DataFrame, valid: DataFrame, model: Model, shape: Shape, s: Settings) -> Trained:
+def train(
+    examples: DataFrame, valid: DataFrame, model: Model, shape: Shape, s: Settings, initial: Parameters | None = None
+) -> Trained:
     """Train on ``prepare``-d examples and keep the parameters of the lowest validation loss.
 
+    Training starts from ``initial`` if given, else from parameters drawn by the seed.
+
     Each epoch writes a fresh permutation cut into batches, so that one step reads the rows
     of its batch only. A step is a Spark job: on large data choose the batch size so that an
     epoch has hundreds of steps, not millions.
     """
-    p = model.initial(shape, s.seed)
+    p = initial or model.initial(shape, s.seed)
     size = sum(a.nbytes for a in p.values())
     if size > s.max_parameter_bytes:
         raise ValueError(f"model has {size} bytes of parameters, more than the {s.max_parameter_bytes} allowed")

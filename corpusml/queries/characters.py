@@ -14,7 +14,11 @@ from corpusml.queries.base import Catalog, entities, more_entities, places, sql_
 catalog = Catalog()
 
 MAX_LEN = 10
+#: The networks read whole names; a longer one is an error.
+NAME_LEN = 16
 STEPS = 4
+EPOCHS = 2
+RATE = 0.5
 
 _CHARS = """
     chars AS (SELECT char, CAST(row_number() OVER (ORDER BY char <> ' ', char) - 1 AS INTEGER) AS char_id
@@ -150,7 +154,7 @@ _FORWARD = f"""
     hid AS (SELECT unnest(range(0, {_HIDDEN})) AS h),
     o1 AS MATERIALIZED (
         SELECT idx, h, greatest(0.0, sum({_W1}) + any_value({_UNIT.format("'b1:' || h")})) AS v
-        FROM placed CROSS JOIN hid WHERE pos < {MAX_LEN} GROUP BY idx, h),
+        FROM placed CROSS JOIN hid WHERE pos < {NAME_LEN} GROUP BY idx, h),
     o2 AS MATERIALIZED (
         SELECT idx, label_id, greatest(0.0, sum(v * ({_UNIT.format("'w2:' || h || ':' || label_id")}))
                                             + any_value({_UNIT.format("'b2:' || label_id")})) AS v
@@ -162,8 +166,11 @@ _FORWARD = f"""
 
 def _prepared(spark, sf_dir, model: networks.Model, hidden: int = 50):
     train, chars, labels = _dictionaries(spark, sf_dir)
-    shape = networks.Shape(chars.count(), labels.count(), MAX_LEN, hidden)
-    return networks.prepare(characters.encode(train, chars, labels), shape, model), shape
+    shape = networks.Shape(chars.count(), labels.count(), NAME_LEN, hidden)
+    encoded = characters.encode(train, chars, labels)
+    too_long = F.raise_error(F.lit(f"a name has more than {NAME_LEN} characters"))
+    encoded = encoded.withColumn("chars", F.when(F.size("chars") <= NAME_LEN, F.col("chars")).otherwise(too_long))
+    return networks.prepare(encoded, shape, model), shape
 
 
 @catalog.add(f"""
@@ -195,7 +202,7 @@ def mlp_probabilities(spark, sf_dir):
     SELECT 'b1:' || h, {sql_places("sum(g) / any_value(n.n)")} FROM back, n GROUP BY h
     UNION ALL
     SELECT 'w1:' || (pos * (SELECT count(*) FROM chars) + char_id) || ':' || h, {sql_places("sum(g) / any_value(n.n)")}
-    FROM placed JOIN back USING (idx), n WHERE pos < {MAX_LEN} GROUP BY pos, char_id, h
+    FROM placed JOIN back USING (idx), n WHERE pos < {NAME_LEN} GROUP BY pos, char_id, h
 """)
 def mlp_gradient(spark, sf_dir):
     examples, shape = _prepared(spark, sf_dir, networks.MLP, _HIDDEN)
@@ -239,19 +246,19 @@ def _lstm_sql() -> str:
             *[_unit(f"'b{g}:' || h") for g in _GATES]) + " FROM hid)",
         "s0 AS (SELECT p_partkey AS idx, h, 0.0::DOUBLE AS hv, 0.0::DOUBLE AS cv FROM part CROSS JOIN hid)",
     ]
-    for t in range(1, MAX_LEN + 1):
+    for t in range(1, NAME_LEN + 1):
         parts.append(f"""s{t} AS MATERIALIZED (
             SELECT idx, h, {sigmoid.format(gate["o"])} * tanh(c) AS hv, c AS cv FROM (
                 SELECT *, {sigmoid.format(gate["f"])} * cv + {sigmoid.format(gate["i"])} * tanh({gate["c"]}) AS c
                 FROM (SELECT idx, uu.h, {each("sum(hv * u{g}) AS r{g}")} FROM s{t - 1} JOIN uu ON uu.k = s{t - 1}.h
                       GROUP BY idx, uu.h)
                 JOIN s{t - 1} USING (idx, h) JOIN bb USING (h)
-                LEFT JOIN (SELECT idx, char_id FROM placed WHERE pos = {MAX_LEN - t}) USING (idx)
+                LEFT JOIN (SELECT idx, char_id FROM placed WHERE pos = {NAME_LEN - t}) USING (idx)
                 LEFT JOIN ww USING (char_id, h)))""")
     parts.append(f"""o2 AS MATERIALIZED (
         SELECT idx, label_id, greatest(0.0, sum(hv * {_unit("'w2:' || h || ':' || label_id")})
                                             + any_value({_unit("'b2:' || label_id")})) AS v
-        FROM s{MAX_LEN} CROSS JOIN labels GROUP BY idx, label_id)""")
+        FROM s{NAME_LEN} CROSS JOIN labels GROUP BY idx, label_id)""")
     return ",\n".join(parts)
 
 
@@ -268,15 +275,75 @@ def lstm_probabilities(spark, sf_dir):
 
 def _train_predict(spark, sf_dir, model: networks.Model):
     """Two epochs of a few large batches, then the probabilities of every training name."""
-    examples, shape = _prepared(spark, sf_dir, model)
-    settings = networks.Settings(epochs=2, batch_size=-(-examples.count() // STEPS))
-    trained = networks.train(examples, examples, model, shape, settings)
+    examples, shape = _prepared(spark, sf_dir, model, _HIDDEN)
+    settings = networks.Settings(epochs=EPOCHS, batch_size=-(-examples.count() // STEPS), learning_rate=RATE)
+    trained = networks.train(examples, examples, model, shape, settings, _hashed_parameters(model, shape))
     scored = networks.predict(examples, model, shape, trained.parameters)
     best = F.array_max(F.transform("probs", lambda p, i: F.struct(p.alias("p"), (-i).alias("i"))))
     return scored.select("idx", (-best["i"]).alias("label_id"), places(best["p"]).alias("p"), places("loss").alias("loss"))
 
 
-@catalog.add()
+def _mlp_rounds() -> str:
+    """The rounds of training the perceptron, one set of parameter tables per round."""
+    parts = [f"WITH {_PLACED}", f"hid AS (SELECT unnest(range(0, {_HIDDEN})) AS h)",
+        "size AS (SELECT (SELECT count(*) FROM chars) AS c, CAST(ceil(count(*) / %d.0) AS BIGINT) AS batch FROM part)" % STEPS,
+        "truth AS (SELECT p_partkey AS idx, label_id AS true_id FROM part JOIN labels ON label = p_brand)",
+        "seen AS MATERIALIZED (SELECT idx, pos * c + char_id AS i FROM placed, size)",
+        f"w1_0 AS MATERIALIZED (SELECT i, h, {_unit("'w1:' || i || ':' || h")} AS v FROM (SELECT DISTINCT i FROM seen) CROSS JOIN hid)",
+        f"b1_0 AS MATERIALIZED (SELECT h, {_unit("'b1:' || h")} AS v FROM hid)",
+        f"w2_0 AS MATERIALIZED (SELECT h, label_id, {_unit("'w2:' || h || ':' || label_id")} AS v FROM hid CROSS JOIN labels)",
+        f"b2_0 AS MATERIALIZED (SELECT label_id, {_unit("'b2:' || label_id")} AS v FROM labels)"]
+
+    def forward(name: str, r: int, rows: str) -> None:
+        parts.extend([
+            f"""o1_{name} AS MATERIALIZED (
+                SELECT idx, h, sum(w.v) + any_value(b.v) AS raw
+                FROM seen JOIN {rows} USING (idx) JOIN w1_{r} w USING (i) JOIN b1_{r} b USING (h) GROUP BY idx, h)""",
+            f"""o2_{name} AS MATERIALIZED (
+                SELECT idx, label_id, sum(greatest(0.0, raw) * w.v) + any_value(b.v) AS raw
+                FROM o1_{name} JOIN w2_{r} w USING (h) JOIN b2_{r} b USING (label_id) GROUP BY idx, label_id)""",
+            f"""p_{name} AS MATERIALIZED (
+                SELECT idx, label_id, raw, exp(greatest(0.0, raw)) / sum(exp(greatest(0.0, raw))) OVER (PARTITION BY idx) AS p, label_id = true_id AS hit
+                FROM o2_{name} JOIN truth USING (idx))"""])
+
+    r = 0
+    for epoch in range(EPOCHS):
+        parts.append(f"""order_{epoch} AS MATERIALIZED (
+            SELECT p_partkey AS idx, (row_number() OVER (ORDER BY {sql_digest(f"'0:{epoch}:' || p_partkey")}, p_partkey) - 1) // size.batch AS batch
+            FROM part, size)""")
+        for batch in range(STEPS):
+            parts.append(f"m_{r} AS (SELECT idx FROM order_{epoch} WHERE batch = {batch})")
+            forward(str(r), r, f"m_{r}")
+            step = f"{RATE} / (SELECT count(*) FROM m_{r})"
+            parts.extend([
+                f"e_{r} AS MATERIALIZED (SELECT idx, label_id, CASE WHEN raw > 0 THEN p - CASE WHEN hit THEN 1.0 ELSE 0.0 END ELSE 0.0 END AS e FROM p_{r})",
+                f"""k_{r} AS MATERIALIZED (
+                    SELECT idx, h, CASE WHEN any_value(o.raw) > 0 THEN sum(e * w.v) ELSE 0.0 END AS g
+                    FROM e_{r} JOIN o1_{r} o USING (idx) JOIN w2_{r} w USING (h, label_id) GROUP BY idx, h)""",
+                f"b2_{r + 1} AS MATERIALIZED (SELECT label_id, any_value(b.v) - {step} * sum(e) AS v FROM b2_{r} b JOIN e_{r} USING (label_id) GROUP BY label_id)",
+                f"""w2_{r + 1} AS MATERIALIZED (
+                    SELECT h, label_id, any_value(w.v) - {step} * sum(greatest(0.0, o.raw) * e) AS v
+                    FROM w2_{r} w JOIN e_{r} USING (label_id) JOIN o1_{r} o USING (idx, h) GROUP BY h, label_id)""",
+                f"b1_{r + 1} AS MATERIALIZED (SELECT h, any_value(b.v) - {step} * sum(g) AS v FROM b1_{r} b JOIN k_{r} USING (h) GROUP BY h)",
+                f"""w1_{r + 1} AS MATERIALIZED (
+                    SELECT i, h, w.v - {step} * coalesce(g, 0.0) AS v FROM w1_{r} w LEFT JOIN (
+                        SELECT i, h, sum(g) AS g FROM seen JOIN k_{r} USING (idx) GROUP BY i, h) USING (i, h))"""])
+            r += 1
+        forward(f"epoch{epoch}", r, "truth")
+        parts.append(f"loss_{epoch} AS (SELECT avg(-ln(p)) AS loss FROM p_epoch{epoch} WHERE hit)")
+    return ",\n".join(parts)
+
+
+# The first epoch with the least validation loss is kept.
+_BEST = "SELECT epoch FROM (" + " UNION ALL ".join(f"SELECT {e} AS epoch, loss FROM loss_{e}" for e in range(EPOCHS)) + ") ORDER BY loss, epoch LIMIT 1"
+_ALL_EPOCHS = " UNION ALL ".join(f"SELECT {e} AS epoch, * FROM p_epoch{e}" for e in range(EPOCHS))
+
+
+@catalog.add(f"""
+    {_mlp_rounds()}
+    SELECT idx, CAST(arg_max(label_id, (p, -label_id)) AS INTEGER) AS label_id, {sql_places("max(p)")} AS p, {sql_places("sum(CASE WHEN hit THEN -ln(p) END)")} AS loss
+    FROM ({_ALL_EPOCHS}) WHERE epoch = ({_BEST}) GROUP BY idx
+""")
 def mlp_train_predict(spark, sf_dir):
     return _train_predict(spark, sf_dir, networks.MLP)
 
