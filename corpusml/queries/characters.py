@@ -273,6 +273,95 @@ def lstm_probabilities(spark, sf_dir):
     return flat.withColumn("p", places("p"))
 
 
+def _lstm_start() -> list[str]:
+    """The hashed start parameters as tables of round 0, and the character that each step reads."""
+    each = lambda pattern: ", ".join(f"{_unit(pattern.format(g=g))} AS {g}" for g in _GATES)
+    return [
+        f"WITH {_PLACED}", f"hid AS (SELECT unnest(range(0, {_HIDDEN})) AS h)",
+        "size AS (SELECT CAST(ceil(count(*) / %d.0) AS BIGINT) AS batch FROM part)" % STEPS,
+        "truth AS (SELECT p_partkey AS idx, label_id AS true_id FROM part JOIN labels ON label = p_brand)",
+        f"reads AS MATERIALIZED (SELECT idx, {NAME_LEN} - pos AS t, char_id FROM placed)",
+        "w_0 AS MATERIALIZED (SELECT char_id, h, " + each("'w{g}:' || char_id || ':' || h") + " FROM chars CROSS JOIN hid)",
+        "u_0 AS MATERIALIZED (SELECT a.h AS k, b.h AS h, " + each("'u{g}:' || a.h || ':' || b.h") + " FROM hid a CROSS JOIN hid b)",
+        "b_0 AS MATERIALIZED (SELECT h, " + each("'b{g}:' || h") + " FROM hid)",
+        f"w2_0 AS MATERIALIZED (SELECT h, label_id, {_unit("'w2:' || h || ':' || label_id")} AS v FROM hid CROSS JOIN labels)",
+        f"b2_0 AS MATERIALIZED (SELECT label_id, {_unit("'b2:' || label_id")} AS v FROM labels)",
+    ]
+
+
+def _lstm_forward(name: str, r: int, rows: str) -> list[str]:
+    """Gates, cells and outputs of every step, then the probabilities, for the names of a table."""
+    sigmoid = lambda x: f"1.0 / (1.0 + exp(-({x})))"
+    raw = {g: f"(r.{g} + b.{g} + coalesce(w.{g}, 0.0))" for g in _GATES}
+    # s: outputs and cells after a step, with the gates (gi, gf, go, gc), the cell before (was) and its tanh (sq).
+    parts = [f"""s_{name}_0 AS MATERIALIZED (
+        SELECT idx, h, 0.0::DOUBLE AS hv, 0.0::DOUBLE AS cell, 0.0::DOUBLE AS gi, 0.0::DOUBLE AS gf, 0.0::DOUBLE AS go, 0.0::DOUBLE AS gc,
+               0.0::DOUBLE AS was, 0.0::DOUBLE AS sq FROM {rows} CROSS JOIN hid)"""]
+    for t in range(1, NAME_LEN + 1):
+        sums = ", ".join(f"sum(hv * u.{g}) AS {g}" for g in _GATES)
+        parts.append(f"""s_{name}_{t} AS MATERIALIZED (
+            SELECT idx, h, go * tanh(cell) AS hv, cell, gi, gf, go, gc, was, tanh(cell) AS sq
+            FROM (SELECT *, gf * was + gi * gc AS cell FROM (
+                SELECT r.idx, r.h, {sigmoid(raw["i"])} AS gi, {sigmoid(raw["f"])} AS gf, {sigmoid(raw["o"])} AS go, tanh({raw["c"]}) AS gc, p.cell AS was
+                FROM (SELECT idx, u.h, {sums} FROM s_{name}_{t - 1} s JOIN u_{r} u ON u.k = s.h GROUP BY idx, u.h) r
+                JOIN s_{name}_{t - 1} p ON p.idx = r.idx AND p.h = r.h JOIN b_{r} b ON b.h = r.h
+                LEFT JOIN (SELECT idx, char_id FROM reads WHERE t = {t}) x ON x.idx = r.idx
+                LEFT JOIN w_{r} w ON w.char_id = x.char_id AND w.h = r.h)))""")
+    last = f"s_{name}_{NAME_LEN}"
+    parts.append(f"""o2_{name} AS MATERIALIZED (
+        SELECT idx, label_id, sum(hv * w.v) + any_value(b.v) AS raw FROM {last} JOIN w2_{r} w USING (h) JOIN b2_{r} b USING (label_id) GROUP BY idx, label_id)""")
+    parts.append(f"""p_{name} AS MATERIALIZED (
+        SELECT idx, label_id, raw, exp(greatest(0.0, raw)) / sum(exp(greatest(0.0, raw))) OVER (PARTITION BY idx) AS p, label_id = true_id AS hit
+        FROM o2_{name} JOIN truth USING (idx))""")
+    return parts
+
+
+def _lstm_backward(name: str, r: int) -> list[str]:
+    """Errors of every gate, step by step from the end: ``d_<name> (t, idx, h, i, f, o, c)``."""
+    parts = [
+        f"e_{name} AS MATERIALIZED (SELECT idx, label_id, CASE WHEN raw > 0 THEN p - CASE WHEN hit THEN 1.0 ELSE 0.0 END ELSE 0.0 END AS e FROM p_{name})",
+        f"""k_{name}_{NAME_LEN} AS MATERIALIZED (
+            SELECT idx, h, sum(e * v) AS back, 0.0::DOUBLE AS cell FROM e_{name} JOIN w2_{r} USING (label_id) GROUP BY idx, h)"""]
+    for t in range(NAME_LEN, 0, -1):
+        parts.append(f"""d_{name}_{t} AS MATERIALIZED (
+            SELECT idx, h, dc * gc * gi * (1 - gi) AS i, dc * was * gf * (1 - gf) AS f, back * sq * go * (1 - go) AS o, dc * gi * (1 - gc * gc) AS c, dc * gf AS cell
+            FROM (SELECT s.*, k.back, k.cell + k.back * go * (1 - sq * sq) AS dc FROM s_{name}_{t} s JOIN k_{name}_{t} k ON k.idx = s.idx AND k.h = s.h))""")
+        if t > 1:
+            parts.append(f"""k_{name}_{t - 1} AS MATERIALIZED (
+                SELECT b.idx, b.h, b.back, d.cell
+                FROM (SELECT idx, u.k AS h, sum(d.i * u.i + d.f * u.f + d.o * u.o + d.c * u.c) AS back FROM d_{name}_{t} d JOIN u_{r} u ON u.h = d.h GROUP BY idx, u.k) b
+                JOIN d_{name}_{t} d ON d.idx = b.idx AND d.h = b.h)""")
+    parts.append(f"d_{name} AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT {t} AS t, idx, h, i, f, o, c FROM d_{name}_{t}" for t in range(1, NAME_LEN + 1)) + ")")
+    parts.append(f"z_{name} AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT {t} AS t, idx, h AS k, hv FROM s_{name}_{t - 1}" for t in range(1, NAME_LEN + 1)) + ")")
+    return parts
+
+
+def _lstm_gradient_sql() -> str:
+    parts = [*_lstm_start(), *_lstm_forward("x", 0, "truth"), *_lstm_backward("x", 0), "n AS (SELECT count(*)::DOUBLE AS n FROM part)"]
+    slots = ["SELECT 'loss' AS slot, " + sql_places("sum(-ln(p)) / any_value(n.n)") + " AS v FROM p_x, n WHERE hit",
+             f"SELECT 'b2:' || label_id, {sql_places("sum(e) / any_value(n.n)")} FROM e_x, n GROUP BY label_id",
+             f"SELECT 'w2:' || h || ':' || label_id, {sql_places("sum(hv * e) / any_value(n.n)")} FROM s_x_{NAME_LEN} JOIN e_x USING (idx), n GROUP BY h, label_id"]
+    for g in _GATES:
+        mean = sql_places(f"sum(d_x.{g}) / any_value(n.n)")
+        slots += [f"SELECT 'b{g}:' || h, {mean} FROM d_x, n GROUP BY h",
+                  f"SELECT 'w{g}:' || char_id || ':' || h, {mean} FROM d_x JOIN reads USING (idx, t), n GROUP BY char_id, h",
+                  f"SELECT 'u{g}:' || k || ':' || h, {sql_places(f'sum(hv * d_x.{g}) / any_value(n.n)')} FROM d_x JOIN z_x USING (idx, t), n GROUP BY k, h"]
+    return ",\n".join(parts) + "\n" + "\nUNION ALL ".join(slots)
+
+
+@catalog.add(_lstm_gradient_sql())
+def lstm_gradient(spark, sf_dir):
+    """Mean loss and gradient of the recurrent model at hashed parameters."""
+    examples, shape = _prepared(spark, sf_dir, networks.LSTM, _HIDDEN)
+    loss, _, grad = networks.evaluate(examples, networks.LSTM, shape, _hashed_parameters(networks.LSTM, shape), True)
+    rows = [("loss", loss)]
+    for name, values in grad.items():
+        # A character that no name has got no gradient, and no row in SQL.
+        used = values.any(axis=1) if name in {f"w{g}" for g in _GATES} else [True] * len(values)
+        rows += [(":".join([name, *map(str, at)]), float(v)) for at, v in _indexed(values) if used[at[0]]]
+    return spark.createDataFrame(rows, "slot string, v double").withColumn("v", places("v"))
+
+
 def _train_predict(spark, sf_dir, model: networks.Model):
     """Two epochs of a few large batches, then the probabilities of every training name."""
     examples, shape = _prepared(spark, sf_dir, model, _HIDDEN)
