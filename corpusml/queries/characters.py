@@ -428,15 +428,46 @@ _BEST = "SELECT epoch FROM (" + " UNION ALL ".join(f"SELECT {e} AS epoch, loss F
 _ALL_EPOCHS = " UNION ALL ".join(f"SELECT {e} AS epoch, * FROM p_epoch{e}" for e in range(EPOCHS))
 
 
-@catalog.add(f"""
-    {_mlp_rounds()}
+_PREDICTED = f"""
     SELECT idx, CAST(arg_max(label_id, (p, -label_id)) AS INTEGER) AS label_id, {sql_places("max(p)")} AS p, {sql_places("sum(CASE WHEN hit THEN -ln(p) END)")} AS loss
-    FROM ({_ALL_EPOCHS}) WHERE epoch = ({_BEST}) GROUP BY idx
-""")
+    FROM ({_ALL_EPOCHS}) WHERE epoch = ({_BEST}) GROUP BY idx"""
+
+
+@catalog.add(f"{_mlp_rounds()}\n{_PREDICTED}")
 def mlp_train_predict(spark, sf_dir):
     return _train_predict(spark, sf_dir, networks.MLP)
 
 
-@catalog.add()
+def _lstm_rounds() -> str:
+    """The rounds of training the recurrent model, one set of parameter tables per round."""
+    parts, r = _lstm_start(), 0
+    for epoch in range(EPOCHS):
+        parts.append(f"""order_{epoch} AS MATERIALIZED (
+            SELECT p_partkey AS idx, (row_number() OVER (ORDER BY {sql_digest(f"'0:{epoch}:' || p_partkey")}, p_partkey) - 1) // size.batch AS batch
+            FROM part, size)""")
+        for batch in range(STEPS):
+            parts.append(f"m_{r} AS MATERIALIZED (SELECT idx FROM order_{epoch} WHERE batch = {batch})")
+            parts.extend([*_lstm_forward(str(r), r, f"m_{r}"), *_lstm_backward(str(r), r)])
+            step = f"{RATE} / (SELECT count(*) FROM m_{r})"
+            moved = ", ".join(f"any_value(a.{g}) - {step} * coalesce(sum(d.{g}), 0.0) AS {g}" for g in _GATES)
+            carried = ", ".join(f"any_value(a.{g}) - {step} * sum(z.hv * d.{g}) AS {g}" for g in _GATES)
+            parts.extend([
+                f"""w_{r + 1} AS MATERIALIZED (
+                    SELECT a.char_id, a.h, {moved} FROM w_{r} a
+                    LEFT JOIN (SELECT * FROM d_{r} JOIN reads USING (idx, t)) d ON d.char_id = a.char_id AND d.h = a.h GROUP BY a.char_id, a.h)""",
+                f"""u_{r + 1} AS MATERIALIZED (
+                    SELECT a.k, a.h, {carried} FROM u_{r} a JOIN d_{r} d ON d.h = a.h JOIN z_{r} z ON z.idx = d.idx AND z.t = d.t AND z.k = a.k GROUP BY a.k, a.h)""",
+                f"b_{r + 1} AS MATERIALIZED (SELECT a.h, {moved} FROM b_{r} a JOIN d_{r} d ON d.h = a.h GROUP BY a.h)",
+                f"b2_{r + 1} AS MATERIALIZED (SELECT label_id, any_value(b.v) - {step} * sum(e) AS v FROM b2_{r} b JOIN e_{r} USING (label_id) GROUP BY label_id)",
+                f"""w2_{r + 1} AS MATERIALIZED (
+                    SELECT h, label_id, any_value(w.v) - {step} * sum(hv * e) AS v
+                    FROM w2_{r} w JOIN e_{r} USING (label_id) JOIN s_{r}_{NAME_LEN} USING (idx, h) GROUP BY h, label_id)"""])
+            r += 1
+        parts.extend(_lstm_forward(f"epoch{epoch}", r, "truth"))
+        parts.append(f"loss_{epoch} AS (SELECT avg(-ln(p)) AS loss FROM p_epoch{epoch} WHERE hit)")
+    return ",\n".join(parts)
+
+
+@catalog.add(f"{_lstm_rounds()}\n{_PREDICTED}")
 def lstm_train_predict(spark, sf_dir):
     return _train_predict(spark, sf_dir, networks.LSTM)
