@@ -131,6 +131,13 @@ def lda_gibbs(spark, sf_dir):
     return topics.train(docs, topics.num_words(docs), SETTINGS, likelihood=False).word_topics
 
 
+@catalog.add(f"WITH {_WORDS} SELECT word_id, count(*) AS n FROM tok JOIN vocab USING (word) GROUP BY word_id")
+def lda_gibbs_totals(spark, sf_dir):
+    """Sampling moves occurrences between topics: the sums of every word stay those of the corpus."""
+    counts = lda_gibbs(spark, sf_dir)
+    return counts.groupBy(F.col("word_id").cast("long").alias("word_id")).agg(F.sum("n").alias("n"))
+
+
 @catalog.add()
 def lda_likelihood_history(spark, sf_dir):
     """Log likelihood after each sweep."""
