@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Characters that separate words; everything else belongs to a word.
@@ -127,22 +127,8 @@ def utf8(text: Column | str) -> Column:
     return F.coalesce(F.encode(text, "UTF-8"), F.lit(b""))
 
 
-def map_texts(df: DataFrame, by, schema: str) -> DataFrame:
-    """Run ``by(iterator of Arrow batches)`` on every partition."""
-    return df.mapInArrow(by, schema)
-
-
-def batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 20_000) -> Iterator[pa.RecordBatch]:
-    """Arrow batches of at most ``size`` rows out of single rows."""
-    kept: list[tuple] = []
-    for row in rows:
-        kept.append(row)
-        if len(kept) >= size:
-            yield _batch(kept, schema)
-            kept = []
-    if kept:
-        yield _batch(kept, schema)
-
-
-def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+def slices(parts: Iterator[pa.RecordBatch], size: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, which keeps down what a task holds of long texts."""
+    for part in parts:
+        for at in range(0, part.num_rows, size):
+            yield part.slice(at, size)

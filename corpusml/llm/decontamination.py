@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusml.llm.common import LOWER, byte_sums, prefix_sums, run_hashes, stretch_hashes, utf8
+from corpusml.llm.common import LOWER, byte_sums, prefix_sums, run_hashes, slices, stretch_hashes, utf8
 
 MIN_MATCH = 5
 COVERAGE = 0.5
@@ -187,7 +187,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFram
 
         def run(parts, shared=shared):
             seeds = Seeds(shared.value)
-            for part in parts:
+            for part in slices(parts):
                 keep = [not seeds.matches((t.as_py() or "").encode()) for t in part.column(text)]
                 yield part.filter(pa.array(keep, pa.bool_()))
 

@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusml.llm.common import mix, prefix_sums, run_hashes, stretch_hashes, utf8
+from corpusml.llm.common import mix, run_hashes, stretch_hashes, utf8
 from corpusml.storage import materialize
 
 _PLACES = 20

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusml.llm.common import LOWER, utf8, word_spans
+from corpusml.llm.common import LOWER, slices, utf8, word_spans
 from corpusml.llm.labels import held_out, training_sample
 
 TRAIN_ROWS = 6000
@@ -265,7 +265,7 @@ def keep_clean(docs: DataFrame, model: tuple[np.ndarray, dict[str, float], float
     def run(parts):
         costs, weights, base = shared.value
         restorer, telling = Restorer(costs), {w.encode(): w for w in weights}
-        for part in parts:
+        for part in slices(parts):
             keep = []
             for body in part.column(text):
                 own = sorted(telling[w] for w in telling.keys() & restorer.words((body.as_py() or "").encode()))
