@@ -1,12 +1,15 @@
 """Toxicity scores on text restored by a noisy-channel decoder.
 
 A character language model (four letters, interpolated with shorter contexts) is counted over
-all documents. Words that look disguised are decoded: every written character opens the letters
-it may stand for (itself, leetspeak look-alikes, any letter for an asterisk, nothing for a
-separator or a stretched letter), each at a channel cost, and a Viterbi search over this lattice
-finds the letters with the least total of channel and language-model cost. Words spelled out with
-separators between the letters are joined first. A document then counts as the set of its plain
-and its restored words.
+all documents. Every word for which the lattice below offers more than its own letters is
+decoded: every written character opens the letters it may stand for (itself, leetspeak look-alikes,
+any letter for an asterisk, nothing for a separator or a stretched letter), each at a channel cost,
+and a Viterbi search over this lattice finds the letters with the least total of channel and
+language-model cost. The gate is read from the same tables: a look-alike or separator anywhere in a
+word with a letter, or a doubled letter. Two and more single letters with blanks or separators between
+them are decoded joined, and once more with every gap either a blank or nothing, so that words beside
+a spelled one ("a m.o.r.o.n") come off it. A document then counts as the set of its plain and its
+restored words.
 
 Scores are learned on a bounded sample of labelled rows (``TRAIN_ROWS``), restored in the same
 way: words whose presence goes with toxic labels far beyond chance (likelihood ratio) get the
@@ -50,16 +53,28 @@ SWAP, WILD, DROP, STRETCH = 1.0, 3.0, 0.5, 0.7
 
 _EDGES = "\"'`.,;:?!()[]{}<>&#%~^/\\=*_-|+"
 _CLOSING = re.compile(r"([^\w\s])\1{2,}$")
-#: Letters with the same single separator between them, at least four.
-_SPELLED = re.compile(rb"(?<![a-z0-9\x80-\xff])[a-z0-9@$!](?:([ .\-_*])[a-z0-9@$!])(?:\1[a-z0-9@$!]){2,}(?![a-z0-9\x80-\xff])")
+#: Look-alikes beyond ASCII as single bytes that UTF-8 does not use, so that all gates are byte-wise.
+_FOLDED = {c.encode(): bytes([0xF8 + i]) for i, c in enumerate(c for c in LOOKALIKES if ord(c) >= 128)}
+_LOOKS = b"".join(_FOLDED.get(c.encode(), c.encode()) for c in LOOKALIKES)
+_GAPS = b" \t\n\x0b\x0c\r" + SEPARATORS.encode()
+_SOLO, _GAP = b"[a-z" + re.escape(_LOOKS) + b"]", b"[" + re.escape(_GAPS) + b"]"
+_BEFORE, _AFTER = rb"(?<![a-z0-9\x80-\xff])", rb"(?![a-z0-9\x80-\xff])"
+#: Two and more single letters with any gaps between them; inside it, four and more with the same single separator.
+_SPELLED = re.compile(_BEFORE + _SOLO + b"(?:" + _GAP + b"++" + _SOLO + b")+" + _AFTER)
+_EVEN = re.compile(_BEFORE + _SOLO + b"(?:(" + _GAP + b")" + _SOLO + rb")(?:\1" + _SOLO + b"){2,}" + _AFTER)
+
+#: Letters that stand for themselves only.
+_CERTAIN = re.compile(r"(?:([a-z])(?!\1))+")
 
 # Classes of bytes: upper case becomes lower case, other ASCII that is no letter splits plain words.
 _LOWER = bytes(LOWER)
 _PLAIN = bytes(LOWER[c] if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
-_LETTER = np.array([c >= 128 or chr(c).isalpha() for c in range(256)])
-_MARK = np.array([c < 128 and chr(c) in {*LOOKALIKES, *SEPARATORS} for c in range(256)])
-_SWAPPED = np.array([c < 128 and chr(c) in "$@013457" for c in range(256)])
-_SPACING = np.array([c < 128 and chr(c) in " .-_*" for c in range(256)])
+_LETTER = np.array([(c >= 128 or chr(c).isalpha()) and c not in _LOOKS for c in range(256)])
+_ASCII = np.array([c < 128 and chr(c).isalpha() for c in range(256)])
+_MARK = np.array([c in _LOOKS + SEPARATORS.encode() for c in range(256)])
+_GAPPED = np.array([c in _GAPS for c in range(256)])
+_SINGLE = _ASCII | np.array([c in _LOOKS for c in range(256)])
+_JOINED = np.array([c >= 128 or chr(c).isalnum() for c in range(256)])
 
 _CODE = np.zeros(256, np.int64)
 _CODE[97:123] = np.arange(1, 27)
@@ -114,6 +129,8 @@ def _options(char: str, before: str) -> list[tuple[int, float]]:
         if char == before:
             found.append((-1, STRETCH))
     found += [(ord(c) - 96, SWAP) for c in LOOKALIKES.get(char, "")]
+    if char == " ":  # only between letters that are spelled out
+        found += [(0, 0.0), (-1, DROP)]
     if char == "*":
         found += [(c, WILD) for c in range(1, 27)]
     if char in SEPARATORS or char in LOOKALIKES:
@@ -128,65 +145,87 @@ def decode(word: str, costs) -> str:
     before = ""
     for char in word:
         following: dict[int, tuple[float, str]] = {}
+        options = _options(char, before)
+        if len(states) == 1 == len(options) and options[0][0] >= 0:
+            # One way only, as in most of most words.
+            ((state, (cost, letters)),), ((code, channel),) = states.items(), options
+            at = state * LETTERS + code
+            states, before = {at % LETTERS**3: (cost + channel + costs[at], letters + (chr(96 + code) if code else " "))}, char
+            continue
         for state, (cost, letters) in states.items():
-            for code, channel in _options(char, before):
+            for code, channel in options:
                 if code < 0:
                     new, total, out = state, cost + channel, letters
                 else:
-                    total = cost + channel + float(costs[state * LETTERS + code])
+                    total = cost + channel + costs[state * LETTERS + code]
                     new, out = (state * LETTERS + code) % LETTERS**3, letters + (chr(96 + code) if code else " ")
                 if new not in following or total < following[new][0]:
                     following[new] = (total, out)
         states, before = following, char
-    return min((cost + float(costs[state * LETTERS]), letters) for state, (cost, letters) in states.items())[1].strip()
+    return min((cost + costs[state * LETTERS], letters) for state, (cost, letters) in states.items())[1].strip()
 
 
 class Restorer:
     """Turns a text into the set of its plain and restored words."""
 
     def __init__(self, costs: np.ndarray) -> None:
-        self.costs = costs
+        self.costs = costs.tolist()  # read one by one
         self.known: dict[bytes, tuple[bytes, ...]] = {}
 
     def restored(self, token: bytes) -> tuple[bytes, ...]:
         """What a disguised token may stand for."""
-        forms = self.known.get(token)
+        key, forms = token, self.known.get(token)
         if forms is None:
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
             # A long closing run of one mark is decoration.
-            body = _CLOSING.sub("", token.decode("utf-8", "replace").strip("\"'`,;:?()[]{}<>&#%/\\="))
+            for char, byte in _FOLDED.items():
+                token = token.replace(byte, char)
+            whole = token.decode("utf-8", "replace")
+            body = _CLOSING.sub("", whole.strip("\"'`,;:?()[]{}<>&#%/\\="))
             # With and without the marks at its ends: they may be letters or punctuation.
-            spelled = {body, body.strip(_EDGES)}
-            forms = tuple({w.encode() for s in spelled if any(not c.isalpha() or c == d for c, d in zip(s, s[1:] + s[-1:])) for w in decode(s, self.costs).split()})
-            self.known[token] = forms
+            spelled = {_CLOSING.sub("", whole.strip("\"`,;:?)[]{}<>&#%/\\=")), body, body.strip(_EDGES)}
+            forms = tuple({w.encode() for s in spelled for w in ([s] if _CERTAIN.fullmatch(s) else decode(s, self.costs).split())})
+            self.known[key] = forms
         return forms
 
     def words(self, raw: bytes) -> set[bytes]:
         found = set(raw.translate(_PLAIN).split())
         lowered = raw.translate(_LOWER)
+        for char, byte in _FOLDED.items():
+            lowered = lowered.replace(char, byte)
         text = np.frombuffer(lowered, np.uint8)
-        if len(text) < 3:
+        if not len(text):
             return found
-        letter, mark = _LETTER[text], _MARK[text]
-        odd = np.zeros(len(text), bool)
-        odd[:-1] = mark[:-1] & letter[1:] | letter[:-1] & _SWAPPED[text[1:]]
-        same = text[:-1] == text[1:]
-        odd[:-2] |= same[:-1] & same[1:] & letter[:-2]
-        at = np.flatnonzero(odd)
-        if len(at):
-            starts, ends = word_spans(text)
-            for i in np.unique(np.searchsorted(starts, at, "right") - 1):
-                if i >= 0:
-                    found.update(self.restored(lowered[starts[i] : ends[i]]))
-        gaps = _SPACING[text]
-        if (gaps[1:-3] & (text[1:-3] == text[3:-1]) & ~gaps[:-4] & ~gaps[2:-2] & ~gaps[4:]).any():
+        letters, odd = np.zeros(len(text) + 1, np.int64), np.zeros(len(text) + 1, np.int64)
+        np.cumsum(_LETTER[text], out=letters[1:])
+        opened = _MARK[text]
+        opened[1:] |= (text[:-1] == text[1:]) & _ASCII[text[1:]]
+        np.cumsum(opened, out=odd[1:])
+        starts, ends = word_spans(text)
+        at = (letters[ends] > letters[starts]) & (odd[ends] > odd[starts])
+        for token in {lowered[i:j] for i, j in zip(starts[at].tolist(), ends[at].tolist())}:
+            found.update(self.restored(token))
+        if self._spelled(text):
             for spelled in _SPELLED.finditer(lowered):
-                joined = spelled[0].replace(spelled[1], b"")
-                found.add(joined)
-                found.update(self.restored(joined))
+                run = spelled[0].translate(None, _GAPS)
+                if len(run) >= 4 or any(97 <= c <= 122 for c in run):
+                    for joined in {run, *(even[0].replace(even[1], b"") for even in _EVEN.finditer(spelled[0]))}:
+                        found.add(joined)
+                        found.update(self.restored(joined))
+                    found.update(self.restored(b" ".join(run[i : i + 1] for i in range(len(run)))))
         return found
 
+    @staticmethod
+    def _spelled(text: np.ndarray) -> bool:
+        """Whether two single letters stand with nothing but a gap between them."""
+        joined = np.zeros(len(text) + 2, bool)
+        joined[1:-1] = _JOINED[text]
+        alone = np.flatnonzero(_SINGLE[text] & ~joined[:-2] & ~joined[2:])
+        other = np.zeros(len(text) + 1, np.int64)
+        np.cumsum(~_GAPPED[text], out=other[1:])
+        return bool(((other[alone[1:]] == other[alone[:-1] + 1]) & (np.diff(alone) > 1)).any())
+
 
 def word_weights(sample: DataFrame, costs: np.ndarray, max_words: int = MAX_WORDS) -> tuple[dict[str, float], float]:
     """Weights of telling words and the base score, from ``(doc_id, text, label)`` rows."""

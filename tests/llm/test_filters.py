@@ -52,8 +52,8 @@ def test_the_held_out_fold_is_not_learned(spark):
     assert training_sample(docs, labels, "toxic", 7).count() == 7
 
 
-def restorer():
-    text = " ".join([prose(1, 300), "idiot stupid worthless clown moron trash loser " * 30])
+def restorer(more=""):
+    text = " ".join([prose(1, 300), "idiot stupid worthless clown moron trash loser " * 30, more])
     codes = toxicity._CODE[np.frombuffer(b"\n\n\n" + text.encode() + b"\n\n\n", np.uint8)]
     runs = ((codes[:-3] * 27 + codes[1:-2]) * 27 + codes[2:-1]) * 27 + codes[3:]
     seen, n = np.unique(runs, return_counts=True)
@@ -68,6 +68,21 @@ def test_disguised_words(written, word):
     assert word.encode() in restorer().words(f"some {written} here".encode())
 
 
+@pytest.mark.parametrize("written, word", [
+    ("idio+", "idiot"), ("trash|", "trash"), ("dum8", "dumb"), ("id¡ot", "idiot"), ("los€r", "loser"), ("£oser", "loser"), ("stuupid", "stupid"),
+    ("iiddiioot", "idiot"), ("(lown", "clown"), ("(idiot)", "idiot"), ("i  d  i  o  t", "idiot"), ("i-d_i.o t", "idiot"), ("i. d. i. o. t.", "idiot"),
+    ("a m.o.r.o.n", "moron"), ("a m o r o n", "moron"), ("i\nd\ni\no\nt", "idiot"), ("£ o s e r!", "loser"), ("d u m 8", "dumb"),
+])
+def test_the_gate_is_as_wide_as_the_lattice(written, word):
+    known = restorer("a dumb thing is a moron " * 30)
+    assert word.encode() in known.words(f"some {written} here".encode()) and word.encode() in known.words(written.encode())
+
+
+def test_two_letters_are_decoded():
+    assert b"no" in restorer("no " * 30).words(b"n0") and b"no" in restorer("no " * 30).words(b"n o")
+    assert restorer().words(b"") == set() and restorer().words(b"12.5 (7)") == set()
+
+
 def test_letter_counts_cover_all_texts(spark):
     docs = table(spark, [(1, "abca", "", "", 1), (2, None, "", "", 1), (3, "ABCA é", "", "", 1)])
     counts = dict(got(toxicity.count_letters(docs, "text"), "run", "n"))
