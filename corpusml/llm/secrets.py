@@ -4,9 +4,13 @@ Three base kinds are found by pattern in every whole text: ``assign`` (a keyword
 ``access`` (access key ids) and ``hex`` (long hexadecimal runs). The scan also collects ``bare``
 candidates, long tokens of mixed letters and digits without any keyword. The value of every
 candidate is hashed and the hashes are counted over the whole corpus by distinct owners and
-distinct repositories: a value that many owners have is a copied example, one that a single owner
-has is specific to it. A bare token becomes a span only if it belongs to one owner and looks
-live (enough different characters, no placeholder word, no overlap with a base span).
+distinct repositories. A value of ``COPIED_OWNERS`` owners or ``COPIED_REPOSITORIES`` repositories
+and more is a copied example, whichever comes first; a value of one owner in fewer repositories is
+specific to it. A value of two owners in fewer repositories is undecided: neither copied nor live, its
+base spans stay and its bare tokens are no spans. A bare token becomes a span only if it is specific
+to one owner and looks live (enough different characters, no placeholder word, no overlap with a base
+span). ``OP_SQL`` knows owners only, so it agrees as long as no value of fewer than ``COPIED_OWNERS``
+owners is in ``COPIED_REPOSITORIES`` repositories.
 
 Positions are code points. ``split`` and ``regexp_extract_all`` find the same matches, so the
 lengths of the pieces and of the matches add up to the offset of each match. The patterns are run
@@ -15,7 +19,8 @@ the shared folder; counting and joining read that table. Counting combines befor
 and the join on the hash is an equi-join that adaptive execution can split, so a value that a
 third of all documents hold is no problem.
 
-Null and empty texts have no spans; a null owner counts as an owner of its own; repeated rows
+Null and empty texts have no spans; a null owner counts as an owner of its own, and every row with a
+null repository as a repository of its own; repeated rows
 are separate rows of the result; an empty table gives no rows. Only the named columns are read.
 """
 
@@ -40,6 +45,8 @@ PLACEHOLDER = r"(?i)example|sample|dummy|changeme|placeholder|xxxx|your[_-]"
 KINDS = ("assign", "access", "hex", "bare")
 #: Owners that make a value a widely copied example.
 COPIED_OWNERS = 3
+#: Repositories, of all owners together, that do the same: one owner may keep its own value in a few places.
+COPIED_REPOSITORIES = 10
 #: Different characters that a live-looking value has at least.
 LIVE_CHARACTERS = 8
 
@@ -114,17 +121,19 @@ def scan(docs: DataFrame, idx: str = "doc_id", text: str = "text", owner: str =
     """``(row, doc_id, text_hash, base, spans, live, copied)`` for every row of ``docs``.
 
     ``base`` and ``spans`` are arrays of ``(start, end, kind, value)``; ``live`` counts the spans whose
-    value one owner has and looks live, ``copied`` those that at least ``COPIED_OWNERS`` owners have.
+    value is specific to one owner and looks live, ``copied`` those whose value is a copied example.
     """
     found = candidates(docs, idx, text, owner, repository)
-    spans = found.select("row", "owner", "repository", F.explode(F.concat("base", "bare")).alias("span"))
+    place = F.coalesce("repository", F.concat(F.lit("row "), F.col("row").cast("string")))
+    spans = found.select("row", "owner", place.alias("repository"), F.explode(F.concat("base", "bare")).alias("span"))
     spans = spans.withColumn("digest", F.sha2(F.col("span.value"), 256))
     judged = spans.join(ownership(spans.select("digest", "owner", "repository")), "digest")
-    single = (F.col("owners") == 1) & _live(F.col("span.value"))
+    copied = (F.col("owners") >= COPIED_OWNERS) | (F.col("repositories") >= COPIED_REPOSITORIES)
+    single = (F.col("owners") == 1) & ~copied & _live(F.col("span.value"))
     per_row = judged.groupBy("row").agg(
         F.collect_list(F.when((F.col("span.kind") == 3) & single, F.col("span"))).alias("_added"),
         F.sum(single.cast("long")).alias("live"),
-        F.sum((F.col("owners") >= COPIED_OWNERS).cast("long")).alias("copied"),
+        F.sum(copied.cast("long")).alias("copied"),
     )
     none = F.array().cast(_SPAN)
     whole = found.select("row", "doc_id", "text_hash", "base").join(per_row, "row", "left")

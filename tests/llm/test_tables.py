@@ -140,6 +140,21 @@ def test_secrets_against_brute_force(spark):
     assert secrets.scan(table(spark, [])).collect() == []
 
 
+def test_a_token_in_many_documents_of_one_source_is_copied(spark):
+    many, few, two, loose = ("sk9Zx8Yw7Vu6Ts5Rq4Po3N" + c for c in "mnpq")
+    n = secrets.COPIED_REPOSITORIES
+    rows = [(i, f"id {many} here {i}", "en", "a", 1) for i in range(5 * n)]
+    rows += [(1000 + i, f"id {few} here", "en", "a", 1) for i in range(n - 1)] + [(1000, f"id {few} here", "en", "a", 1)]
+    rows += [(2000 + i, f"id {two} here", "en", "ab"[i % 2], 1) for i in range(2)]
+    rows += [(None, f"id {loose} {i}", "en", "c", 1) for i in range(n)]
+    found = secrets.digest_columns(secrets.scan(table(spark, rows))).collect()
+    kinds = {(r["doc_id"] if r["doc_id"] is None else r["doc_id"] // 1000, r["spans"], r["live"]) for r in found}
+    # Of the bare tokens only the one in few documents of one source counts as live.
+    assert kinds == {(0, "", 0), (1, "bare:3:26", 1), (2, "", 0), (None, "", 0)}
+    # The value is counted as copied where it is one, that of two owners is not.
+    assert {(r["doc_id"] if r["doc_id"] is None else r["doc_id"] // 1000, r["copied"]) for r in found} == {(0, 1), (1, 0), (2, 0), (None, 1)}
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([("01234567é9abcdef", [(2, 4, 0, "x"), (3, 6, 1, "y"), (8, 9, 2, "z")]), ("plain", [])], f"body string, spans {secrets._SPAN}")
     assert [r[0] for r in df.select(secrets.redact(F.col("body"), F.col("spans"))).collect()] == ["01[secret]67[secret]9abcdef", "plain"]
