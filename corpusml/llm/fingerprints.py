@@ -1,12 +1,11 @@
 """Document fingerprints by a homomorphic multiset hash of paragraphs.
 
-Every paragraph (line) is hashed into a wide vector of ``LANES`` 32-bit numbers, and a document is the sum
-of the vectors of its paragraphs modulo 2 ** 32, lane by lane. The order of paragraphs does not
-matter; inserting or deleting a paragraph adds or subtracts its vector, without the rest of the text.
+Every paragraph (line) is hashed into a wide vector of ``LANES`` numbers of two halves, and a document is
+the sum of the vectors of its paragraphs, lane by lane. The order of paragraphs does not matter; inserting or deleting a paragraph adds or subtracts its vector, without the rest of the text.
 
-A lane has two halves, each a sum modulo 2 ** 16 of its own. The upper one adds cryptographic digests of
-the paragraphs and serves equality. The lower one adds, for every run of three words of the
-paragraph, plus or minus one by a bit of the run's hash, which makes likeness measurable: the
+The upper half of a lane, modulo 2 ** 16, adds cryptographic digests of the paragraphs and serves
+equality. The lower one, modulo 2 ** 32, which no text is long enough to wrap, adds, for every run of
+three words of the paragraph, plus or minus one by a bit of the run's hash, which makes likeness measurable: the
 squared difference of two sums estimates how many runs they do not share. Likeness is one minus that
 over the sum of both squares, cut to 0..1, and 1 for equal fingerprints.
 
@@ -34,23 +33,25 @@ from corpusml.storage import scratch_path
 
 LANES = 64
 RUN = 3
+# A lane is a 64-bit number: the upper half in its highest 16 bits, the lower one in its lowest 32.
+_SHIFT = 48
+_UPPER, _LOWER = 0xFFFF << _SHIFT, 0xFFFFFFFF
 
 
 def _signs(hashes: np.ndarray) -> np.ndarray:
-    """Sum over the hashes of one sign per lane, modulo 2 ** 16."""
+    """Sum over the hashes of one sign per lane, modulo 2 ** 32."""
     bits = np.unpackbits(mix(hashes).view(np.uint8)).reshape(-1, LANES)
-    return (2 * bits.sum(0, dtype=np.int64) - len(hashes)).astype(np.uint16)
+    return (2 * bits.sum(0, dtype=np.int64) - len(hashes)).astype(np.uint32)
 
 
 def fingerprint(text: bytes) -> np.ndarray:
     """Vector of a text: the sum over its paragraphs."""
-    vector = np.zeros(LANES, np.uint32)
     paragraphs = text.split(b"\n")
     digests = b"".join([hashlib.shake_128(p).digest(2 * LANES) for p in paragraphs])
     upper = np.frombuffer(digests, "<u2").reshape(-1, LANES).sum(0, dtype=np.uint64).astype(np.uint16)
     raw = np.frombuffer(text, np.uint8)
     starts, ends = word_spans(raw)
-    lower = np.zeros(LANES, np.uint16)
+    lower = np.zeros(LANES, np.uint32)
     if len(starts):
         words = stretch_hashes(byte_sums(raw), starts, ends)
         where = np.searchsorted(np.flatnonzero(raw == 10), starts)
@@ -61,31 +62,30 @@ def fingerprint(text: bytes) -> np.ndarray:
         tails = np.append(heads[1:], len(words))
         short = tails - heads < RUN
         lower = _signs(np.concatenate([runs, stretch_hashes(sums, heads[short], tails[short])]))
-    vector += upper.astype(np.uint32) << np.uint32(16)
-    return vector | lower
+    return upper.astype(np.uint64) << np.uint64(_SHIFT) | lower
 
 
 def add(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Fingerprint of the paragraphs of both texts together."""
-    return (a & 0xFFFF0000) + (b & 0xFFFF0000) | (a + b) & 0xFFFF
+    return (a & _UPPER) + (b & _UPPER) | (a + b) & _LOWER
 
 
 def subtract(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Fingerprint of the first text without the paragraphs of the second."""
-    return (a & 0xFFFF0000) - (b & 0xFFFF0000) | (a - b) & 0xFFFF
+    return (a & _UPPER) - (b & _UPPER) | (a - b) & _LOWER
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     if np.array_equal(a, b):
         return 1.0
-    low = [(x & 0xFFFF).astype(np.uint16).view(np.int16).astype(np.float64) for x in (a, b)]
+    low = [(x & _LOWER).astype(np.uint32).view(np.int32).astype(np.float64) for x in (a, b)]
     both = float(low[0] @ low[0] + low[1] @ low[1])
-    apart = (a - b & 0xFFFF).astype(np.uint16).view(np.int16).astype(np.float64)
+    apart = (a - b & _LOWER).astype(np.uint32).view(np.int32).astype(np.float64)
     return 0.0 if both == 0 else min(1.0, max(0.0, 1 - float(apart @ apart) / both))
 
 
 def to_text(vector: np.ndarray) -> str:
-    return vector.astype("<u4").tobytes().hex()
+    return ((vector >> np.uint64(_SHIFT)).astype("<u2").tobytes() + (vector & _LOWER).astype("<u4").tobytes()).hex()
 
 
 def edit(text: str, following: str) -> tuple[str, int]:

@@ -43,6 +43,17 @@ def test_fingerprints_are_homomorphic():
     assert fingerprints.likeness(f(a), f(a + " x")) > 0.8 > 0.3 > fingerprints.likeness(f(a), f(b))
 
 
+def test_fingerprints_of_many_repeated_lines():
+    lines = ["one two three four five six seven eight nine ten"] * 100_000
+    whole, part = (fingerprints.fingerprint("\n".join(lines[:n]).encode()) for n in (100_000, 66_667))
+    # All sums are in proportion: 1 - (1 / 3) ** 2 / (1 + (2 / 3) ** 2).
+    assert abs(fingerprints.likeness(whole, part) - 12 / 13) < 0.001
+    rest = fingerprints.fingerprint("\n".join(lines[66_667:]).encode())
+    assert np.array_equal(fingerprints.add(part, rest), whole) and np.array_equal(fingerprints.subtract(whole, rest), part)
+    texts = {fingerprints.to_text(v) for v in (whole, part, rest)}
+    assert len(texts) == 3 and {len(t) for t in texts} == {fingerprints.LANES * 12}
+
+
 def test_archives_round_trip(spark):
     rows = [(1, "http://a/1", "<p>é</p>"), (2, "http://a/2", "<p>é</p>"), (3, None, None), (4, "u v\r\nw", ""), (5, "http://a/5", "x" * 50_000), (2, "http://a/2", "<p>é</p>"), (None, "http://n", "other")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit(1)).withColumn("payload", F.lit(2))
