@@ -28,8 +28,3 @@ def spark():
 @pytest.fixture
 def path(tmp_path):
     return str(tmp_path / "out")
-
-
-def rows(df):
-    """All rows as tuples, in a fixed order."""
-    return sorted((tuple(r) for r in df.collect()), key=lambda r: tuple((x is not None, str(x)) for x in r))

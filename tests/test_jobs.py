@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from corpusml import jobs

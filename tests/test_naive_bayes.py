@@ -2,7 +2,7 @@ import math
 from collections import Counter
 
 import pytest
-from conftest import rows
+from frames import rows
 
 from corpusml.functions.text import ENGLISH_STOP_WORDS
 from corpusml.plans import evaluate, naive_bayes
