@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusml.llm import decontamination, fingerprints, mixing, near_dedup, quality, secrets, substring_dedup, suffix_dedup, toxicity, warc
+from corpusml.llm import alignment, clustering, decontamination, fingerprints, mixing, near_dedup, quality, secrets, substring_dedup, suffix_dedup, toxicity, warc
 from corpusml.queries.base import Catalog, table
 
 catalog = Catalog()
@@ -69,3 +69,15 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the word sequences that also start earlier."""
     return substring_dedup.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@catalog.add(clustering.OP_SQL)
+def op12_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors with the nearest of 40 centroids after five rounds."""
+    return clustering.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@catalog.add()
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers, aligned by their ends."""
+    return alignment.align(table(spark, sf_dir, "documents"))
