@@ -60,7 +60,7 @@ def first_centroids(vectors: DataFrame, k: int, seed: int) -> np.ndarray:
 def as_matrix(rows: list) -> np.ndarray:
     """64-bit integers where squares fit, else Python's integers."""
     plain = all(-_PLAIN <= c <= _PLAIN for row in rows for c in row)
-    return np.array(rows, np.int64 if plain else object).reshape(len(rows), -1)
+    return np.array(rows, np.int64 if plain else object).reshape(len(rows), len(rows[0]) if rows else 0)
 
 
 def neighbour_lists(centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

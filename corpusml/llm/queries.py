@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusml.llm import alignment, clustering, decontamination, fingerprints, mixing, near_dedup, quality, secrets, substring_dedup, suffix_dedup, toxicity, warc
+from corpusml.llm import alignment, clustering, decontamination, extraction, fingerprints, mixing, near_dedup, quality, secrets, substring_dedup, suffix_dedup, toxicity, warc
 from corpusml.queries.base import Catalog, table
 
 catalog = Catalog()
@@ -81,3 +81,9 @@ def op12_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of two tokenizers, aligned by their ends."""
     return alignment.align(table(spark, sf_dir, "documents"))
+
+
+@catalog.add()
+def op11_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extraction.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
