@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The English stop-word list that defines the filtered tokenizer.
@@ -82,3 +84,39 @@ def _never_null(number: Column) -> Column:
 def characters(text: Column | str) -> Column:
     """Array of the characters of a string; empty for an empty string."""
     return F.filter(F.split(text, ""), lambda c: F.length(c) > 0)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def term_counts(terms: Column) -> Column:
+    """``array<(term, n)>``: the distinct entries of an array with their numbers, in sorted order.
+
+    All of it happens inside the row, so rows are exploded by distinct terms and need no shuffle
+    to be counted. NULL for an empty array.
+    """
+
+    def fold(a: Column) -> Column:
+        n = F.size(a)
+        starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(a, i) != F.get(a, i - 1)))
+
+        def run(s: Column) -> Column:
+            def one(i: Column, k: Column) -> Column:
+                return F.struct(F.get(a, i).alias("term"), (F.coalesce(F.get(s, k + 1), n) - i).cast("long").alias("n"))
+
+            return F.transform(s, one)
+
+        return let(starts, run)
+
+    return let(terms, lambda t: F.when(F.size(t) > 0, let(F.sort_array(t), fold)))
+
+
+def explode_terms(df: DataFrame, terms: Column | str, *keep: str, term: str = "term", n: str = "n") -> DataFrame:
+    """One row per entry of a :func:`term_counts` array.
+
+    The outer form, because for the inner one Spark adds a filter that computes the array once or twice more.
+    """
+    rows = df.select(*keep, F.explode_outer(terms).alias("_entry")).filter(F.col("_entry").isNotNull())
+    return rows.select(*keep, F.col("_entry.term").alias(term), F.col("_entry.n").alias(n))

@@ -38,10 +38,10 @@ def classify_naive_bayes(spark: SparkSession, train: str, test: str, output: str
 
 def classify_logistic(
     spark: SparkSession, train: str, test: str, output: str, buckets: int = 1 << 18, learning_rate: float = 0.5,
-    decay_rate: float = 0.1, epochs: int = 20, batch_size: int = 64, decay_threshold: float = 0.8, seed: int = 0,
+    decay_rate: float = 0.1, epochs: int = 20, steps: int = 100, decay_threshold: float = 0.8, seed: int = 0, batch_size: int = 0,
 ) -> None:
     """``label \\t p,label \\t p,…`` lines in the order of the test documents."""
-    settings = logistic.Settings(buckets, learning_rate, decay_rate, epochs, batch_size, decay_threshold, seed)
+    settings = logistic.Settings(buckets, learning_rate, decay_rate, epochs, steps, decay_threshold, seed, batch_size=batch_size or None)
 
     def documents(path: str) -> DataFrame:
         # A line is a document, whatever its name.
@@ -49,9 +49,8 @@ def classify_logistic(
         return materialize(read.select(F.col("idx").alias("doc_id"), "labels", "text"), "job-documents")
 
     docs = documents(train)
-    labels = logistic.label_list(docs)
-    weights = logistic.train(docs, labels, settings)
-    scored = logistic.predict(documents(test), weights, labels, settings)
+    model = logistic.train(docs, logistic.label_index(docs), settings)
+    scored = logistic.predict(documents(test), model, settings)
     sinks.write_lines(scored.orderBy("doc_id"), sinks.prediction_line(), output)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusml.functions.text import digest_bits
+from corpusml.storage import materialize
 
 
 def top_k(df: DataFrame, group: str, order: list[Column], k: int) -> DataFrame:
@@ -32,6 +33,16 @@ def hashed_rank(df: DataFrame, digest: Column, tie: Column, name: str = "rank",
     return _numbered(rows, ["_range"], ["_digest", "_tie"], name).drop("_digest", "_tie", "_range")
 
 
+def sorted_rank(df: DataFrame, key: str, name: str = "rank") -> DataFrame:
+    """0-based position of every row when sorted by ``key``, a column of distinct values.
+
+    Rows are cut into ranges at sampled split points and stored with their range, so that all later
+    steps see the same ranges. Each range is numbered on its own and shifted by the sizes of the ranges before it.
+    """
+    ranged = df.repartitionByRange(F.col(key)).withColumn("_range", F.spark_partition_id())
+    return _numbered(materialize(ranged, "ranges"), ["_range"], [key], name).drop("_range")
+
+
 def file_rank(lines: DataFrame, name: str = "idx") -> DataFrame:
     """0-based line number over the files of a text source, in path order.
 

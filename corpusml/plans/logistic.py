@@ -1,16 +1,19 @@
 """One-vs-rest logistic regression on hashed words, with lazily regularized mini-batch SGD.
 
-The model has one weight per label and hash bucket. Weights are kept one row per bucket, with
-the labels side by side in arrays, so each document and each bucket crosses a shuffle as one
-row whatever the number of labels:
+The model has one weight per label and hash bucket ("feature"). Labels are numbered in sorted order and stand side by
+side in blocks of ``BLOCK``, any number of them:
 
-    weights   (feature, w array<double>, last array<long>)
-    features  (batch, doc_id, feature, n)
-    targets   (batch, doc_id, y array<double>)
+    labels    (label, label_id)
+    weights   (feature, block, w array<double>, last array<long>)
+    examples  (batch, doc_id, ids array<int>, terms array<(term, n)>)
 
-A round takes one batch: join the weights for the dot products, reduce per document, send the
-residuals back to the words, reduce per bucket, update. With a batch size of 1 this is the
-sequential rule.
+Words are hashed and counted inside the row of their document. A step takes one batch: its terms meet the weights of
+their features, dot products are summed per document and block, the residuals return to the rows of the documents, and
+gradients are summed per feature and block.
+
+The weights lie in ``parts`` pieces by feature. A step reads and rewrites the pieces that its batch has features
+in; the others stay as they are. The number of steps of an epoch is a setting, so the number of jobs does not
+depend on the number of documents; with a batch size of 1 instead this is the sequential rule.
 """
 
 from __future__ import annotations
@@ -20,13 +23,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusml.functions.text import hash_bucket, words
+from corpusml.functions.text import explode_terms, hash_bucket, term_counts, words
 from corpusml.functions.vectors import decay, logistic
+from corpusml.operators.ranking import sorted_rank
 from corpusml.plans import batches
-from corpusml.storage import discard, materialize
+from corpusml.storage import Pieces, discard, materialize
 
 CLAMP = 20.0
 SKIP = 1e-4
+#: Labels side by side in one row.
+BLOCK = 32
+_WEIGHTS = "feature long, block int, w array<double>, last array<long>"
 
 
 @dataclass(frozen=True)
@@ -35,60 +42,111 @@ class Settings:
     learning_rate: float = 0.5
     decay_rate: float = 0.1
     epochs: int = 1
-    batch_size: int = 64
+    steps: int = 100
     decay_threshold: float = 0.8
     seed: int = 0
     portable_hash: bool = False
     shuffle: bool = True
+    batch_size: int | None = None
+    parts: int = 16
+
 
+@dataclass(frozen=True)
+class Labels:
+    """The labels with their numbers, and how they are laid out."""
 
-def label_list(docs: DataFrame, max_labels: int = 1000) -> list[str]:
-    """All labels of the training documents in sorted order; their place is their index.
+    table: DataFrame
+    count: int
+
+    @property
+    def width(self) -> int:
+        return min(BLOCK, max(1, self.count))
+
+    @property
+    def blocks(self) -> int:
+        return max(1, -(-self.count // self.width))
+
+    def names(self) -> DataFrame:
+        """``(block, names array<string>)``."""
+        block = F.floor(F.col("label_id") / self.width).cast("int").alias("block")
+        listed = F.array_sort(F.collect_list(F.struct("label_id", "label")))
+        return self.table.groupBy(block).agg(F.transform(listed, lambda x: x["label"]).alias("names"))
 
-    The list is part of every plan, so more labels than ``max_labels`` are an error.
-    """
-    found = docs.select(F.explode("labels").alias("label")).distinct().limit(max_labels + 1).collect()
-    if len(found) > max_labels:
-        raise ValueError(f"more than {max_labels} labels")
-    return sorted(row["label"] for row in found)
+
+@dataclass(frozen=True)
+class Model:
+    weights: DataFrame
+    labels: Labels
+
+
+def label_index(docs: DataFrame) -> Labels:
+    """All labels of the training documents, numbered in sorted order."""
+    found = docs.select(F.explode("labels").alias("label")).distinct()
+    table = materialize(sorted_rank(found, "label", "label_id"), "logistic-labels")
+    return Labels(table, table.count())
+
+
+def hashed_terms(buckets: int, portable: bool = False) -> Column:
+    """``array<(term, n)>``: occurrences per hash bucket of the lower-case words of a text."""
+    by_word = term_counts(F.transform(words("text"), F.lower))
+    if portable:
+        # The digest is worth computing once per distinct word; words of one bucket may then stand apart.
+        return F.transform(by_word, lambda t: F.struct(hash_bucket(t["term"], buckets, True).alias("term"), t["n"].alias("n")))
+    return term_counts(F.transform(words("text"), lambda w: hash_bucket(F.lower(w), buckets)))
 
 
 def hashed_words(docs: DataFrame, buckets: int, portable: bool = False, *keep: str) -> DataFrame:
     """``(doc_id, feature, n)``: occurrences per document and bucket of lower-case words."""
-    rows = docs.select("doc_id", *keep, F.explode(words("text")).alias("word"))
-    rows = rows.withColumn("feature", hash_bucket(F.lower("word"), buckets, portable))
-    return rows.groupBy("doc_id", *keep, "feature").agg(F.count(F.lit(1)).alias("n"))
+    hashed = F.transform(words("text"), lambda w: hash_bucket(F.lower(w), buckets, portable))
+    return explode_terms(docs, term_counts(hashed), "doc_id", *keep, term="feature")
+
 
+def label_ids(docs: DataFrame, labels: Labels) -> DataFrame:
+    """``(doc_id, ids array<int>)`` of the documents that have a known label."""
+    rows = docs.select("doc_id", F.explode("labels").alias("label")).join(labels.table, "label")
+    return rows.groupBy("doc_id").agg(F.collect_set(F.col("label_id").cast("int")).alias("ids"))
 
-def targets(docs: DataFrame, labels: list[str], *keep: str) -> DataFrame:
-    """``(doc_id, y)``: 1 at the places of a document's labels, else 0."""
-    y = F.array(*[F.array_contains("labels", name).cast("double") for name in labels])
-    return docs.select("doc_id", *keep, y.alias("y"))
 
+def by_block(docs: DataFrame, labels: Labels) -> DataFrame:
+    """A row per document and block with ``y array<double>``: 1 at the places of its labels, else 0; NULL past the last label."""
+    every = F.explode(F.sequence(F.lit(0), F.lit(labels.blocks - 1)))
+    places = F.sequence(F.lit(0), F.lit(labels.width - 1))
 
-def _array(labels: int, one: str) -> Column:
+    def one(k: Column) -> Column:
+        at = F.col("block") * labels.width + k
+        return F.when(at < labels.count, F.coalesce(F.array_contains("ids", at), F.lit(False)).cast("double"))
+
+    return docs.withColumn("block", every).withColumn("y", F.transform(places, one))
+
+
+def _array(width: int, one: str) -> Column:
     """An array with one entry per label; text, as a call per label and operator is slow."""
-    return F.expr("array(" + ", ".join(one.format(i) for i in range(labels)) + ")")
+    return F.expr("array(" + ", ".join(one.format(i) for i in range(width)) + ")")
 
 
-def probabilities(features: DataFrame, docs: DataFrame, weights: DataFrame, labels: int) -> DataFrame:
-    """Add ``p array<double>`` to the rows of ``docs``; a document without words gets 0.5."""
-    dots = features.join(weights.select("feature", "w"), "feature").groupBy("doc_id").agg(
-        _array(labels, "sum(n * w[{0}])").alias("dots")
-    )
-    even = F.array_repeat(F.lit(0.0), labels)
-    p = F.transform(F.coalesce("dots", even), lambda x: logistic(x, CLAMP))
-    return docs.join(dots, "doc_id", "left").select(*docs.columns, p.alias("p"))
+def dots(examples: DataFrame, weights: DataFrame, labels: Labels) -> DataFrame:
+    """``(doc_id, block, dots array<double>)`` of the documents that have a feature with weights."""
+    met = explode_terms(examples, "terms", "doc_id", term="feature").join(weights.select("feature", "block", "w"), "feature")
+    return met.groupBy("doc_id", "block").agg(_array(labels.width, "sum(n * w[{0}])").alias("dots"))
 
 
-def gradient(features: DataFrame, with_p: DataFrame, labels: int) -> DataFrame:
-    """``(feature, g array<double>)``: residuals summed over the words of a batch.
+def probabilities(spread_out: DataFrame, found: DataFrame | None, labels: Labels) -> DataFrame:
+    """Add ``p array<double>`` to rows of documents and blocks; a document without known words gets 0.5."""
+    even = F.array_repeat(F.lit(0.5), labels.width)
+    if found is None:
+        return spread_out.withColumn("p", even)
+    p = F.transform("dots", lambda x: logistic(x, CLAMP))
+    return spread_out.join(found, ["doc_id", "block"], "left").select(*spread_out.columns, F.coalesce(p, even).alias("p"))
+
+
+def gradient(with_p: DataFrame, labels: Labels) -> DataFrame:
+    """``(feature, block, g array<double>)``: residuals summed over the words of a batch.
 
     An entry is NULL where no document with a residual of at least ``1e-4`` has the word.
     """
     residual = F.zip_with("y", "p", lambda y, p: F.when(F.abs(y - p) >= SKIP, y - p))
-    residuals = with_p.select("doc_id", residual.alias("r"))
-    return features.join(residuals, "doc_id").groupBy("feature").agg(_array(labels, "sum(n * r[{0}])").alias("g"))
+    rows = explode_terms(with_p.select("block", "terms", residual.alias("r")), "terms", "block", "r", term="feature")
+    return rows.groupBy("feature", "block").agg(_array(labels.width, "sum(n * r[{0}])").alias("g"))
 
 
 def shrink(w: Column, last: Column, step: Column, rate: float, s: Settings) -> Column:
@@ -97,18 +155,18 @@ def shrink(w: Column, last: Column, step: Column, rate: float, s: Settings) -> C
     return F.when(F.abs(w) >= s.decay_threshold, w * factor).otherwise(w)
 
 
-def update(weights: DataFrame | None, g: DataFrame, step: int, rate: float, labels: int, s: Settings) -> DataFrame:
+def update(weights: DataFrame | None, g: DataFrame, step: int, rate: float, labels: Labels, s: Settings) -> DataFrame:
     """Apply one gradient. Only touched weights decay, for all the steps they were skipped."""
     k = F.lit(step).cast("long")
-    zeros = F.array_repeat(F.lit(0.0), labels)
-    never = F.array_repeat(F.lit(0).cast("long"), labels)
+    zeros = F.array_repeat(F.lit(0.0), labels.width)
+    never = F.array_repeat(F.lit(0).cast("long"), labels.width)
     if weights is None:
-        joined = g.select("feature", "g", zeros.alias("w"), never.alias("last"))
+        joined = g.select("feature", "block", "g", zeros.alias("w"), never.alias("last"))
     else:
-        # Both sides hold each bucket once, so this join has no hot key.
-        joined = weights.join(g, "feature", "full").select(
-            "feature",
-            F.coalesce("g", F.array_repeat(F.lit(None).cast("double"), labels)).alias("g"),
+        # Both sides hold each feature and block once, so this join has no hot key.
+        joined = weights.join(g, ["feature", "block"], "full").select(
+            "feature", "block",
+            F.coalesce("g", F.array_repeat(F.lit(None).cast("double"), labels.width)).alias("g"),
             F.coalesce("w", zeros).alias("w"),
             F.coalesce("last", never).alias("last"),
         )
@@ -117,66 +175,74 @@ def update(weights: DataFrame | None, g: DataFrame, step: int, rate: float, labe
         return F.when(x["g"].isNull(), x["w"]).otherwise(shrink(x["w"], x["last"], k, rate, s) + rate * x["g"])
 
     return joined.select(
-        "feature",
+        "feature", "block",
         F.transform(F.arrays_zip("w", "last", "g"), moved).alias("w"),
         F.zip_with("last", "g", lambda last, g: F.when(g.isNull(), last).otherwise(k)).alias("last"),
     )
 
 
-def train(docs: DataFrame, labels: list[str], s: Settings) -> DataFrame:
-    """Weights after ``s.epochs`` passes over ``(doc_id, labels, text)``.
+def encoded(docs: DataFrame, labels: Labels, s: Settings) -> DataFrame:
+    """``(batch, doc_id, ids, terms)`` of all documents, stored by batch."""
+    size = s.batch_size or max(1, -(-docs.count() // s.steps))
+    # Only ids are sorted into batches; the texts then meet their batch and labels by id.
+    placed = batches.assign(docs.select("doc_id"), "doc_id", size, s.seed, shuffle=s.shuffle).select("doc_id", "batch")
+    rows = docs.select("doc_id", hashed_terms(s.buckets, s.portable_hash).alias("terms"))
+    rows = rows.join(placed, "doc_id").join(label_ids(docs, labels), "doc_id", "left")
+    return materialize(rows, "logistic-examples", ["batch"])
 
-    The learning rate of epoch ``e`` is ``learning_rate / e ** 2``. Features are written once,
-    partitioned by batch, so a round reads its own batch only.
-    """
-    width = len(labels)
-    # Only ids are sorted into batches; the texts then meet their batch in one join, whose
-    # partitioning by document serves the count per document as well.
-    placed = materialize(
-        batches.assign(docs.select("doc_id"), "doc_id", s.batch_size, s.seed, shuffle=s.shuffle), "logistic-batches"
-    )
-    docs = docs.join(placed.select("doc_id", "batch"), "doc_id")
-    features = materialize(
-        hashed_words(docs, s.buckets, s.portable_hash, "batch"), "logistic-features", ["batch"]
-    )
-    truth = materialize(targets(docs, labels, "batch"), "logistic-targets", ["batch"])
-    sizes = [r["count"] for r in truth.groupBy("batch").count().orderBy("batch").collect()]
 
-    weights, step, rate = None, 0, s.learning_rate
+def train(docs: DataFrame, labels: Labels, s: Settings) -> Model:
+    """The model after ``s.epochs`` passes over ``(doc_id, labels, text)``.
+
+    The learning rate of epoch ``e`` is ``learning_rate / e ** 2``.
+    """
+    examples = encoded(docs, labels, s)
+    sizes = [r["count"] for r in examples.groupBy("batch").count().orderBy("batch").collect()]
+    part = F.pmod(F.col("feature"), F.lit(s.parts)).cast("int").alias("part")
+    # Which pieces a batch touches: at most one row per batch and piece.
+    terms = examples.select("batch", F.explode(F.transform("terms", lambda t: t["term"])).alias("feature"))
+    touched: dict[int, list[int]] = {}
+    for row in terms.select("batch", part).distinct().collect():
+        touched.setdefault(row["batch"], []).append(row["part"])
+    pieces = Pieces(docs.sparkSession, "logistic-weights", _WEIGHTS)
+    step, rate = 0, s.learning_rate
     for epoch in range(1, s.epochs + 1):
         rate = s.learning_rate / epoch**2
         for batch, size in enumerate(sizes):
             step += size
-            rows = features.filter(F.col("batch") == batch).drop("batch")
-            docs_now = truth.filter(F.col("batch") == batch).drop("batch")
-            if weights is None:
-                even = F.array_repeat(F.lit(0.5), width)
-                with_p = docs_now.withColumn("p", even)
-            else:
-                with_p = probabilities(rows, docs_now, weights, width)
-            new = materialize(
-                update(weights, gradient(rows, with_p, width), step, rate, width, s), "logistic-weights"
-            )
-            if weights is not None:
-                discard(weights)
-            weights = new
-    for used in (placed, features, truth):
-        discard(used)
+            if batch not in touched:  # no document of it has a word
+                continue
+            rows = examples.filter(F.col("batch") == batch).drop("batch")
+            weights = pieces.read(touched[batch])
+            found = None if weights is None else dots(rows, weights, labels)
+            g = gradient(probabilities(by_block(rows, labels), found, labels), labels)
+            pieces.replace(update(weights, g, step, rate, labels, s).withColumn("part", part), touched[batch])
+    discard(examples)
+    weights = pieces.read()
+    if weights is None:
+        weights = docs.sparkSession.createDataFrame([], _WEIGHTS)
     end = F.lit(step).cast("long")
     final = F.zip_with("w", "last", lambda w, last: shrink(w, last, end, rate, s))
-    return weights.select("feature", final.alias("w"), "last")
+    return Model(weights.select("feature", "block", final.alias("w"), "last"), labels)
 
 
-def weight_rows(weights: DataFrame, labels: list[str]) -> DataFrame:
+def weight_rows(model: Model) -> DataFrame:
     """The model in long form: ``(label, feature, w, last)``."""
-    names = F.array(*[F.lit(name) for name in labels])
-    rows = weights.select("feature", F.explode(F.arrays_zip(names.alias("label"), "w", "last")).alias("x"))
-    return rows.select("x.label", "feature", "x.w", "x.last")
-
-
-def predict(docs: DataFrame, weights: DataFrame, labels: list[str], s: Settings) -> DataFrame:
-    """``(doc_id, scores array<(label, p)>)`` for every document and label."""
-    features = hashed_words(docs, s.buckets, s.portable_hash)
-    with_p = probabilities(features, docs.select("doc_id"), weights, len(labels))
-    pairs = [F.struct(F.lit(name).alias("label"), F.col("p")[i].alias("p")) for i, name in enumerate(labels)]
-    return with_p.select("doc_id", F.array(*pairs).alias("scores"))
+    named = model.weights.join(model.labels.names(), "block")
+    rows = named.select("feature", F.explode(F.arrays_zip(F.col("names").alias("label"), "w", "last")).alias("x"))
+    return rows.filter(F.col("x.label").isNotNull()).select("x.label", "feature", "x.w", "x.last")
+
+
+def predict(docs: DataFrame, model: Model, s: Settings) -> DataFrame:
+    """``(doc_id, scores array<(label, p)>)`` for every document and label, in order of the labels."""
+    labels = model.labels
+    rows = docs.select("doc_id", hashed_terms(s.buckets, s.portable_hash).alias("terms"))
+    spread_out = docs.select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(labels.blocks - 1))).alias("block"))
+    with_p = probabilities(spread_out, dots(rows, model.weights, labels), labels).join(labels.names(), "block")
+    pairs = F.zip_with("names", F.slice("p", F.lit(1), F.size("names")), lambda name, p: F.struct(name.alias("label"), p.alias("p")))
+    scored = with_p.select("doc_id", "block", pairs.alias("scores"))
+    if labels.blocks == 1:
+        return scored.select("doc_id", "scores")
+    # A document's scores are one per label.
+    listed = F.array_sort(F.collect_list(F.struct("block", "scores")))
+    return scored.groupBy("doc_id").agg(F.flatten(F.transform(listed, lambda x: x["scores"])).alias("scores"))

@@ -14,7 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusml.functions.text import digest_bits, is_content_word, words
+from corpusml.functions.text import digest_bits, explode_terms, is_content_word, words
+from corpusml.functions.text import term_counts as in_row
 from corpusml.operators.groups import count_groups, roll_up_counters
 from corpusml.operators.ranking import hashed_rank, top_k
 from corpusml.operators.rows import label_words
@@ -98,9 +99,9 @@ def term_counts(docs: DataFrame) -> DataFrame:
     words; holding the id, placeholders do not gather in one join partition.
     """
     placeholder = F.concat(F.lit(" "), F.col("doc_id").cast("string"))
-    tokens = docs.select("doc_id", F.explode(F.array_append(words("text"), placeholder)).alias("word"))
-    tokens = tokens.withColumn("word", F.lower("word")).filter(is_content_word(F.col("word")))
-    return count_groups(tokens, ["doc_id", "word"], "tf")
+    # Counted inside the row: what is exploded is one row per distinct word already.
+    own = F.transform(F.array_append(words("text"), placeholder), F.lower)
+    return explode_terms(docs, in_row(own), "doc_id", term="word", n="tf").filter(is_content_word(F.col("word")))
 
 
 def number_labels(table: DataFrame, width: int) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from corpusml.functions.vectors import decay, smoothed_log
 from corpusml.plans import evaluate, logistic
-from corpusml.queries.base import SQL_DOC_LABELS, Catalog, documents, places, sql_digest, sql_places
+from corpusml.queries.base import SQL_DOC_LABELS, Catalog, documents, places, sql_digest, sql_places, table
 from corpusml.sources.sinks import prediction_line
 
 catalog = Catalog()
@@ -27,14 +29,12 @@ _FEATURES = rf"""
         FROM documents d CROSS JOIN (SELECT DISTINCT label FROM ({SQL_DOC_LABELS})) l)"""
 
 
-def _settings(docs) -> logistic.Settings:
-    return logistic.Settings(
-        buckets=BUCKETS, learning_rate=RATE, decay_rate=DECAY, epochs=EPOCHS, decay_threshold=THRESHOLD,
-        batch_size=-(-docs.count() // BATCHES), portable_hash=True,
-    )
+SETTINGS = logistic.Settings(
+    buckets=BUCKETS, learning_rate=RATE, decay_rate=DECAY, epochs=EPOCHS, steps=BATCHES, decay_threshold=THRESHOLD, portable_hash=True
+)
 
 
-def _training_sql() -> str:
+def _training_sql(features: str = _FEATURES, epochs: int = EPOCHS) -> str:
     """The rounds of training, one table of weights per round, as common table expressions."""
     parts = [
         "size AS (SELECT CAST(ceil(count(*) / %d.0) AS BIGINT) AS batch FROM documents)" % BATCHES,
@@ -42,11 +42,11 @@ def _training_sql() -> str:
             SELECT doc_id, (row_number() OVER (ORDER BY {sql_digest("'0:0:' || doc_id")}, doc_id) - 1) // size.batch AS batch
             FROM documents, size)""",
         "sizes AS (SELECT batch, count(*) AS rows FROM placed GROUP BY batch)",
-        _FEATURES,
+        features,
         "w0 AS (SELECT '' AS label, 0 AS feature, 0.0 AS w, CAST(0 AS BIGINT) AS last WHERE false)",
     ]
     number = 0
-    for epoch in range(1, EPOCHS + 1):
+    for epoch in range(1, epochs + 1):
         rate = repr(RATE / epoch**2)
         for batch in range(BATCHES):
             old, number = f"w{number}", number + 1
@@ -68,8 +68,8 @@ def _training_sql() -> str:
                              THEN pow(1.0 - {rate} * {DECAY}, {step} - coalesce(last, 0)) ELSE 1.0 END END AS w,
                    CASE WHEN g IS NULL THEN last ELSE {step} END AS last
             FROM {old} o FULL JOIN g{number} g ON o.label = g.label AND o.feature = g.feature)""")
-    rate = repr(RATE / EPOCHS**2)
-    end = f"((SELECT count(*) FROM documents) * {EPOCHS})"
+    rate = repr(RATE / epochs**2)
+    end = f"((SELECT count(*) FROM documents) * {epochs})"
     parts.append(f"""
         model AS MATERIALIZED (
             SELECT label, feature, CAST(last AS BIGINT) AS last,
@@ -92,8 +92,7 @@ _SCORED = f"""{_TRAINED},
 """)
 def lr_label_index(spark, sf_dir):
     """The labels as training numbers them."""
-    found = logistic.label_list(documents(spark, sf_dir))
-    return spark.createDataFrame(list(enumerate(found)), "label_id long, label string").select("label", "label_id")
+    return logistic.label_index(documents(spark, sf_dir)).table.select("label", F.col("label_id").cast("long").alias("label_id"))
 
 
 @catalog.add(f"""
@@ -102,13 +101,11 @@ def lr_label_index(spark, sf_dir):
 """)
 def lr_first_gradient(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    labels = logistic.label_list(docs)
-    even = F.array_repeat(F.lit(0.5), len(labels))
-    with_p = logistic.targets(docs, labels).withColumn("p", even)
-    g = logistic.gradient(logistic.hashed_words(docs, BUCKETS, True), with_p, len(labels))
-    names = F.array(*[F.lit(name) for name in labels])
-    rows = g.select("feature", F.explode(F.arrays_zip(names.alias("label"), "g")).alias("x"))
-    return rows.select("x.label", "feature", places("x.g").alias("g"))
+    labels = logistic.label_index(docs)
+    rows = docs.select("doc_id", logistic.hashed_terms(BUCKETS, True).alias("terms")).join(logistic.label_ids(docs, labels), "doc_id", "left")
+    g = logistic.gradient(logistic.probabilities(logistic.by_block(rows, labels), None, labels), labels)
+    model = logistic.Model(g.select("feature", "block", F.col("g").alias("w"), F.col("g").alias("last")), labels)
+    return logistic.weight_rows(model).select("label", "feature", places("w").alias("g"))
 
 
 @catalog.add(f"""
@@ -136,21 +133,20 @@ def _lineitem(spark, sf_dir):
 
 def _trained(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    labels, settings = logistic.label_list(docs), _settings(docs)
-    return docs, labels, settings, logistic.train(docs, labels, settings)
+    return docs, SETTINGS, logistic.train(docs, logistic.label_index(docs), SETTINGS)
 
 
 @catalog.add(f"{_TRAINED} SELECT label, feature, {sql_places('w')} AS w, last FROM model WHERE last > 0")
 def lr_train_weights(spark, sf_dir):
-    _, labels, _, weights = _trained(spark, sf_dir)
-    rows = logistic.weight_rows(weights, labels).filter(F.col("last") > 0)
+    _, _, model = _trained(spark, sf_dir)
+    rows = logistic.weight_rows(model).filter(F.col("last") > 0)
     return rows.withColumn("w", places("w"))
 
 
 @catalog.add(f"{_SCORED} SELECT doc_id, label, {sql_places('p')} AS p FROM scored")
 def lr_train_predict(spark, sf_dir):
-    docs, labels, settings, weights = _trained(spark, sf_dir)
-    scored = logistic.predict(docs, weights, labels, settings).select("doc_id", F.explode("scores").alias("s"))
+    docs, settings, model = _trained(spark, sf_dir)
+    scored = logistic.predict(docs, model, settings).select("doc_id", F.explode("scores").alias("s"))
     return scored.select("doc_id", "s.label", places("s.p").alias("p"))
 
 
@@ -162,8 +158,8 @@ def lr_train_predict(spark, sf_dir):
     FROM best JOIN documents USING (doc_id) WHERE place = 1
 """)
 def lr_accuracy(spark, sf_dir):
-    docs, labels, settings, weights = _trained(spark, sf_dir)
-    scored = logistic.predict(docs, weights, labels, settings)
+    docs, settings, model = _trained(spark, sf_dir)
+    scored = logistic.predict(docs, model, settings)
     chosen = scored.select("doc_id", evaluate.top_label("scores").alias("label"))
     return evaluate.accuracy(chosen, docs).withColumn("accuracy", places("accuracy"))
 
@@ -173,8 +169,40 @@ def lr_accuracy(spark, sf_dir):
     FROM scored GROUP BY doc_id
 """)
 def lr_prediction_lines(spark, sf_dir):
-    docs, labels, settings, weights = _trained(spark, sf_dir)
-    scored = logistic.predict(docs, weights, labels, settings)
+    docs, settings, model = _trained(spark, sf_dir)
+    scored = logistic.predict(docs, model, settings)
     likely = F.transform("scores", lambda s: F.struct(s["label"].alias("label"), (F.round(s["p"], 3) > 0.5).alias("p")))
     line = F.replace(prediction_line(likely), F.lit("\t"), F.lit(":"))
     return scored.select("doc_id", line.alias("line"))
+
+
+# Part names as short documents with more labels than many blocks hold.
+_MANY_LABELS = 1200
+_MANY_EPOCHS = 1
+_MANY = rf"""
+    documents AS (SELECT p_partkey AS doc_id, 'c' || (p_partkey % {_MANY_LABELS}) AS own, p_name AS text FROM part),
+    """ + _training_sql(rf"""
+    f AS MATERIALIZED (
+        SELECT doc_id, {sql_digest("lower(word)")} % {BUCKETS} AS feature, count(*) AS n
+        FROM (SELECT doc_id, unnest(regexp_extract_all(text, '\w+')) AS word FROM documents) GROUP BY ALL),
+    y AS MATERIALIZED (
+        SELECT doc_id, l.label, CASE WHEN l.label = d.own THEN 1.0 ELSE 0.0 END AS y
+        FROM documents d CROSS JOIN (SELECT DISTINCT own AS label FROM documents) l)""", _MANY_EPOCHS).removeprefix("WITH ")
+
+
+@catalog.add(f"""
+    WITH {_MANY}
+    SELECT d.doc_id, d.own AS label, {sql_places("1.0 / (1.0 + exp(-least(20.0, greatest(-20.0, coalesce(dot, 0.0)))))")} AS p
+    FROM documents d LEFT JOIN (
+        SELECT doc_id, label, sum(n * w) AS dot FROM f JOIN model USING (feature) GROUP BY doc_id, label) s
+    ON s.doc_id = d.doc_id AND s.label = d.own
+""")
+def lr_many_labels(spark, sf_dir):
+    """Over a thousand labels, in blocks: the probability of every document's own label."""
+    label = F.concat(F.lit("c"), (F.col("p_partkey") % _MANY_LABELS).cast("string"))
+    docs = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("doc_id"), F.array(label).alias("labels"), F.col("p_name").alias("text"))
+    settings = replace(SETTINGS, epochs=_MANY_EPOCHS)
+    model = logistic.train(docs, logistic.label_index(docs), settings)
+    scored = logistic.predict(docs, model, settings).join(docs.select("doc_id", F.col("labels")[0].alias("label")), "doc_id")
+    own = F.get(F.filter("scores", lambda x: x["label"] == F.col("label")), 0)
+    return scored.select("doc_id", "label", places(own["p"]).alias("p"))

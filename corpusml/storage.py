@@ -67,8 +67,37 @@ def discard(table: DataFrame) -> None:
     Any other frame is left alone, also one derived from it.
     """
     path = getattr(table, "scratch_path", None)
-    if path is None:
-        return
-    context = table.sparkSession.sparkContext
+    if path is not None:
+        _remove(table.sparkSession, path)
+
+
+class Pieces:
+    """A table in numbered pieces, of which single ones can be replaced; the others stay untouched.
+
+    Each piece is a folder below the shared folder. A replacement writes new folders and removes the old ones only once
+    all of them are complete, so a failed attempt leaves the table as it was.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, schema: str) -> None:
+        self.spark, self.name, self.schema = spark, name, schema
+        self.paths: dict[int, str] = {}
+
+    def read(self, numbers: list[int] | None = None) -> DataFrame | None:
+        """Rows of the given pieces, or of all; None if there are none."""
+        paths = [p for n, p in sorted(self.paths.items()) if numbers is None or n in set(numbers)]
+        return self.spark.read.schema(self.schema).parquet(*paths) if paths else None
+
+    def replace(self, rows: DataFrame, numbers: list[int]) -> None:
+        """Write ``rows``, which have a column ``part`` and fill every piece of ``numbers``, in place of those pieces."""
+        path = scratch_path(self.spark, self.name)
+        rows.hint("rebalance", "part").write.partitionBy("part").parquet(path)
+        old = [self.paths[n] for n in numbers if n in self.paths]
+        self.paths.update({n: f"{path}/part={n}" for n in numbers})
+        for folder in old:
+            _remove(self.spark, folder)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
     folder = context._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)

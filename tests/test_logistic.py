@@ -68,8 +68,8 @@ def test_batches_of_one_are_the_sequential_rule(spark, docs, threshold):
     order = [DOCS[r["doc_id"]] for r in placed]
     assert order != DOCS
     wanted = sequential(order, s)
-    trained = logistic.train(docs, LABELS, s)
-    got = {(r["label"], r["feature"]): r["w"] for r in logistic.weight_rows(trained, LABELS).collect()}
+    trained = logistic.train(docs, logistic.label_index(docs), s)
+    got = {(r["label"], r["feature"]): r["w"] for r in logistic.weight_rows(trained).collect()}
     for y in LABELS:
         for j in range(s.buckets):
             assert got.get((y, j), 0.0) == pytest.approx(wanted[y][j], abs=1e-12)
@@ -77,35 +77,74 @@ def test_batches_of_one_are_the_sequential_rule(spark, docs, threshold):
 
 def test_file_order_is_kept_without_shuffling(spark, docs):
     s = logistic.Settings(buckets=8, epochs=1, batch_size=1, portable_hash=True, shuffle=False)
-    trained = logistic.weight_rows(logistic.train(docs, LABELS, s), LABELS)
+    trained = logistic.weight_rows(logistic.train(docs, logistic.label_index(docs), s))
     got = {(r["label"], r["feature"]): r["w"] for r in trained.collect()}
     wanted = sequential(DOCS, s)
     for key, w in got.items():
         assert w == pytest.approx(wanted[key[0]][key[1]], abs=1e-12)
 
 
+def index(spark, names):
+    return logistic.Labels(spark.createDataFrame(list(zip(names, range(len(names)))), "label string, label_id long"), len(names))
+
+
 def test_a_repeated_word_adds_twice_and_decays_once(spark):
     s = logistic.Settings(buckets=4, decay_rate=0.5, portable_hash=True)
-    weights = spark.createDataFrame([(bucket("red", 4), [1.0], [3])], "feature long, w array<double>, last array<long>")
+    labels = index(spark, ["A"])
+    weights = spark.createDataFrame([(bucket("red", 4), 0, [1.0], [3])], "feature long, block int, w array<double>, last array<long>")
     row = spark.createDataFrame([(1, ["A"], "red red")], "doc_id long, labels array<string>, text string")
-    words = logistic.hashed_words(row, 4, True)
-    with_p = logistic.probabilities(words, logistic.targets(row, ["A"]), weights, 1)
+    rows = row.withColumn("terms", logistic.hashed_terms(4, True)).join(logistic.label_ids(row, labels), "doc_id").select("doc_id", "ids", "terms")
+    with_p = logistic.probabilities(logistic.by_block(rows, labels), logistic.dots(rows, weights, labels), labels)
     p = 1 / (1 + math.exp(-2.0))
     assert with_p.first()["p"] == [pytest.approx(p)]
-    new = logistic.update(weights, logistic.gradient(words, with_p, 1), 5, 0.1, 1, s).first()
+    new = logistic.update(weights, logistic.gradient(with_p, labels), 5, 0.1, labels, s).first()
     assert new["w"][0] == pytest.approx(1.0 * (1 - 0.1 * 0.5) ** 2 + 2 * 0.1 * (1 - p))
     assert new["last"] == [5]
 
 
 def test_a_small_residual_is_skipped(spark):
-    words = spark.createDataFrame([(1, 0, 1)], "doc_id long, feature long, n long")
-    with_p = spark.createDataFrame([(1, [1.0, 0.0], [0.99995, 0.5])], "doc_id long, y array<double>, p array<double>")
-    assert logistic.gradient(words, with_p, 2).first()["g"] == [None, -0.5]
+    with_p = spark.createDataFrame(
+        [(1, 0, [1.0, 0.0], [0.99995, 0.5], [(0, 1)])], "doc_id long, block int, y array<double>, p array<double>, terms array<struct<term:long,n:long>>")
+    assert logistic.gradient(with_p, index(spark, ["A", "B"])).first()["g"] == [None, -0.5]
+
+
+def test_labels_in_several_blocks(spark, docs, monkeypatch):
+    s = logistic.Settings(buckets=8, learning_rate=0.9, decay_rate=0.3, epochs=2, batch_size=2, portable_hash=True, parts=3)
+    whole = {(r["label"], r["feature"]): r["w"] for r in logistic.weight_rows(logistic.train(docs, logistic.label_index(docs), s)).collect()}
+    scores = {r["doc_id"]: r["scores"] for r in logistic.predict(docs, logistic.train(docs, logistic.label_index(docs), s), s).collect()}
+    monkeypatch.setattr(logistic, "BLOCK", 2)
+    labels = logistic.label_index(docs)
+    assert (labels.width, labels.blocks) == (2, 2)
+    model = logistic.train(docs, labels, s)
+    cut = {(r["label"], r["feature"]): r["w"] for r in logistic.weight_rows(model).collect()}
+    assert cut.keys() == whole.keys() and all(cut[k] == pytest.approx(whole[k], abs=1e-12) for k in cut)
+    for r in logistic.predict(docs, model, s).collect():
+        assert [x["label"] for x in r["scores"]] == LABELS
+        assert [x["p"] for x in r["scores"]] == pytest.approx([x["p"] for x in scores[r["doc_id"]]])
+
+
+def test_a_step_rewrites_the_pieces_it_touches(spark, docs):
+    s = logistic.Settings(buckets=64, batch_size=1, portable_hash=True, parts=16)
+    written = []
+    replace = logistic.Pieces.replace
+    logistic.Pieces.replace = lambda self, rows, numbers: (written.append(set(numbers)), replace(self, rows, numbers))[1]
+    try:
+        logistic.train(docs, logistic.label_index(docs), s)
+    finally:
+        logistic.Pieces.replace = replace
+    words = [{bucket(w, 64) % 16 for w in text.split()} for _, _, text in DOCS if text]
+    assert sorted(map(sorted, written)) == sorted(map(sorted, words))
+
+
+def test_the_number_of_steps_is_a_setting(spark, docs):
+    s = logistic.Settings(buckets=8, steps=2, portable_hash=True)
+    batches = logistic.encoded(docs, logistic.label_index(docs), s).groupBy("batch").count().collect()
+    assert sorted(r["count"] for r in batches) == [2, 3]
 
 
 def test_documents_without_words_score_one_half(spark, docs):
     s = logistic.Settings(buckets=8, batch_size=2, portable_hash=True)
-    scored = logistic.predict(docs, logistic.train(docs, LABELS, s), LABELS, s)
+    scored = logistic.predict(docs, logistic.train(docs, logistic.label_index(docs), s), s)
     by_doc = {r["doc_id"]: {x["label"]: x["p"] for x in r["scores"]} for r in scored.collect()}
     assert set(by_doc) == {0, 1, 2, 3, 4}
     assert by_doc[3] == {"A": 0.5, "B": 0.5, "C": 0.5}
@@ -115,13 +154,24 @@ def test_documents_without_words_score_one_half(spark, docs):
 def test_partitioning_does_not_change_the_weights(spark, docs):
     s = logistic.Settings(buckets=8, batch_size=2, epochs=2, portable_hash=True)
     a, b = (
-        {r["feature"]: r["w"] for r in logistic.train(docs.repartition(n), LABELS, s).collect()} for n in (1, 5)
+        {(r["label"], r["feature"]): r["w"] for r in logistic.weight_rows(logistic.train(docs.repartition(n), logistic.label_index(docs), s)).collect()}
+        for n in (1, 5)
     )
     assert a.keys() == b.keys()
     assert all(a[j] == pytest.approx(b[j], abs=1e-12) for j in a)
 
 
-def test_label_list_is_checked(spark, docs):
-    assert logistic.label_list(docs) == LABELS
-    with pytest.raises(ValueError):
-        logistic.label_list(docs, max_labels=2)
+def test_labels_are_numbered_in_sorted_order(spark, docs):
+    found = logistic.label_index(docs)
+    assert [r["label"] for r in found.table.orderBy("label_id").collect()] == LABELS and found.count == 3
+    many = spark.range(3000).selectExpr("id AS doc_id", "array(concat('c', id % 1500)) AS labels", "'' AS text")
+    numbered = {r["label"]: r["label_id"] for r in logistic.label_index(many).table.collect()}
+    assert numbered == {name: k for k, name in enumerate(sorted(f"c{k}" for k in range(1500)))}
+
+
+def test_counts_inside_the_row(spark):
+    from corpusml.functions.text import explode_terms, term_counts
+
+    rows = spark.createDataFrame([(1, ["b", "a", "b", "b"]), (2, []), (3, None), (4, ["x"])], "id int, w array<string>")
+    got = sorted(tuple(r) for r in explode_terms(rows, term_counts(rows["w"]), "id").collect())
+    assert got == [(1, "a", 1), (1, "b", 3), (4, "x", 1)]
