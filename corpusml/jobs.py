@@ -70,8 +70,8 @@ def train_network(
     scored = materialize(networks.predict(ready[2], kind, shape, trained.parameters), "job-scored")
     sinks.write_probabilities(scored, f"{output}/probabilities")
     scored.agg(F.avg("loss").alias("loss")).write.mode("overwrite").parquet(f"{output}/test_loss")
-    networks.loss_rows(spark, trained.train_loss).write.mode("overwrite").parquet(f"{output}/train_loss")
-    networks.loss_rows(spark, trained.valid_loss).write.mode("overwrite").parquet(f"{output}/valid_loss")
+    trained.series("train").write.mode("overwrite").parquet(f"{output}/train_loss")
+    trained.series("valid").write.mode("overwrite").parquet(f"{output}/valid_loss")
     networks.save_parameters(spark, trained.parameters, f"{output}/parameters")
 
 

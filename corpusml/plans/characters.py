@@ -6,11 +6,11 @@ validation and test.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusml.functions.text import characters
-from corpusml.operators.rows import as_map, augment
+from corpusml.operators.ranking import sorted_rank
 from corpusml.operators.sets import difference, union_distinct
 from corpusml.storage import materialize
 
@@ -26,9 +26,8 @@ def vocabulary(*views: DataFrame) -> DataFrame:
     """``(char, char_id)`` over all views: the space is 0, the others follow in sorted order."""
     space = views[0].sparkSession.range(1).select(F.lit(" ").alias("char"))
     chars = union_distinct(*[character_set(v) for v in views], space)
-    # At most MAX_CHARACTERS rows, whatever the size of the views.
-    order = Window.orderBy(F.col("char") != " ", "char")
-    return chars.select("char", (F.row_number().over(order) - 1).alias("char_id"))
+    ranked = sorted_rank(chars.withColumn("_key", F.struct((F.col("char") != " ").alias("other"), "char")), "_key", "char_id")
+    return ranked.select("char", F.col("char_id").cast("int").alias("char_id"))
 
 
 def unseen_characters(test: DataFrame, train: DataFrame, valid: DataFrame) -> DataFrame:
@@ -36,19 +35,10 @@ def unseen_characters(test: DataFrame, train: DataFrame, valid: DataFrame) -> Da
     return difference(character_set(test), character_set(train), character_set(valid))
 
 
-def label_dictionary(*views: DataFrame, max_labels: int = 100_000) -> DataFrame:
-    """``(label, label_id)`` over the given views, numbered from 0 in sorted order.
-
-    Each label is an output unit of the model, so more than ``max_labels`` are an error.
-    """
+def label_dictionary(*views: DataFrame) -> DataFrame:
+    """``(label, label_id)`` over the given views, numbered from 0 in sorted order."""
     labels = union_distinct(*[v.select(F.explode("labels").alias("label")) for v in views])
-    order = Window.orderBy("label")
-    # The limit is one above the bound, so an excess is seen and reported rather than cut.
-    numbered = labels.limit(max_labels + 1).select("label", (F.row_number().over(order) - 1).alias("label_id"))
-    too_many = F.raise_error(F.lit(f"more than {max_labels} labels"))
-    return numbered.select(
-        "label", F.when(F.col("label_id") < max_labels, F.col("label_id")).otherwise(too_many.cast("int")).alias("label_id")
-    )
+    return sorted_rank(labels, "label", "label_id").select("label", F.col("label_id").cast("int").alias("label_id"))
 
 
 def dictionaries(*views: DataFrame, labelled: list[DataFrame]) -> tuple[DataFrame, DataFrame]:
@@ -58,15 +48,30 @@ def dictionaries(*views: DataFrame, labelled: list[DataFrame]) -> tuple[DataFram
     return chars, materialize(label_dictionary(*labelled), "dictionary-labels")
 
 
+def code_points(chars: DataFrame) -> DataFrame:
+    """One row and column: the ids of all characters up to the largest, each at the place of its code point."""
+    at = F.ascii("char").cast("long").alias("at")  # the code point, also beyond the basic plane
+    top = chars.agg(F.max(at)).first()[0] or 0
+    if top >= MAX_CHARACTERS:
+        raise ValueError("not a character")
+    every = chars.sparkSession.range(top + 1).select(F.col("id").alias("at")).join(chars.select(at, "char_id"), "at", "left")
+    listed = F.sort_array(F.collect_list(F.struct("at", "char_id")))
+    return every.agg(F.transform(listed, lambda x: x["char_id"]).alias("ids"))
+
+
 def encode(entities: DataFrame, chars: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(idx, chars array<int>, labels array<int>)``; a label not in the dictionary becomes 0."""
-    with_maps = augment(entities, chars, lambda v: as_map(v, "char", "char_id", MAX_CHARACTERS), "char_map", MAX_CHARACTERS)
-    with_maps = augment(with_maps, labels, lambda v: as_map(v, "label", "label_id"), "label_map")
-    return with_maps.select(
-        "idx",
-        F.transform(characters("entity"), lambda c: F.try_element_at("char_map", c)).alias("chars"),
-        F.transform("labels", lambda y: F.coalesce(F.try_element_at("label_map", y), F.lit(0))).alias("labels"),
-    )
+    """``(idx, chars array<int>, labels array<int>)``; a label not in the dictionary becomes 0.
+
+    A character is looked up at its place in a table of code points, whose size has a fixed bound. Labels meet their
+    numbers in a join and return to their row in their order.
+    """
+    table = code_points(chars)
+    found = entities.select("idx", F.posexplode("labels").alias("at", "label")).join(labels, "label", "left")
+    listed = F.array_sort(F.collect_list(F.struct("at", F.coalesce("label_id", F.lit(0)).alias("label_id"))))
+    of_row = found.groupBy("idx").agg(F.transform(listed, lambda x: x["label_id"]).alias("ids"))
+    rows = entities.select("idx", characters("entity").alias("c")).withColumn("table", table.scalar())
+    coded = rows.select("idx", F.transform("c", lambda x: F.get("table", F.ascii(x))).alias("chars"))
+    return coded.join(of_row, "idx", "left").select("idx", "chars", F.coalesce("ids", F.array().cast("array<int>")).alias("labels"))
 
 
 def window_of(chars: Column | str, max_len: int) -> Column:

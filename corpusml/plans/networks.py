@@ -1,20 +1,25 @@
 """Perceptron and LSTM character classifiers, trained by synchronous data-parallel SGD.
 
 Spark holds and partitions the examples. One step broadcasts the parameters, lets every
-partition compute its summed gradient in Arrow batches, adds the partial gradients up in a
-grouped sum and applies the step on the driver. Only parameters and their gradient, whose size
+partition compute its summed gradient in Arrow batches, adds the partial gradients up and applies
+the step on the driver. A gradient travels in chunks of ``CHUNK`` numbers, one row each, which are added in two
+levels: the partitions of a lane first, then the lanes. Only parameters and their gradient, whose size
 the model fixes, ever reach the driver; the result does not depend on the partitioning.
 
+Losses are appended to a table and the parameters of every epoch are stored while training goes on; the best
+epoch is chosen by an aggregate over that table.
+
 Parameters are a plain ``dict`` of numpy arrays.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,12 +27,17 @@ from corpusml.plans import batches
 from corpusml.plans.characters import steps, target, window_of
 from corpusml.operators.rows import spread
 from corpusml.session import ship_package
-from corpusml.storage import discard, materialize
+from corpusml.storage import discard, materialize, scratch_path
 
 Parameters = dict[str, np.ndarray]
 
-# Slots of the summed table next to the gradient entries.
-LOSS, ROWS = -1, -2
+#: Gradient entries that travel in one row.
+CHUNK = 32
+#: Groups of partitions whose gradients are added before all others.
+LANES = 64
+# The chunk that holds the summed loss and the number of rows.
+TOTALS = -1
+_LOSSES = "kind string, step int, loss double"
 
 
 @dataclass(frozen=True)
@@ -44,16 +54,30 @@ class Settings:
     batch_size: int = 64
     learning_rate: float = 0.5
     seed: int = 0
+    steps: int | None = None
     max_parameter_bytes: int = 512 << 20
 
 
-@dataclass
+@dataclass(frozen=True)
 class Trained:
-    """The parameters of the best validation epoch and the course of training."""
+    """The parameters of the best validation epoch and the course of training.
+
+    ``losses`` is ``(kind, step, loss)``: "train" rows by step, "valid" rows by epoch.
+    """
 
     parameters: Parameters
-    train_loss: list[tuple[int, float]] = field(default_factory=list)
-    valid_loss: list[tuple[int, float]] = field(default_factory=list)
+    losses: DataFrame
+
+    def series(self, kind: str) -> DataFrame:
+        """``(step, loss)`` of the "train" or "valid" losses."""
+        return self.losses.filter(F.col("kind") == kind).select("step", "loss")
+
+
+def best_epoch(losses: DataFrame) -> DataFrame:
+    """``(epoch, loss)``: the first of the epochs with the lowest validation loss; no row without any."""
+    valid = losses.filter(F.col("kind") == "valid")
+    best = valid.agg(F.min(F.struct("loss", "step")).alias("b"))
+    return best.filter(F.col("b").isNotNull()).select(F.col("b.step").alias("epoch"), F.col("b.loss").alias("loss"))
 
 
 # models ---------------------------------------------------------------------------------
@@ -229,7 +253,7 @@ def unflatten(flat: np.ndarray, like: Parameters) -> Parameters:
 
 
 def partial_sums(examples: DataFrame, model: Model, shape: Shape, shared, with_gradient: bool) -> DataFrame:
-    """``(slot int, value double)``: summed loss, rows and gradient, one set per partition."""
+    """``(chunk int, lane int, v array<double>)``: summed loss and rows, and the gradient, one set per partition."""
     run, max_len = model.run, shape.max_len
 
     def block(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -250,14 +274,23 @@ def partial_sums(examples: DataFrame, model: Model, shape: Shape, shared, with_g
         # On the way to Spark a NaN would become a missing value, which a sum passes over.
         if not np.isfinite(loss) or summed is not None and not np.isfinite(summed).all():
             raise FloatingPointError("loss or gradient is not finite; a smaller learning rate may help")
-        slots, values = [LOSS, ROWS], [loss, float(rows)]
+        totals = np.zeros((1, CHUNK))
+        totals[0, :2] = loss, rows
+        numbers, values = np.array([TOTALS]), totals
         if summed is not None:
-            touched = np.nonzero(summed)[0]
-            slots = np.concatenate([slots, touched])
-            values = np.concatenate([values, summed[touched]])
-        yield pd.DataFrame({"slot": np.asarray(slots, dtype=np.int32), "value": values})
+            padded = np.pad(summed, (0, -len(summed) % CHUNK)).reshape(-1, CHUNK)
+            touched = np.flatnonzero(padded.any(axis=1))
+            numbers, values = np.concatenate([numbers, touched]), np.concatenate([totals, padded[touched]])
+        lane = TaskContext.get().partitionId() % LANES
+        yield pd.DataFrame({"chunk": numbers.astype(np.int32), "lane": np.int32(lane), "v": list(values)})
 
-    return examples.select("x", "y").mapInPandas(block, "slot int, value double")
+    return examples.select("x", "y").mapInPandas(block, "chunk int, lane int, v array<double>")
+
+
+def add_up(chunks: DataFrame) -> DataFrame:
+    """``(chunk, v)``: the sums of all rows of a chunk, by lanes first, so that no task adds a row of every partition."""
+    total = F.expr("array(" + ", ".join(f"sum(v[{i}])" for i in range(CHUNK)) + ")").alias("v")
+    return chunks.groupBy("chunk", "lane").agg(total).groupBy("chunk").agg(total)
 
 
 def evaluate(
@@ -266,22 +299,20 @@ def evaluate(
     """Mean loss, number of rows and mean gradient of a set of examples."""
     ship_package(examples.sparkSession)
     shared = examples.sparkSession.sparkContext.broadcast(p)
-    sums = (
-        partial_sums(examples, model, shape, shared, with_gradient)
-        .groupBy("slot").agg(F.sum("value").alias("value"))
-        .toPandas()
-    )
+    sums = add_up(partial_sums(examples, model, shape, shared, with_gradient)).toPandas()
     shared.destroy()
-    value = dict(zip(sums["slot"], sums["value"]))
-    rows = int(value.pop(ROWS, 0))
-    loss = value.pop(LOSS, 0.0)
-    if not rows:
+    found = dict(zip(sums["chunk"], sums["v"]))
+    if TOTALS not in found:
         return 0.0, 0, None
+    loss, rows = found.pop(TOTALS)[:2]
+    loss, rows = float(loss), int(rows)
     if not with_gradient:
         return loss / rows, rows, None
-    flat = np.zeros(sum(a.size for a in p.values()))
-    flat[np.fromiter(value.keys(), dtype=np.int64)] = np.fromiter(value.values(), dtype=float)
-    return loss / rows, rows, unflatten(flat / rows, p)
+    size = sum(a.size for a in p.values())
+    flat = np.zeros((-(-size // CHUNK), CHUNK))
+    for chunk, values in found.items():
+        flat[chunk] = values
+    return loss / rows, rows, unflatten(flat.ravel()[:size] / rows, p)
 
 
 def train(
@@ -291,38 +322,45 @@ def train(
 
     Training starts from ``initial`` if given, else from parameters drawn by the seed.
 
-    Each epoch writes a fresh permutation cut into batches, so that one step reads the rows
-    of its batch only. A step is a Spark job: on large data choose the batch size so that an
-    epoch has hundreds of steps, not millions.
+    Each epoch writes a fresh permutation with its batch as a column. A file holds a share of every batch, sorted by
+    it, so a step reads the pages of its batch from all files. A step is a Spark job; ``steps`` fixes their number per epoch
+    whatever the number of examples, else ``batch_size`` does.
     """
+    spark = examples.sparkSession
     p = initial or model.initial(shape, s.seed)
     size = sum(a.nbytes for a in p.values())
     if size > s.max_parameter_bytes:
         raise ValueError(f"model has {size} bytes of parameters, more than the {s.max_parameter_bytes} allowed")
     examples = materialize(examples, "network-train")
     valid = materialize(valid, "network-valid")
-    best, best_loss, history = p, np.inf, Trained(p)
-    step = 0
+    rows = examples.count()
+    batch_size = max(1, -(-rows // s.steps)) if s.steps else s.batch_size
+    batches_of = -(-rows // batch_size)
+    losses, versions = scratch_path(spark, "network-losses"), scratch_path(spark, "network-versions")
+    spark.createDataFrame([], _LOSSES).write.parquet(losses)
     for epoch in range(s.epochs):
-        placed = materialize(
-            batches.assign(examples, "idx", s.batch_size, s.seed, epoch).drop("rank"), "network-epoch", ["batch"]
-        )
-        count = placed.agg(F.max("batch")).first()[0]
-        for batch in range(0 if count is None else count + 1):
-            rows = spread(placed.filter(F.col("batch") == batch), "idx")
-            loss, _, grad = evaluate(rows, model, shape, p, with_gradient=True)
+        placed = batches.assign(examples, "idx", batch_size, s.seed, epoch).drop("rank")
+        placed = materialize(placed.repartition(_width(spark), "idx").sortWithinPartitions("batch"), "network-epoch")
+        course = []
+        for batch in range(batches_of):
+            loss, _, grad = evaluate(placed.filter(F.col("batch") == batch), model, shape, p, with_gradient=True)
             p = {k: p[k] - s.learning_rate * grad[k] for k in p}
-            history.train_loss.append((step, loss))
-            step += 1
+            course.append(("train", epoch * batches_of + batch, float(loss)))
         discard(placed)
         loss, _, _ = evaluate(spread(valid, "idx"), model, shape, p, with_gradient=False)
-        history.valid_loss.append((epoch, loss))
-        if loss < best_loss:
-            best, best_loss = p, loss
+        course.append(("valid", epoch, float(loss)))
+        spark.createDataFrame(course, _LOSSES).coalesce(1).write.mode("append").parquet(losses)
+        save_parameters(spark, p, f"{versions}/epoch={epoch}")
     discard(examples)
     discard(valid)
-    history.parameters = best
-    return history
+    table = spark.read.schema(_LOSSES).parquet(losses)
+    best = best_epoch(table).collect()
+    return Trained(load_parameters(spark, f"{versions}/epoch={best[0]['epoch']}") if best else p, table)
+
+
+def _width(spark: SparkSession) -> int:
+    """Files of a stored epoch: as many as a shuffle has partitions."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def predict(examples: DataFrame, model: Model, shape: Shape, p: Parameters) -> DataFrame:
@@ -344,16 +382,16 @@ def predict(examples: DataFrame, model: Model, shape: Shape, p: Parameters) -> D
 
 # saved models -----------------------------------------------------------------------------
 
-def save_parameters(spark: SparkSession, p: Parameters, path: str) -> None:
-    """``(name, shape array<int>, values array<double>)`` as parquet."""
-    rows = [(k, list(a.shape), a.ravel().tolist()) for k, a in p.items()]
-    spark.createDataFrame(rows, "name string, shape array<int>, values array<double>").write.mode("overwrite").parquet(path)
+def save_parameters(spark: SparkSession, p: Parameters, path: str, rows: int = 1 << 16) -> None:
+    """``(name, shape array<int>, at long, values array<double>)`` as parquet, in pieces of ``rows`` values."""
+    pieces = [
+        (k, list(a.shape), at, a.ravel()[at : at + rows].tolist()) for k, a in p.items() for at in range(0, max(1, a.size), rows)
+    ]
+    spark.createDataFrame(pieces, "name string, shape array<int>, at long, values array<double>").write.mode("overwrite").parquet(path)
 
 
 def load_parameters(spark: SparkSession, path: str) -> Parameters:
-    return {r["name"]: np.array(r["values"]).reshape(r["shape"]) for r in spark.read.parquet(path).collect()}
-
-
-def loss_rows(spark: SparkSession, history: list[tuple[int, float]]) -> DataFrame:
-    """A loss series as ``(step, loss)`` rows."""
-    return spark.createDataFrame(history, "step int, loss double")
+    found: dict[str, list] = {}
+    for r in spark.read.parquet(path).collect():
+        found.setdefault(r["name"], []).append((r["at"], r["shape"], r["values"]))
+    return {k: np.concatenate([v for _, _, v in sorted(x)]).reshape(x[0][1]) for k, x in found.items()}

@@ -96,7 +96,7 @@ def document_topic_counts(state: DataFrame) -> DataFrame:
 def _rising(counts: DataFrame, column: str, base: float) -> DataFrame:
     """One row: sum of ``log_gamma(n + base) - log_gamma(base)`` over a count column.
 
-    Counts repeat a lot; the UDF sees each distinct value once.
+    Counts repeat a lot, so the function is computed once per distinct value.
     """
     histogram = counts.groupBy(F.col(column).alias("n")).agg(F.count(F.lit(1)).alias("rows"))
     gain = log_gamma(F.col("n") + F.lit(base)) - log_gamma(F.lit(base) + F.col("n") * 0.0)

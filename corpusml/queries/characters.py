@@ -362,11 +362,16 @@ def lstm_gradient(spark, sf_dir):
     return spark.createDataFrame(rows, "slot string, v double").withColumn("v", places("v"))
 
 
-def _train_predict(spark, sf_dir, model: networks.Model):
-    """Two epochs of a few large batches, then the probabilities of every training name."""
+def _trained(spark, sf_dir, model: networks.Model):
+    """Two epochs of a few large batches."""
     examples, shape = _prepared(spark, sf_dir, model, _HIDDEN)
-    settings = networks.Settings(epochs=EPOCHS, batch_size=-(-examples.count() // STEPS), learning_rate=RATE)
-    trained = networks.train(examples, examples, model, shape, settings, _hashed_parameters(model, shape))
+    settings = networks.Settings(epochs=EPOCHS, steps=STEPS, learning_rate=RATE)
+    return examples, shape, networks.train(examples, examples, model, shape, settings, _hashed_parameters(model, shape))
+
+
+def _train_predict(spark, sf_dir, model: networks.Model):
+    """The probabilities of every training name after training."""
+    examples, shape, trained = _trained(spark, sf_dir, model)
     scored = networks.predict(examples, model, shape, trained.parameters)
     best = F.array_max(F.transform("probs", lambda p, i: F.struct(p.alias("p"), (-i).alias("i"))))
     return scored.select("idx", (-best["i"]).alias("label_id"), places(best["p"]).alias("p"), places("loss").alias("loss"))
@@ -438,6 +443,24 @@ def mlp_train_predict(spark, sf_dir):
     return _train_predict(spark, sf_dir, networks.MLP)
 
 
+_TRAIN_LOSSES = " UNION ALL ".join(f"SELECT 'train' AS kind, {r} AS step, avg(-ln(p)) AS loss FROM p_{r} WHERE hit" for r in range(EPOCHS * STEPS))
+_VALID_LOSSES = " UNION ALL ".join(f"SELECT 'valid' AS kind, {e} AS step, loss FROM loss_{e}" for e in range(EPOCHS))
+
+
+@catalog.add(f"{_mlp_rounds()}\nSELECT kind, step, {sql_places('loss')} AS loss FROM ({_TRAIN_LOSSES} UNION ALL {_VALID_LOSSES})")
+def loss_series(spark, sf_dir):
+    """The losses of every step and epoch of training the perceptron."""
+    _, _, trained = _trained(spark, sf_dir, networks.MLP)
+    return trained.losses.select("kind", "step", places("loss").alias("loss"))
+
+
+@catalog.add(f"{_mlp_rounds()}\nSELECT step AS epoch, {sql_places('loss')} AS loss FROM ({_VALID_LOSSES}) WHERE step = ({_BEST})")
+def best_epoch(spark, sf_dir):
+    """The epoch whose parameters are kept, and its validation loss."""
+    _, _, trained = _trained(spark, sf_dir, networks.MLP)
+    return networks.best_epoch(trained.losses).select("epoch", places("loss").alias("loss"))
+
+
 def _lstm_rounds() -> str:
     """The rounds of training the recurrent model, one set of parameter tables per round."""
     parts, r = _lstm_start(), 0

@@ -122,4 +122,6 @@ def test_scalars(spark):
     assert one(spark, V.logistic("x", 20.0), x=-1e6) == pytest.approx(1 / (1 + math.exp(20)))
     assert one(spark, V.smoothed_log("c", "t", "v"), c=3.0, t=10.0, v=5.0) == pytest.approx(math.log(4) - math.log(15))
     assert one(spark, V.decay(F.col("r"), F.col("k")), r=0.1, k=3) == pytest.approx(0.9**3)
-    assert one(spark, V.log_gamma("x"), x=3.5) == pytest.approx(math.lgamma(3.5))
+    for x in (1e-6, 0.1, 0.5, 1.0, 1.5, 2.0, 3.5, 7.999, 8.0, 8.001, 20.0, 171.5, 1e4 + 0.1, 1e9):
+        assert one(spark, V.log_gamma("x"), x=x) == pytest.approx(math.lgamma(x), rel=1e-11, abs=1e-11)
+    assert math.isnan(one(spark, V.log_gamma("x"), x=-1.5))

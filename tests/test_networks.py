@@ -27,10 +27,20 @@ def test_vocabulary_has_space_first_and_contiguous_ids(spark):
     assert rows(characters.vocabulary(no_space)) == [(" ", 0), ("b", 1)]
 
 
-def test_label_dictionary_is_checked(spark, entities):
+def test_labels_of_any_number_are_numbered_in_order(spark, entities):
     assert rows(characters.label_dictionary(entities)) == [("P", 0), ("Q", 1), ("R", 2)]
-    with pytest.raises(Exception):
-        characters.label_dictionary(entities, max_labels=2).collect()
+    many = spark.range(5000).selectExpr("id AS idx", "'x' AS entity", "array(concat('y', id % 2500), 'z') AS labels")
+    names = sorted([f"y{k}" for k in range(2500)] + ["z"])
+    assert {r["label"]: r["label_id"] for r in characters.label_dictionary(many).collect()} == {n: k for k, n in enumerate(names)}
+
+
+def test_encoding_beyond_the_basic_plane(spark):
+    df = spark.createDataFrame([(1, "a😀é", ["Q", "?", "P", "Q"]), (2, "", []), (3, "日 !", ["P"])], "idx long, entity string, labels array<string>")
+    chars = characters.vocabulary(df.filter("idx != 3"))
+    labels = characters.label_dictionary(df.filter("idx = 1").select(F.lit(["P", "Q"]).alias("labels")))
+    got = {r["idx"]: (r["chars"], r["labels"]) for r in characters.encode(df, chars, labels).collect()}
+    assert rows(chars) == [(" ", 0), ("a", 1), ("é", 2), ("😀", 3)]
+    assert got == {1: ([1, 3, 2], [1, 0, 0, 1]), 2: ([], []), 3: ([None, 0, None], [0])}
 
 
 def test_encoding(spark):
@@ -104,7 +114,8 @@ def test_training_is_plain_sgd_and_keeps_the_best_epoch(spark, encoded, model):
     examples = networks.prepare(data, shape, model)
     s = networks.Settings(epochs=3, batch_size=8, learning_rate=0.3, seed=2)
     got = networks.train(examples, examples, model, shape, s)
-    assert len(got.train_loss) == 9 and [e for e, _ in got.valid_loss] == [0, 1, 2]
+    valid_loss = sorted(tuple(r) for r in got.series("valid").collect())
+    assert sorted(r["step"] for r in got.series("train").collect()) == list(range(9)) and [e for e, _ in valid_loss] == [0, 1, 2]
 
     local = examples.toPandas().set_index("idx")
     p, best = model.initial(shape, s.seed), (np.inf, None)
@@ -117,7 +128,7 @@ def test_training_is_plain_sgd_and_keeps_the_best_epoch(spark, encoded, model):
             p = {k: p[k] - s.learning_rate * grad[k] / len(x) for k in p}
         x, y = networks._inputs(local["x"], shape.max_len), networks._targets(local["y"])
         loss = float(-(y * model.run(p, x, None)[0]).sum()) / len(x)
-        assert got.valid_loss[epoch][1] == pytest.approx(loss)
+        assert valid_loss[epoch][1] == pytest.approx(loss)
         if loss < best[0]:
             best = (loss, p)
     for name in p:
@@ -133,7 +144,9 @@ def test_prediction_and_saved_parameters(spark, encoded, path):
     got = networks.predict(examples, networks.MLP, shape, again).orderBy("idx").collect()
     assert [r["idx"] for r in got] == list(range(20))
     assert all(sum(r["probs"]) == pytest.approx(1.0) and r["loss"] > 0 for r in got)
-    assert rows(networks.loss_rows(spark, [(0, 1.5)])) == [(0, 1.5)]
+    networks.save_parameters(spark, p, path, rows=7)
+    again = networks.load_parameters(spark, path)
+    assert again.keys() == p.keys() and all(np.array_equal(again[k], p[k]) for k in p)
 
 
 def test_multi_hot_targets_are_an_option(spark, encoded):
@@ -162,3 +175,29 @@ def test_underflowing_probabilities_keep_their_loss(spark):
     broken = {**p, "w1": np.array([[np.nan], [0.0]])}
     with pytest.raises(Exception, match="not finite"):
         networks.evaluate(df, networks.MLP, shape, broken, with_gradient=True)
+
+
+def test_the_best_epoch_is_the_first_of_the_lowest(spark):
+    def best(valid):
+        losses = [("train", 0, 0.001)] + [("valid", e, x) for e, x in enumerate(valid)]
+        return rows(networks.best_epoch(spark.createDataFrame(losses, "kind string, step int, loss double")))
+
+    assert best([3.0, 1.5, 1.5, 2.0]) == [(1, 1.5)]
+    assert best([0.5, 0.7, 9.0]) == [(0, 0.5)]
+    assert best([]) == []
+
+
+def test_training_keeps_an_earlier_epoch(spark, encoded):
+    data, shape = encoded
+    examples = networks.prepare(data, shape, networks.MLP)
+    # A rate that makes later epochs worse.
+    got = networks.train(examples, examples, networks.MLP, shape, networks.Settings(epochs=4, steps=2, learning_rate=4.0, seed=2))
+    valid = {r["step"]: r["loss"] for r in got.series("valid").collect()}
+    kept = networks.evaluate(examples, networks.MLP, shape, got.parameters, False)[0]
+    assert len(valid) == 4 and kept == pytest.approx(min(valid.values())) and got.series("train").count() == 8
+
+
+def test_gradients_are_added_in_two_levels(spark):
+    chunks = [(c, lane, [float(c + lane + i) for i in range(networks.CHUNK)]) for c in (-1, 0, 5) for lane in (0, 0, 3)]
+    got = {r["chunk"]: r["v"] for r in networks.add_up(spark.createDataFrame(chunks, "chunk int, lane int, v array<double>")).collect()}
+    assert got == {c: [3.0 * (c + i) + 3 for i in range(networks.CHUNK)] for c in (-1, 0, 5)}
