@@ -340,10 +340,11 @@ def train(
     spark.createDataFrame([], _LOSSES).write.parquet(losses)
     for epoch in range(s.epochs):
         placed = batches.assign(examples, "idx", batch_size, s.seed, epoch).drop("rank")
-        placed = materialize(placed.repartition(_width(spark), "idx").sortWithinPartitions("batch"), "network-epoch")
+        # Numbering has dealt rows out by hash, so every partition has a share of each batch.
+        placed = materialize(placed.sortWithinPartitions("batch"), "network-epoch")
         course = []
         for batch in range(batches_of):
-            loss, _, grad = evaluate(placed.filter(F.col("batch") == batch), model, shape, p, with_gradient=True)
+            loss, _, grad = evaluate(spread(placed.filter(F.col("batch") == batch), "idx"), model, shape, p, with_gradient=True)
             p = {k: p[k] - s.learning_rate * grad[k] for k in p}
             course.append(("train", epoch * batches_of + batch, float(loss)))
         discard(placed)
@@ -358,11 +359,6 @@ def train(
     return Trained(load_parameters(spark, f"{versions}/epoch={best[0]['epoch']}") if best else p, table)
 
 
-def _width(spark: SparkSession) -> int:
-    """Files of a stored epoch: as many as a shuffle has partitions."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def predict(examples: DataFrame, model: Model, shape: Shape, p: Parameters) -> DataFrame:
     """``(idx, probs array<double>, loss double)`` for every ``prepare``-d example."""
     ship_package(examples.sparkSession)

@@ -365,6 +365,7 @@ def lstm_gradient(spark, sf_dir):
 def _trained(spark, sf_dir, model: networks.Model):
     """Two epochs of a few large batches."""
     examples, shape = _prepared(spark, sf_dir, model, _HIDDEN)
+    examples = networks.materialize(examples, "query-examples")
     settings = networks.Settings(epochs=EPOCHS, steps=STEPS, learning_rate=RATE)
     return examples, shape, networks.train(examples, examples, model, shape, settings, _hashed_parameters(model, shape))
 
