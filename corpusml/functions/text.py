@@ -70,9 +70,9 @@ def hash_bucket(value: Column | str, buckets: int, portable: bool = False) -> Co
     return _never_null(bucket)
 
 
-def digest_bits(value: Column) -> Column:
-    """First 32 bits of the MD5 digest of a string, as a non-negative long; 0 for NULL."""
-    return _never_null(F.conv(F.substring(F.md5(value), 1, 8), 16, 10).cast("long"))
+def digest_bits(value: Column, digits: int = 8) -> Column:
+    """First hexadecimal digits (at most 15) of the MD5 digest of a string, as a non-negative long; 0 for NULL."""
+    return _never_null(F.conv(F.substring(F.md5(value), 1, digits), 16, 10).cast("long"))
 
 
 def _never_null(number: Column) -> Column:

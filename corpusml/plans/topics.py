@@ -61,14 +61,10 @@ def num_words(docs: DataFrame) -> int:
 
 # counts -----------------------------------------------------------------------------------
 
-def initial_topics(docs: DataFrame, topics: int, seed: int = 0, portable: bool = False) -> DataFrame:
-    """Add ``z``: a topic for every position, drawn by hash of seed, document and position.
+def initial_topics(docs: DataFrame, topics: int, seed: int = 0) -> DataFrame:
+    """Add ``z``: a topic for every position, drawn by a digest of seed, document and position."""
 
-    ``portable`` draws with a hash that other SQL engines have as well.
-    """
     def draw(_: Column, i: Column) -> Column:
-        if not portable:
-            return F.pmod(F.xxhash64(F.lit(seed), "doc_id", i), F.lit(topics).cast("long")).cast("int")
         text = F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string"), i.cast("string"))
         return (digest_bits(text) % topics).cast("int")
 
@@ -140,44 +136,125 @@ def _uniform(keys: np.ndarray, position: int, stream: int) -> np.ndarray:
     return (bits >> _U64(11)).astype(np.float64) / float(1 << 53)
 
 
+def _entries(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of the entries of ragged rows, one row after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(int(sizes.sum())) + np.repeat(first - ends + sizes, sizes)
+
+
+def _walk(weights: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The place in every row at which its running sum passes ``x``; rounding can leave ``x`` at the very end."""
+    return np.minimum((weights.cumsum(axis=1) <= x[:, None]).sum(axis=1), weights.shape[1] - 1)
+
+
+class _Pairs:
+    """Rows of (topic, count) pairs, one row per document and word, in order of topic.
+
+    A row has room for the topics of the model and for those that the word can still get in its document.
+    """
+
+    def __init__(self, sizes: np.ndarray, topics: np.ndarray, counts: np.ndarray, uses: np.ndarray, num_topics: int) -> None:
+        # A word that the model lacks has one pair without weight.
+        self.sizes = np.maximum(sizes, 1).astype(np.int64)
+        room = np.minimum(self.sizes + uses, num_topics)
+        self.first = np.cumsum(room) - room
+        self.topics = np.zeros(int(room.sum()), np.int64)
+        self.counts = np.zeros(len(self.topics))
+        at = _entries(self.first, sizes.astype(np.int64))
+        self.topics[at] = topics
+        self.counts[at] = counts
+
+    def insert(self, rows: np.ndarray, topics: np.ndarray) -> None:
+        """Add topics that the rows do not have yet, with count 1, in their places."""
+        sizes = self.sizes[rows]
+        at = _entries(self.first[rows], sizes)
+        later = self.topics[at] > np.repeat(topics, sizes)
+        moved = at[later]
+        self.topics[moved + 1], self.counts[moved + 1] = self.topics[moved], self.counts[moved]
+        behind = np.zeros(len(rows), np.int64)
+        np.add.at(behind, np.repeat(np.arange(len(rows)), sizes)[later], 1)
+        place = self.first[rows] + sizes - behind
+        self.topics[place], self.counts[place] = topics, 1.0
+        self.sizes[rows] += 1
+
+
+# The word term of a row is cut into this many parts of its largest weight, so that running sums over many rows are
+# exact and no row depends on its neighbours. Cells of a block times this number stay below 2 ** 62.
+_PARTS = float(1 << 38)
+
+
 def resample(
-    keys: np.ndarray, words: list, z: list, distinct: list, counts: np.ndarray,
+    keys: np.ndarray, words: list, z: list, distinct: list, sizes: np.ndarray, topics: np.ndarray, counts: np.ndarray,
     totals: np.ndarray, num_words: int, stream: int, s: Settings,
 ) -> list[np.ndarray]:
     """New topics for a block of documents.
 
-    ``distinct`` lists the sorted distinct words of each document, and ``counts`` has the frozen
-    topic counts of those words, one row per document and word; each document changes its own
-    rows only. All documents of the block advance together, one position at a time, longest
+    ``distinct`` lists the sorted distinct words of each document; ``sizes``, ``topics`` and ``counts`` are the
+    (topic, count) pairs of those words, one row per document and word, frozen at the start of the sync. Each document
+    changes its own rows only. All documents of the block advance together, one position at a time, longest
     first. They do not see each other's changes, so it does not matter which block they are in.
+
+    The weight of a topic, ``(own + alpha) * (word + beta) / (total + beta * num_words)``, is the sum of a word term
+    ``(own + alpha) * word``, a document term ``own * beta`` and a smoothing term ``alpha * beta``, each over the same
+    denominator. The sums of the last two are kept up to date per document, the word term has the pairs of the
+    word only, and a term is laid out over the topics only for the documents whose draw falls into it.
     """
     lengths = np.array([len(w) for w in words], dtype=np.int64)
     order = np.argsort(-lengths, kind="stable")
-    starts = np.zeros(len(order), dtype=np.int64)
-    starts[1:] = np.cumsum(lengths[order])[:-1]
-    offsets = np.zeros(len(order), dtype=np.int64)
-    offsets[1:] = np.cumsum([len(d) for d in distinct])[:-1]
-    slot = np.concatenate([offsets[d] + np.searchsorted(distinct[d], words[d]) for d in order])
+    sorted_lengths = lengths[order]
+    starts = np.cumsum(sorted_lengths) - sorted_lengths
+    offsets = np.cumsum([0, *[len(d) for d in distinct]])
+    slot = np.concatenate([offsets[d] + np.searchsorted(distinct[d], words[d]) for d in order]).astype(np.int64)
     topic = np.concatenate([z[d] for d in order]).astype(np.int64)
     keys = keys[order].astype(np.int64).view(_U64)
+    pairs = _Pairs(sizes, topics, counts, np.bincount(slot, minlength=len(sizes)), s.topics)
     own = np.zeros((len(order), s.topics))
-    np.add.at(own, (np.repeat(np.arange(len(order)), lengths[order]), topic), 1.0)
-    shared = np.tile(totals.astype(np.float64), (len(order), 1))
-    sorted_lengths = lengths[order]
-    beta_all = s.beta * num_words
+    np.add.at(own, (np.repeat(np.arange(len(order)), sorted_lengths), topic), 1.0)
+    below = np.tile(totals.astype(np.float64) + s.beta * num_words, (len(order), 1))
+    document, smooth = (s.beta * own / below).sum(axis=1), (s.alpha * s.beta / below).sum(axis=1)
+
+    def change(rows: np.ndarray, k: np.ndarray, step: float) -> None:
+        n, total = own[rows, k], below[rows, k]
+        document[rows] += s.beta * ((n + step) / (total + step) - n / total)
+        smooth[rows] += s.alpha * s.beta * (1.0 / (total + step) - 1.0 / total)
+        own[rows, k], below[rows, k] = n + step, total + step
+
     for i in range(int(lengths.max(initial=0))):
         active = int(np.searchsorted(-sorted_lengths, -i, side="left"))
         rows, at = np.arange(active), starts[:active] + i
         here, old = slot[at], topic[at]
-        for table, row in ((own, rows), (counts, here), (shared, rows)):
-            table[row, old] -= 1.0
-        weight = (own[:active] + s.alpha) * (counts[here] + s.beta) / (shared[:active] + beta_all)
-        cumulative = weight.cumsum(axis=1)
-        u = _uniform(keys[:active], i, stream)[:, None] * cumulative[:, -1:]
-        # Rounding can leave u at the very end: the last topic then.
-        new = np.minimum((cumulative <= u).sum(axis=1), s.topics - 1)
-        for table, row in ((own, rows), (counts, here), (shared, rows)):
-            table[row, new] += 1.0
+        change(rows, old, -1.0)
+        wide = pairs.sizes[here]
+        of, entry = np.repeat(rows, wide), _entries(pairs.first[here], wide)
+        k = pairs.topics[entry]
+        gone = k == old[of]
+        pairs.counts[entry[gone]] -= 1.0
+        weight = (own[of, k] + s.alpha) * pairs.counts[entry] / below[of, k]
+        ends = np.cumsum(wide)
+        largest = np.maximum.reduceat(weight, ends - wide)
+        scale = np.divide(_PARTS, largest, out=np.zeros(active), where=largest > 0)
+        running = np.floor(weight * scale[of]).astype(np.int64).cumsum()
+        base = np.concatenate([[0], running[ends[:-1] - 1]])
+        parts = running[ends - 1] - base
+        word = np.divide(parts, scale, out=np.zeros(active), where=scale > 0)
+        x = _uniform(keys[:active], i, stream) * (word + document[:active] + smooth[:active])
+        new = np.zeros(active, np.int64)
+        by_word = np.flatnonzero(x < word)
+        wanted = base[by_word] + np.minimum((x[by_word] * scale[by_word]).astype(np.int64), parts[by_word] - 1)
+        new[by_word] = k[np.searchsorted(running, wanted, side="right")]
+        x -= word
+        rest = x >= 0
+        by_document = np.flatnonzero(rest & (x < document[:active]))
+        new[by_document] = _walk(s.beta * own[by_document] / below[by_document], x[by_document])
+        by_smooth = np.flatnonzero(rest & (x >= document[:active]))
+        new[by_smooth] = _walk(s.alpha * s.beta / below[by_smooth], x[by_smooth] - document[by_smooth])
+        change(rows, new, 1.0)
+        kept = k == new[of]
+        pairs.counts[entry[kept]] += 1.0
+        missing = np.ones(active, bool)
+        missing[of[kept]] = False
+        if missing.any():
+            pairs.insert(here[missing], new[missing])
         topic[at] = new
     out: list = [None] * len(order)
     for place, d in enumerate(order):
@@ -185,74 +262,65 @@ def resample(
     return out
 
 
-# Cells of the working table of one block; about 64 MB.
+# Numbers in the working tables of one block; about 64 MB.
 _BLOCK_CELLS = 8 << 20
 
 
-def _blocks(words: list, topics: int) -> Iterator[slice]:
-    begin, cells = 0, 0
-    for i, w in enumerate(words):
-        cells += len(w) * topics
-        if cells > _BLOCK_CELLS:
+def _blocks(cells: list[int]) -> Iterator[slice]:
+    begin, total = 0, 0
+    for i, n in enumerate(cells):
+        total += n
+        if total > _BLOCK_CELLS:
             yield slice(begin, i + 1)
-            begin, cells = i + 1, 0
-    if begin < len(words):
-        yield slice(begin, len(words))
+            begin, total = i + 1, 0
+    if begin < len(cells):
+        yield slice(begin, len(cells))
 
 
 _STATE = "doc_id {id_type}, words array<int>, z array<int>"
 
 
-def _sample(rows: DataFrame, schema: str, totals: np.ndarray, words: int, stream: int, s: Settings, counts_of) -> DataFrame:
-    """Resample every row; ``counts_of(frame, slice)`` gives its distinct words and counts."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            all_words, all_z = list(frame["words"]), list(frame["z"])
-            new: list = []
-            for part in _blocks(all_words, s.topics):
-                distinct, counts = counts_of(frame, all_words, part)
-                new += resample(
-                    frame["key"].to_numpy()[part], all_words[part], all_z[part], distinct, counts, totals, words, stream, s
-                )
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "words": all_words, "z": new})
-
-    return rows.mapInPandas(run, schema)
+def document_key(idx: str = "doc_id") -> Column:
+    """The number that a document's draws start from: 60 bits of a digest that other SQL engines have as well."""
+    return digest_bits(F.col(idx).cast("string"), 15)
 
 
 def sample(state: DataFrame, word_topics: DataFrame, words: int, stream: int, s: Settings) -> DataFrame:
     """One pass over the documents of ``state`` against frozen counts.
 
     The counts stay distributed: each document fetches those of its own words through a join. The model
-    side has one row per word with its (topic, count) pairs, so a hot word can be split; the pairs are
-    laid out as a dense table only for the block of documents at hand.
+    side has one row per word with its (topic, count) pairs, so a hot word can be split. The pairs stay pairs:
+    a document holds no more numbers than its words have topics.
     """
     ship_package(state.sparkSession)
     totals = np.zeros(s.topics)
     for row in topic_counts(word_topics).collect():
         totals[row["topic"]] = row["n"]
-    schema = _STATE.format(id_type=state.schema["doc_id"].dataType.simpleString())
-    packed = word_topics.groupBy("word_id").agg(F.collect_list(F.struct("topic", "n")).alias("pairs"))
+    packed = word_topics.groupBy("word_id").agg(F.sort_array(F.collect_list(F.struct("topic", "n"))).alias("pairs"))
     own = state.select("doc_id", F.explode(F.array_distinct("words")).alias("word_id")).join(packed, "word_id")
     own = own.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("word_id", "pairs"))).alias("own"))
     # The word list of a document comes back flat: ids, pairs of each id, then topics and counts.
     whole, counts = F.array().cast("array<int>"), F.array().cast("array<bigint>")
     rows = state.join(own, "doc_id", "left").select(
-        "doc_id", F.xxhash64("doc_id").alias("key"), "words", "z",
+        "doc_id", document_key().alias("key"), "words", "z",
         F.coalesce(F.col("own.word_id").cast("array<int>"), whole).alias("ids"),
         F.coalesce(F.transform("own.pairs", F.size), whole).alias("sizes"),
         F.coalesce(F.transform(F.flatten("own.pairs"), lambda p: p["topic"].cast("int")), whole).alias("topics"),
         F.coalesce(F.transform(F.flatten("own.pairs"), lambda p: p["n"].cast("bigint")), counts).alias("counts"),
     )
 
-    def counts_of(frame, all_words, part):
-        ids = list(frame["ids"][part])
-        sizes, topic, n = (np.concatenate(list(frame[c][part])) for c in ("sizes", "topics", "counts"))
-        table = np.zeros((len(sizes), s.topics))
-        table[np.repeat(np.arange(len(sizes)), sizes.astype(np.int64)), topic.astype(np.int64)] = n
-        return ids, table
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            new: list = []
+            cells = [len(t) + 2 * len(w) + 2 * s.topics for t, w in zip(frame["topics"], frame["words"])]
+            for part in _blocks(cells):
+                of = {c: list(frame[c][part]) for c in ("words", "z", "ids", "sizes", "topics", "counts")}
+                flat = [np.concatenate(of[c]) for c in ("sizes", "topics", "counts")]
+                new += resample(frame["key"].to_numpy()[part], of["words"], of["z"], of["ids"], *flat, totals, words, stream, s)
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "words": frame["words"], "z": new})
 
-    return _sample(rows, schema, totals, words, stream, s, counts_of)
+    id_type = state.schema["doc_id"].dataType.simpleString()
+    return rows.mapInPandas(run, _STATE.format(id_type=id_type))
 
 
 @dataclass(frozen=True)
@@ -268,7 +336,7 @@ def train(docs: DataFrame, words: int, s: Settings, likelihood: bool = True) ->
     A sync reads and writes one sub-batch only. ``history`` has one
     ``(iteration, seconds, likelihood)`` entry per sweep.
     """
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(s.clocks)).cast("int")
+    part = (document_key() % s.clocks).cast("int")
     start = materialize(initial_topics(docs, s.topics, s.seed).withColumn("part", part), "topics-start", ["part"])
     states = [start.filter(F.col("part") == c).drop("part") for c in range(s.clocks)]
     counts = [materialize(word_topic_counts(x), "topics-counts") for x in states]

@@ -67,8 +67,8 @@ def places(value: Column | str, digits: int = 6) -> Column:
 SQL_DOC_LABELS = "SELECT doc_id, unnest([lang, source]) AS label, text FROM documents"
 
 
-def sql_digest(text: str) -> str:
-    return f"CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)"
+def sql_digest(text: str, digits: int = 8) -> str:
+    return f"CAST('0x' || substr(md5({text}), 1, {digits}) AS BIGINT)"
 
 
 def sql_stop_words() -> str:

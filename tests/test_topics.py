@@ -50,33 +50,66 @@ def test_counts_and_likelihood_by_hand(spark):
     assert got["likelihood"] == pytest.approx(by_topic + by_doc)
 
 
-def test_resample_against_a_token_by_token_loop():
+def pairs_of(frozen, distinct):
+    """Flat (sizes, topics, counts) of the words, as the sampler takes them."""
+    found = [np.flatnonzero(frozen[w]) for d in distinct for w in d]
+    counts = [frozen[w][k] for w, k in zip(np.concatenate(distinct), found)]
+    return np.array([len(k) for k in found]), np.concatenate(found), np.concatenate(counts)
+
+
+@pytest.mark.parametrize("num_topics, num_words, lengths", [(3, 6, (5, 0, 9, 1, 5)), (40, 9, (60, 200, 1, 33)), (1, 4, (7, 3))])
+def test_resample_against_a_token_by_token_loop(num_topics, num_words, lengths):
+    """The loop has a weight for every topic and term; rows of pairs grow wherever a word gets a new topic."""
+    s = topics.Settings(topics=num_topics, alpha=0.5, beta=0.2)
     rng = np.random.default_rng(0)
-    docs = [rng.integers(0, 6, n).astype(np.int32) for n in (5, 0, 9, 1, 5)]
-    z = [rng.integers(0, 3, len(d)).astype(np.int32) for d in docs]
-    frozen = np.zeros((6, 3))
+    docs = [rng.integers(0, num_words, n).astype(np.int32) for n in lengths]
+    z = [rng.integers(0, num_topics, len(d)).astype(np.int32) for d in docs]
+    frozen = np.zeros((num_words, num_topics))
     for d, t in zip(docs, z):
         np.add.at(frozen, (d, t), 1.0)
     totals = frozen.sum(axis=0)
-    keys = np.array([11, -3, 7, 2**60, 5])
+    keys = np.array([11, 3, 7, 2**59, 5])[: len(docs)]
     distinct = [np.unique(d) for d in docs]
-    got = topics.resample(keys, docs, z, distinct, frozen[np.concatenate(distinct)], totals, 6, 4, S)
+    got = topics.resample(keys, docs, z, distinct, *pairs_of(frozen, distinct), totals, num_words, 4, s)
 
     for i, (words_of, old) in enumerate(zip(docs, z)):
         n_word, n_topic, topic = frozen.copy(), totals.copy(), old.copy()
         for j, w in enumerate(words_of):
-            own = np.bincount(topic, minlength=3).astype(float)
+            own = np.bincount(topic, minlength=num_topics).astype(float)
             for table in (own, n_word[w], n_topic):
                 table[topic[j]] -= 1
-            weight = np.cumsum((own + S.alpha) * (n_word[w] + S.beta) / (n_topic + S.beta * 6))
+            below = n_topic + s.beta * num_words
+            plain = (own + s.alpha) * (n_word[w] + s.beta) / below
+            terms = np.concatenate([(own + s.alpha) * n_word[w] / below, s.beta * own / below, s.alpha * s.beta / below])
+            assert np.allclose(terms.reshape(3, -1).sum(axis=0), plain)
+            weight = np.cumsum(terms)
             u = topics._uniform(keys[i : i + 1].view(np.uint64), j, 4)[0] * weight[-1]
-            new = min(int((weight <= u).sum()), 2)
+            new = int((weight <= u).sum()) % num_topics
             topic[j] = new
             n_word[w][new] += 1
             n_topic[new] += 1
         assert got[i].tolist() == topic.tolist()
 
 
+def test_a_document_does_not_depend_on_its_block():
+    rng = np.random.default_rng(1)
+    docs = [rng.integers(0, 30, n).astype(np.int32) for n in rng.integers(0, 80, 25)]
+    z = [rng.integers(0, 12, len(d)).astype(np.int32) for d in docs]
+    frozen = np.zeros((30, 12))
+    for d, t in zip(docs, z):
+        np.add.at(frozen, (d, t), 1.0)
+    s, keys = topics.Settings(topics=12), np.arange(25)
+
+    def run(some):
+        distinct = [np.unique(docs[i]) for i in some]
+        return topics.resample(
+            keys[some], [docs[i] for i in some], [z[i] for i in some], distinct, *pairs_of(frozen, distinct), frozen.sum(axis=0), 30, 0, s
+        )
+
+    together = run(np.arange(25))
+    assert all(run(np.array([i]))[0].tolist() == together[i].tolist() for i in range(25) if len(docs[i]))
+
+
 def test_uniform_numbers_look_uniform():
     u = np.concatenate([topics._uniform(np.arange(1000).astype(np.uint64), pos, s) for pos in range(5) for s in range(2)])
     assert 0 <= u.min() and u.max() < 1
