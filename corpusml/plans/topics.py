@@ -129,10 +129,10 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U64(31))
 
 
-def _uniform(keys: np.ndarray, position: int, stream: int) -> np.ndarray:
+def _uniform(keys: np.ndarray, positions: np.ndarray, stream: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         salted = _mix(keys + _U64(stream) * _U64(0x9E3779B97F4A7C15))
-        bits = _mix(salted + _U64(position + 1) * _U64(0x9E3779B97F4A7C15))
+        bits = _mix(salted + (positions + 1).astype(_U64) * _U64(0x9E3779B97F4A7C15))
     return (bits >> _U64(11)).astype(np.float64) / float(1 << 53)
 
 
@@ -142,11 +142,6 @@ def _entries(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(int(sizes.sum())) + np.repeat(first - ends + sizes, sizes)
 
 
-def _walk(weights: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """The place in every row at which its running sum passes ``x``; rounding can leave ``x`` at the very end."""
-    return np.minimum((weights.cumsum(axis=1) <= x[:, None]).sum(axis=1), weights.shape[1] - 1)
-
-
 class _Pairs:
     """Rows of (topic, count) pairs, one row per document and word, in order of topic.
 
@@ -195,9 +190,9 @@ def resample(
     first. They do not see each other's changes, so it does not matter which block they are in.
 
     The weight of a topic, ``(own + alpha) * (word + beta) / (total + beta * num_words)``, is the sum of a word term
-    ``(own + alpha) * word``, a document term ``own * beta`` and a smoothing term ``alpha * beta``, each over the same
-    denominator. The sums of the last two are kept up to date per document, the word term has the pairs of the
-    word only, and a term is laid out over the topics only for the documents whose draw falls into it.
+    ``(own + alpha) * word`` and a rest ``(own + alpha) * beta`` over the same denominator. The word term has the pairs of
+    the word only. The sum of the rest is kept up to date per document, and it is laid out over the topics only for the
+    documents whose draw falls into it.
     """
     lengths = np.array([len(w) for w in words], dtype=np.int64)
     order = np.argsort(-lengths, kind="stable")
@@ -206,54 +201,57 @@ def resample(
     offsets = np.cumsum([0, *[len(d) for d in distinct]])
     slot = np.concatenate([offsets[d] + np.searchsorted(distinct[d], words[d]) for d in order]).astype(np.int64)
     topic = np.concatenate([z[d] for d in order]).astype(np.int64)
-    keys = keys[order].astype(np.int64).view(_U64)
+    owner = np.repeat(np.arange(len(order)), sorted_lengths)
+    u = _uniform(keys[order].astype(np.int64).view(_U64)[owner], np.arange(len(slot)) - starts[owner], stream)
     pairs = _Pairs(sizes, topics, counts, np.bincount(slot, minlength=len(sizes)), s.topics)
-    own = np.zeros((len(order), s.topics))
-    np.add.at(own, (np.repeat(np.arange(len(order)), sorted_lengths), topic), 1.0)
-    below = np.tile(totals.astype(np.float64) + s.beta * num_words, (len(order), 1))
-    document, smooth = (s.beta * own / below).sum(axis=1), (s.alpha * s.beta / below).sum(axis=1)
-
-    def change(rows: np.ndarray, k: np.ndarray, step: float) -> None:
-        n, total = own[rows, k], below[rows, k]
-        document[rows] += s.beta * ((n + step) / (total + step) - n / total)
-        smooth[rows] += s.alpha * s.beta * (1.0 / (total + step) - 1.0 / total)
-        own[rows, k], below[rows, k] = n + step, total + step
+    # Per document and topic, flat: own tokens plus alpha, and the denominator.
+    cells = np.arange(len(order)) * s.topics
+    own = np.bincount(cells[owner] + topic, minlength=len(order) * s.topics) + s.alpha
+    below = np.tile(totals.astype(np.float64) + s.beta * num_words, len(order))
+    rest = (s.beta * own / below).reshape(len(order), s.topics).sum(axis=1)
+
+    def change(cell: np.ndarray, step: float) -> None:
+        n, total = own[cell], below[cell]
+        after, total_after = n + step, total + step
+        rest[: len(cell)] += s.beta * (after / total_after - n / total)
+        own[cell], below[cell] = after, total_after
 
     for i in range(int(lengths.max(initial=0))):
         active = int(np.searchsorted(-sorted_lengths, -i, side="left"))
-        rows, at = np.arange(active), starts[:active] + i
+        at, cell = starts[:active] + i, cells[:active]
         here, old = slot[at], topic[at]
-        change(rows, old, -1.0)
+        change(cell + old, -1.0)
         wide = pairs.sizes[here]
-        of, entry = np.repeat(rows, wide), _entries(pairs.first[here], wide)
+        ends = wide.cumsum()
+        begins = ends - wide
+        of = np.arange(active).repeat(wide)
+        entry = np.arange(len(of)) + (pairs.first[here] - begins)[of]
         k = pairs.topics[entry]
-        gone = k == old[of]
-        pairs.counts[entry[gone]] -= 1.0
-        weight = (own[of, k] + s.alpha) * pairs.counts[entry] / below[of, k]
-        ends = np.cumsum(wide)
-        largest = np.maximum.reduceat(weight, ends - wide)
-        scale = np.divide(_PARTS, largest, out=np.zeros(active), where=largest > 0)
-        running = np.floor(weight * scale[of]).astype(np.int64).cumsum()
-        base = np.concatenate([[0], running[ends[:-1] - 1]])
-        parts = running[ends - 1] - base
-        word = np.divide(parts, scale, out=np.zeros(active), where=scale > 0)
-        x = _uniform(keys[:active], i, stream) * (word + document[:active] + smooth[:active])
-        new = np.zeros(active, np.int64)
-        by_word = np.flatnonzero(x < word)
+        n = pairs.counts[entry] - (k == old[of])
+        flat = cell[of] + k
+        weight = own[flat] * n / below[flat]
+        # A word without any weight has no parts.
+        scale = _PARTS / np.maximum(np.maximum.reduceat(weight, begins), 1e-200)
+        running = (weight * scale[of]).astype(np.int64).cumsum()
+        through = running[ends - 1]
+        base = np.concatenate(([0], through[:-1]))
+        parts = through - base
+        word = parts / scale
+        x = u[at] * (word + rest[:active])
+        by_word, by_rest = np.flatnonzero(x < word), np.flatnonzero(x >= word)
+        new = np.empty(active, np.int64)
         wanted = base[by_word] + np.minimum((x[by_word] * scale[by_word]).astype(np.int64), parts[by_word] - 1)
-        new[by_word] = k[np.searchsorted(running, wanted, side="right")]
-        x -= word
-        rest = x >= 0
-        by_document = np.flatnonzero(rest & (x < document[:active]))
-        new[by_document] = _walk(s.beta * own[by_document] / below[by_document], x[by_document])
-        by_smooth = np.flatnonzero(rest & (x >= document[:active]))
-        new[by_smooth] = _walk(s.alpha * s.beta / below[by_smooth], x[by_smooth] - document[by_smooth])
-        change(rows, new, 1.0)
+        new[by_word] = k[running.searchsorted(wanted, side="right")]
+        if len(by_rest):
+            wide_cells = cell[by_rest, None] + np.arange(s.topics)
+            sums = (s.beta * own[wide_cells] / below[wide_cells]).cumsum(axis=1)
+            # Rounding can leave x at the very end: the last topic then.
+            new[by_rest] = np.minimum((sums <= (x - word)[by_rest, None]).sum(axis=1), s.topics - 1)
+        change(cell + new, 1.0)
         kept = k == new[of]
-        pairs.counts[entry[kept]] += 1.0
-        missing = np.ones(active, bool)
-        missing[of[kept]] = False
-        if missing.any():
+        pairs.counts[entry] = n + kept
+        if np.count_nonzero(kept) < active:
+            missing = ~np.logical_or.reduceat(kept, begins)
             pairs.insert(here[missing], new[missing])
         topic[at] = new
     out: list = [None] * len(order)

@@ -148,16 +148,15 @@ def _sql_sync(number: int, sweep: int, clock: int) -> str:
     topics_of = f"range(0, {k})"
     # Occurrences of topic t among the positions of the same word so far, this one included.
     seen = ", ".join(f"count(*) FILTER (topic = {t}) OVER same" for t in range(k))
-    # The word's term, the document's and the smoothing share a denominator; the draw runs through them in this order.
+    # The word's term and the rest share a denominator; the draw runs through them in this order.
     own = f"list_transform({topics_of}, lambda t: a.own[t + 1] - (t = x.old)::INT)"
     below = f"list_transform({topics_of}, lambda t: totals[t + 1] + o[t + 1] - own0[t + 1] + {a.beta} * v)"
     word = f"list_transform({topics_of}, lambda t: x.base[t + 1] + len(list_filter(list_select(a.z, x.earlier), lambda y: y = t)))"
     terms = f"""list_concat(
         list_transform({topics_of}, lambda t: (o[t + 1] + {a.alpha}) * n[t + 1] / d[t + 1]),
-        list_transform({topics_of}, lambda t: {a.beta} * o[t + 1] / d[t + 1]),
-        list_transform({topics_of}, lambda t: {a.alpha} * {a.beta} / d[t + 1]))"""
-    sums = f"list_transform(range(1, {3 * k + 1}), lambda e: list_sum(w[1:e]))"
-    drawn = f"len(list_filter(c, lambda y: y <= x.u * c[{3 * k}])) % {k}"
+        list_transform({topics_of}, lambda t: {a.beta} * (o[t + 1] + {a.alpha}) / d[t + 1]))"""
+    sums = f"list_transform(range(1, {2 * k + 1}), lambda e: list_sum(w[1:e]))"
+    drawn = f"len(list_filter(c, lambda y: y <= x.u * c[{2 * k}])) % {k}"
     after = f"""{{'own': list_transform({topics_of}, lambda t: o[t + 1] + (t = r)::INT), 'z': list_append(a.z, r::INT),
                  'base': []::BIGINT[], 'earlier': []::BIGINT[], 'old': 0, 'u': 0.0::DOUBLE}}"""
     body = after
