@@ -9,8 +9,7 @@ and more is a copied example, whichever comes first; a value of one owner in few
 specific to it. A value of two owners in fewer repositories is undecided: neither copied nor live, its
 base spans stay and its bare tokens are no spans. A bare token becomes a span only if it is specific
 to one owner and looks live (enough different characters, no placeholder word, no overlap with a base
-span). ``OP_SQL`` knows owners only, so it agrees as long as no value of fewer than ``COPIED_OWNERS``
-owners is in ``COPIED_REPOSITORIES`` repositories.
+span).
 
 Positions are code points. ``split`` and ``regexp_extract_all`` find the same matches, so the
 lengths of the pieces and of the matches add up to the offset of each match. The patterns are run
@@ -26,9 +25,12 @@ are separate rows of the result; an empty table gives no rows. Only the named co
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusml.functions.text import let
 from corpusml.storage import materialize
 
 # The patterns of the base kinds and the least length of what counts.
@@ -50,9 +52,57 @@ COPIED_REPOSITORIES = 10
 #: Different characters that a live-looking value has at least.
 LIVE_CHARACTERS = 8
 
+#: Entries that :func:`running` folds one by one.
+BLOCK = 128
+
 _SPAN = "array<struct<start:bigint,end:bigint,kind:int,value:string>>"
 
 
+def running(values: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """Running fold of an array of longs, every entry with all before it; ``step`` is associative.
+
+    An array that grows entry by entry is copied each time. So entries are folded in blocks of ``BLOCK``, then the last
+    entries of the blocks, and what lies before a block is added to each of its entries.
+    """
+
+    def fold(a: Column) -> Column:
+        def add(seen: Column, value: Column) -> Column:
+            last = F.get(seen, F.size(seen) - 1)
+            return F.concat(seen, F.array(F.when(F.size(seen) > 0, step(last, value)).otherwise(value)))
+
+        return F.aggregate(a, F.array().cast("array<bigint>"), add)
+
+    def blocks(a: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(a) / BLOCK).cast("int") - 1, F.lit(0)))
+        return F.transform(numbers, lambda b: fold(F.slice(a, b * BLOCK + 1, F.lit(BLOCK))))
+
+    def joined_blocks(parts: Column) -> Column:
+        lasts = F.transform(parts, lambda p: F.get(p, F.size(p) - 1))
+        return let(fold(lasts), lambda before: F.flatten(F.transform(
+            parts, lambda p, i: F.when(i == 0, p).otherwise(F.transform(p, lambda v: step(F.get(before, i - 1), v)))
+        )))
+
+    return let(values, lambda a: let(blocks(a), joined_blocks))
+
+
+def apart(spans: Column, others: Column) -> Column:
+    """The ``spans`` that overlap none of the ``others``, by one pass over both in order of their starts."""
+    none = F.lit(2**62)
+
+    def events(side: Column, number: int) -> Column:
+        return F.transform(side, lambda s, i: F.struct(s["start"].alias("at"), F.lit(number).alias("side"), s["end"].alias("reach"), i.alias("i")))
+
+    def kept(e: Column) -> Column:
+        reached = running(F.transform(e, lambda x: F.when(x["side"] == 0, x["reach"]).otherwise(F.lit(0).cast("long"))), F.greatest)
+        following = F.reverse(running(F.transform(F.reverse(e), lambda x: F.when(x["side"] == 0, x["at"]).otherwise(none)), F.least))
+        rows = F.arrays_zip(e.alias("x"), reached.alias("reached"), following.alias("following"))
+        free = F.filter(rows, lambda r: (r["x"]["side"] == 1) & (r["reached"] <= r["x"]["at"]) & (r["following"] >= r["x"]["reach"]))
+        return F.transform(free, lambda r: F.get(spans, r["x"]["i"]))
+
+    both = F.array_sort(F.concat(events(others, 0), events(spans, 1)))
+    return F.when((F.size(spans) > 0) & (F.size(others) > 0), let(both, kept)).otherwise(spans)
+
+
 def spans_of(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
     """Leftmost non-overlapping matches as an array of ``(start, end, kind, value)``."""
     pieces = F.split(text, pattern, -1)
@@ -63,20 +113,14 @@ def spans_of(text: Column, pattern: str, kind: int, group: int = 0, least: int =
     steps = F.arrays_zip(gaps.alias("gap"), sizes.alias("size"), values.alias("value"))
     # One element more than matches: the last piece has none.
     steps = F.filter(steps, lambda step: step["size"].isNotNull())
-    found = F.aggregate(
-        steps,
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_SPAN).alias("spans")),
-        lambda seen, step: F.struct(
-            (seen["at"] + step["gap"] + step["size"]).alias("at"),
-            F.concat(
-                seen["spans"],
-                F.array(F.struct(
-                    (seen["at"] + step["gap"]).alias("start"), (seen["at"] + step["gap"] + step["size"]).alias("end"),
-                    F.lit(kind).alias("kind"), step["value"].alias("value"),
-                )),
-            ).cast(_SPAN).alias("spans"),
-        ),
-    )["spans"]
+
+    def placed(s: Column) -> Column:
+        ends = running(F.transform(s, lambda step: step["gap"] + step["size"]), lambda x, y: x + y)
+        return F.zip_with(s, ends, lambda step, end: F.struct(
+            (end - step["size"]).alias("start"), end.alias("end"), F.lit(kind).alias("kind"), step["value"].alias("value"),
+        )).cast(_SPAN)
+
+    found = let(steps, placed)
     kept = F.filter(found, lambda span: F.length(span["value"]) >= least) if least else found
     return F.when(text.rlike(pattern), kept).otherwise(F.array().cast(_SPAN))
 
@@ -107,7 +151,8 @@ def candidates(docs: DataFrame, idx: str, text: str, owner: str, repository: str
         F.col(idx).alias("doc_id"), F.col(owner).cast("string").alias("owner"), F.col(repository).cast("string").alias("repository"),
         F.xxhash64(text).alias("text_hash"), base.alias("base"), spans_of(body, BARE, 3).alias("bare"),
     )
-    free = F.filter("bare", lambda b: _mixed(b["value"]) & _live(b["value"]) & ~F.exists("base", lambda s: (s["start"] < b["end"]) & (b["start"] < s["end"])))
+    looks = F.filter("bare", lambda b: _mixed(b["value"]) & _live(b["value"]))
+    free = let(looks, lambda bare: apart(bare, F.col("base")))
     return materialize(rows.withColumn("bare", free).withColumn("row", F.monotonically_increasing_id()), "secret-spans")
 
 
@@ -194,14 +239,15 @@ loose AS (
     AND len(list_distinct(string_split(value, ''))) >= {LIVE_CHARACTERS} AND NOT regexp_matches(value, '{PLACEHOLDER}')
     AND NOT EXISTS (SELECT 1 FROM base s WHERE s.doc_id = b.doc_id AND s."start" < b."end" AND b."start" < s."end")),
 every AS (SELECT *, len(list_distinct(string_split(value, ''))) >= {LIVE_CHARACTERS} AND NOT regexp_matches(value, '{PLACEHOLDER}') AS looks FROM (SELECT * FROM base UNION ALL SELECT * FROM loose)),
-owned AS (SELECT value, count(DISTINCT coalesce(owner, chr(0))) AS owners FROM every GROUP BY value),
-judged AS (SELECT every.*, owners, owners = 1 AND looks AS single FROM every JOIN owned USING (value)),
+owned AS (SELECT value, count(DISTINCT coalesce(owner, chr(0))) AS owners, count(DISTINCT (coalesce(owner, chr(0)), doc_id)) AS repositories FROM every GROUP BY value),
+spread AS (SELECT value, owners, owners >= {COPIED_OWNERS} OR repositories >= {COPIED_REPOSITORIES} AS is_copied FROM owned),
+judged AS (SELECT every.*, is_copied, owners = 1 AND NOT is_copied AND looks AS single FROM every JOIN spread USING (value)),
 named AS (SELECT *, ['assign','access','hex','bare'][kind + 1] || ':' || "start" || ':' || "end" AS name FROM judged),
 rolled AS (
   SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
          string_agg(name, ',' ORDER BY "start", kind) FILTER (kind < 3) AS base,
          string_agg(name, ',' ORDER BY "start", kind) FILTER (kind < 3 OR single) AS spans,
-         count(*) FILTER (single) AS live, count(*) FILTER (owners >= {COPIED_OWNERS}) AS copied
+         count(*) FILTER (single) AS live, count(*) FILTER (is_copied) AS copied
   FROM named GROUP BY doc_id)
 SELECT docs.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,

@@ -1,6 +1,9 @@
 import base64
 import hashlib
+import itertools
+import random
 import re
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -134,6 +137,37 @@ def brute_spans(text):
     return sorted((m.start(), kind, m.end()) for kind, p, group, least in kinds for m in p.finditer(text or "") if len(m[group]) >= least)
 
 
+def test_running_folds_and_overlaps_across_blocks(spark):
+    sizes = (0, 1, secrets.BLOCK - 1, secrets.BLOCK, secrets.BLOCK + 1, 3 * secrets.BLOCK + 5)
+    rng = random.Random(3)
+    data = [(n, [rng.randrange(100) for _ in range(n)]) for n in sizes]
+    df = spark.createDataFrame(data, "n int, a array<bigint>")
+    found = df.select("n", "a", secrets.running(F.col("a"), lambda x, y: x + y).alias("sums"), secrets.running(F.col("a"), F.greatest).alias("tops"))
+    for r in found.collect():
+        assert r["sums"] == list(itertools.accumulate(r["a"])) and r["tops"] == list(itertools.accumulate(r["a"], max))
+
+    def some(n, longest):
+        return [(at, at + rng.randrange(1, longest), 0, str(i)) for i, at in enumerate(rng.sample(range(6000), n))]
+
+    pairs = [(some(400, 9), some(300, 40)), ([], some(3, 5)), (some(3, 5), []), ([(5, 9, 0, "a"), (9, 12, 0, "b")], [(9, 10, 0, "c")])]
+    df = spark.createDataFrame(pairs, f"a {secrets._SPAN}, b {secrets._SPAN}")
+    for r in df.select("a", "b", secrets.apart(F.col("a"), F.col("b")).alias("free")).collect():
+        assert sorted(r["free"]) == sorted(x for x in r["a"] if not any(x[0] < y[1] and y[0] < x[1] for y in r["b"]))
+
+
+def test_very_many_secrets_in_one_text(spark):
+    n = 100_000
+    lines = [f"{hashlib.sha256(str(i).encode()).hexdigest()}  f{i}" for i in range(n)]
+    began = time.monotonic()
+    found = secrets.scan(table(spark, [(1, "\n".join(lines), "en", "a", 1)])).select("base", F.size("spans").alias("spans")).collect()[0]
+    assert len(found["base"]) == found["spans"] == n
+    at = 0
+    for line, span in zip(lines, found["base"]):
+        assert (span["start"], span["end"]) == (at, at + 64)
+        at += len(line) + 1
+    assert time.monotonic() - began < 60
+
+
 def test_secrets_against_brute_force(spark):
     rows = [(i, t, "en", "ab"[i % 2], 1) for i, t in enumerate(SECRETS)] + awkward()[:8]
     result = secrets.digest_columns(secrets.scan(table(spark, rows)))
