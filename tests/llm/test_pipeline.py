@@ -27,7 +27,7 @@ def test_query_agrees_with_sql(spark, name):
 
 
 def test_registered():
-    assert {n.split("_")[0] for n in catalog.queries} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in catalog.queries} == {f"op{i}" for i in range(1, 14)}
     assert {"pipeline", *catalog.queries} <= set(entry.queries())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_dedup", "decontamination", "secrets", "mixing"]
 
