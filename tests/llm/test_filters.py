@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 from helpers import awkward, got, prose, table
@@ -90,13 +92,20 @@ def test_letter_counts_cover_all_texts(spark):
     assert counts[code("abca")] == 2 and counts[code("  ab")] == 2 and counts[code("ca  ")] == 2
 
 
-def brute_coverage(text, item, least=5):
-    """Greedy string tiling by the book, on token lists."""
+def brute_tokens(text):
     import re
+    import unicodedata
+
+    seen = re.sub("[\u00ad\u200b-\u200f\u2060\ufeff]", "", unicodedata.normalize("NFC", text).lower())
+    return re.findall(r"[^\W_]+", seen)
 
-    a, b = (re.findall(r"[0-9a-z\x80-￿]+", t.lower()) for t in (text, item))
+
+def brute_tiles(a, b, least=None):
+    """Greedy string tiling by the book, on token lists."""
+    least = least or min(5, len(b))
     used_a, used_b = [False] * len(a), [False] * len(b)
-    while True:
+    tiles = []
+    while b:
         best = (0, 0, 0)
         for i in range(len(a)):
             for j in range(len(b)):
@@ -107,9 +116,16 @@ def brute_coverage(text, item, least=5):
                     best = n, i, j
         n, i, j = best
         if n < least:
-            return sum(used_b) / max(1, len(b))
+            break
         used_a[i : i + n] = [True] * n
         used_b[j : j + n] = [True] * n
+        tiles.append((i, j, n))
+    return tiles
+
+
+def brute_coverage(text, item):
+    b = brute_tokens(item)
+    return sum(n for *_, n in brute_tiles(brute_tokens(text), b)) / max(1, len(b))
 
 
 def test_decontamination_against_brute_force(spark):
@@ -119,12 +135,14 @@ def test_decontamination_against_brute_force(spark):
     texts = [
         prose(6, 40) + " " + item + " " + prose(7, 40), " ".join(w[15:] + ["x"] + w[:15]), " ".join(w[:10]), " ".join(w[:16]), item.upper(),
         " ".join(w[20:] + ["y"] + w[10:20] + ["z", "z"] + w[:10]), ", ".join(w), short, None, "", " ".join(w[:6] * 5), prose(8, 90), item + " " + item,
+        "not TO BE, or be", "to be be or", item,
     ]
     rows = [(i, t, "en", "a", 1) for i, t in enumerate(texts)] + [(None, item, "en", "a", 1)]
-    bench = spark.createDataFrame([(1, item), (2, short), (3, None), (4, ""), (5, prose(99, 40)), (1, item)], "item_id long, text string")
+    items = [(1, item), (2, short), (3, None), (4, ""), (5, prose(99, 40)), (1, item), (None, item.upper())]
+    bench = spark.createDataFrame(items, "item_id long, text string")
     found = got(decontamination.contaminated(table(spark, rows), bench), "doc_id", "item_id")
-    wanted = [(r[0], 1) for r in rows if r[1] and brute_coverage(r[1], item) >= decontamination.COVERAGE]
-    assert sorted(set(found), key=str) == sorted(wanted, key=str) and len(found) == 2 * len(wanted)
+    wanted = [(r[0], i) for r in rows for i, t in items if r[1] and t and brute_coverage(r[1], t) >= decontamination.COVERAGE]
+    assert sorted(found, key=str) == sorted(wanted, key=str) and (7, 2) in wanted and (13, 2) in wanted and (0, None) in wanted
     clean = decontamination.clean(table(spark, rows), bench)
     assert clean.columns == table(spark, rows).columns
     assert {r["doc_id"] for r in clean.collect()} == {r[0] for r in rows} - {d for d, _ in wanted}
@@ -133,19 +151,53 @@ def test_decontamination_against_brute_force(spark):
     assert decontamination.contaminated(table(spark, []), bench).count() == 0
 
 
-def test_blocks_of_the_benchmark(spark, monkeypatch):
-    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 300)
-    items = [(i, prose(i, 20)) for i in range(30)]
-    rows = [(i, prose(1000 + i, 5) + " " + t, "en", "a", 1) for i, t in items]
-    found = decontamination.contaminated(table(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
-    assert got(found, "doc_id", "item_id") == [(i, i) for i in sorted(range(30), key=lambda i: str(i).zfill(9))]
-
-
-def test_tiles_never_overlap():
-    words = "a b c d e f g h i j".split()
-    seeds = [(i, j) for i in range(0, 6) for j in [i]] + [(20 + i, i + 2) for i in range(4)]
-    tiles = decontamination.tile(seeds)
-    assert tiles[0] == (0, 0, 10) and sum(n for *_, n in tiles) <= len(words)
+def test_characters_beyond_ascii(spark):
+    item = prose(5, 30)
+    w = item.split()
+    quoted = " ".join(f"\u201c{x}\u201d" if i % 4 == 0 else x for i, x in enumerate(w))
+    accents = "\u00e9l\u00e8ve na\u00efve \u00fcber stra\u00dfe \u0436\u0443\u043a ga\u0308r sei und wo da"
+    texts = ["\u00a0".join(w), quoted, " \u2014 ".join(w), "\u2013".join(w), " ".join(x[:1] + "\u00ad" + x[1:] for x in w), accents.upper().replace("SS", "\u00df"),
+             accents.replace("a\u0308", "\u00e4"), prose(9, 40) + " \u00e9"]
+    rows = [(i, t, "en", "a", 1) for i, t in enumerate(texts)]
+    bench = spark.createDataFrame([(1, item), (2, accents)], "item_id long, text string")
+    assert got(decontamination.contaminated(table(spark, rows), bench), "doc_id", "item_id") == [(i, 1) for i in range(5)] + [(5, 2), (6, 2)]
+
+
+def test_many_items_and_a_phrase_they_share(spark):
+    phrase = "what is the right answer to the question about"
+    items = [(i, phrase + " " + prose(i, 12)) for i in range(3000)]
+    rows = [(i, prose(5000 + i, 5) + " " + t, "en", "a", 1) for i, t in items[::10]] + [(9000 + i, f"{phrase} {prose(9000 + i, 20)}", "en", "a", 1) for i in range(300)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = got(decontamination.contaminated(table(spark, rows), bench), "doc_id", "item_id", "tokens")
+    assert found == sorted(((i, i, 21) for i in range(0, 3000, 10)), key=lambda r: str(r[0]).zfill(9))
+
+
+def seeds(a, b, least):
+    ours, theirs = {}, {}
+    for words, side in ((a, ours), (b, theirs)):
+        for i in range(len(words) - least + 1):
+            side.setdefault(tuple(words[i : i + least]), []).append(i)
+    runs = sorted(ours.keys() & theirs.keys())
+    return [ours[r] for r in runs], [theirs[r] for r in runs]
+
+
+def test_tiles_against_brute_force():
+    rng = np.random.default_rng(3)
+    for case in range(300):
+        letters = "ab" if case % 2 else "abcdef"
+        a, b = ([letters[x] for x in rng.integers(0, len(letters), rng.integers(0, 40))] for _ in range(2))
+        if case % 3 == 0:
+            a = a[:5] + b[7:] + a[5:] + b[:9]
+        least = int(rng.integers(1, 6))
+        assert decontamination.tile(*seeds(a, b, least), least) == brute_tiles(a, b, least)
+
+
+def test_a_million_equal_tokens(spark):
+    started = time.monotonic()
+    docs = table(spark, [(1, "la " * 1_000_000, "en", "a", 1), (2, "la " * 49, "en", "a", 1), (3, "la " * 50, "en", "a", 1)], clashes=False)
+    bench = spark.createDataFrame([(1, "la " * 100)], "item_id long, text string")
+    assert got(decontamination.contaminated(docs, bench), "doc_id", "coverage", "tiles", "tokens") == [(1, 1.0, 1, 100), (3, 0.5, 1, 50)]
+    assert time.monotonic() - started < 30
 
 
 def test_filters_keep_columns(spark):
