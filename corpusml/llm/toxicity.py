@@ -131,19 +131,45 @@ def _options(char: str, before: str) -> list[tuple[int, float]]:
     found += [(ord(c) - 96, SWAP) for c in LOOKALIKES.get(char, "")]
     if char == " ":  # only between letters that are spelled out
         found += [(0, 0.0), (-1, DROP)]
-    if char == "*":
-        found += [(c, WILD) for c in range(1, 27)]
-    if char in SEPARATORS or char in LOOKALIKES:
-        found.append((-1, DROP if char in SEPARATORS else WILD))
+    if char in LOOKALIKES:
+        found.append((-1, WILD))
     return found or [(0, 0.0)]
 
 
+def _wildcard(states: dict[int, tuple[float, str]], opened, costs) -> tuple[dict[int, tuple[float, str]], set[int]]:
+    """The states after one more wildcard, and those it made cheaper.
+
+    Only ``opened`` states can lead to cheaper ones: the others were tried at an earlier wildcard of the run. Once no
+    state becomes cheaper none ever will, so the rest of a run, however long, changes nothing. As each letter costs more
+    than leaving its mark out and the model's costs are bounded, that is after a few wildcards.
+    """
+    following, cheaper = dict(states), set()
+    for state in opened:
+        cost, letters = states[state]
+        cost += WILD - DROP
+        for code in range(1, LETTERS):
+            at = state * LETTERS + code
+            new, total = at % LETTERS**3, cost + costs[at]
+            if new not in following or total < following[new][0]:
+                following[new] = (total, letters + chr(96 + code))
+                cheaper.add(new)
+    return following, cheaper
+
+
 def decode(word: str, costs) -> str:
     """The letters that a disguised word most likely stands for."""
     # State: last three letter codes. Each keeps its least cost and the letters so far.
     states = {0: (0.0, "")}
     before = ""
+    wild: set[int] | None = None  # states that the last wildcard made cheaper
     for char in word:
+        if char in SEPARATORS:
+            # Leaving it out costs the same in every state and decides nothing, so that cost is not counted.
+            if char == "*" and wild != set():
+                states, wild = _wildcard(states, states.keys() if wild is None else wild, costs)
+            before = char
+            continue
+        wild = None
         following: dict[int, tuple[float, str]] = {}
         options = _options(char, before)
         if len(states) == 1 == len(options) and options[0][0] >= 0:

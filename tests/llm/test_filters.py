@@ -1,3 +1,4 @@
+import itertools
 import time
 
 import numpy as np
@@ -80,6 +81,50 @@ def test_the_gate_is_as_wide_as_the_lattice(written, word):
     assert word.encode() in known.words(f"some {written} here".encode()) and word.encode() in known.words(written.encode())
 
 
+def exhaustive(word, costs):
+    """The cheapest of all readings of a word, one by one."""
+    options, before = [], ""
+    for char in word:
+        if char in toxicity.SEPARATORS:
+            options.append([(-1, toxicity.DROP)] + [(c, toxicity.WILD) for c in range(1, 27) if char == "*"])
+        else:
+            options.append(toxicity._options(char, before))
+        before = char
+    best = (float("inf"), "")
+    for reading in itertools.product(*options):
+        cost, state = 0.0, 0
+        for code, channel in [*reading, (0, 0.0)]:
+            cost += channel
+            if code >= 0:
+                cost += costs[state * 27 + code]
+                state = (state * 27 + code) % 27**3
+        best = min(best, (cost, "".join(chr(96 + c) if c else " " for c, _ in reading if c >= 0)))
+    return best[1].strip()
+
+
+@pytest.mark.parametrize("word", ["id*ot", "1d!0t", "m**on", "***er", "*-*n", "s*u*!d", "stuup1d", "l-o.s|r", "i d i 0 t", "*", "**", "t*.*sh", "c*o*n", "(l0wn", "a1a2", "£0s€r"])
+def test_the_decoder_against_all_readings(word):
+    costs = restorer().costs
+    assert toxicity.decode(word, costs) == exhaustive(word, costs)
+
+
+def test_long_runs_of_wildcards():
+    known = restorer()
+    for divider in ("*" * 10_000, "*-" * 10_000):
+        for written in (f"{divider}note", f"x{divider}y"):
+            started = time.monotonic()
+            known.words(written.encode())
+            assert time.monotonic() - started < 30
+    assert toxicity.decode("*" * 40 + "note", known.costs) == toxicity.decode("*" * 80 + "note", known.costs)
+
+
+def test_repeated_ids_do_not_add_to_the_sample(spark):
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (None, 1)], "doc_id long, toxic int")
+    docs = table(spark, [(1, t, "en", "a", 1) for t in ("b", "a", None)] * 50 + [(2, None, "en", "a", 1), (None, "x", "en", "a", 1)])
+    assert got(training_sample(docs, labels, "toxic", 10), "doc_id", "text", "label") == [(1, "a", 1), (2, None, 0)]
+    assert docs.select(held_out("doc_id").alias("h")).filter("h IS NULL").count() == 0
+
+
 def test_two_letters_are_decoded():
     assert b"no" in restorer("no " * 30).words(b"n0") and b"no" in restorer("no " * 30).words(b"n o")
     assert restorer().words(b"") == set() and restorer().words(b"12.5 (7)") == set()
