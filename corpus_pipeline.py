@@ -11,7 +11,7 @@ read again as the next stage's documents. All but the last keep the columns of t
    how often they are repeated.
 
 Nulls, empty texts and extra columns pass through; rows without an id have no near-duplicates; of rows
-that repeat an id one stays at the second stage; empty tables give empty results.
+that repeat id and text one stays at the second stage, other texts of an id that stays go on with it; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each component of similar ones: the one with the smallest id."""
     judged = near_dedup.near_duplicates(docs, k=SHINGLE, percent=PERCENT)
     kept = judged.filter("kept").select(F.col("doc_id").alias("__id")).distinct()
-    named = docs.join(kept, F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
+    named = docs.join(kept, F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id", "text"])
     return named.unionByName(docs.filter("doc_id IS NULL"))
 
 
