@@ -45,7 +45,7 @@ SIEVE = 1 << 26
 
 _TOKEN = np.array([c >= 128 or chr(c).isalnum() for c in range(256)])
 _APART = re.compile(r"[^\w\x00-\x7f]+")
-_UNSEEN = re.compile("[­​-‏⁠﻿]+")
+_UNSEEN = re.compile("[\xad\u200b-\u200f\u2060\ufeff]+")
 _BLOCK = 1 << 16
 
 Tokens = tuple[np.ndarray, np.ndarray, np.ndarray, bytes]
