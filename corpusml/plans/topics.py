@@ -14,14 +14,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusml.functions.text import digest_bits
+from corpusml.functions.text import digest_bits, distinct_words, find_words
 from corpusml.functions.vectors import log_gamma
+from corpusml.operators.blocks import in_blocks, meet
 from corpusml.operators.ranking import hashed_rank, top_k
-from corpusml.operators.rows import spread
 from corpusml.session import ship_package
 from corpusml.storage import discard, materialize
 
@@ -39,21 +39,75 @@ class Settings:
 # documents as word ids --------------------------------------------------------------------
 
 def vocabulary(tokens: DataFrame) -> DataFrame:
-    """``(word, word_id)`` with contiguous ids from 0, in order of the words' hashes.
+    """``(word, word_id)`` with contiguous ids from 0, in order of the words' hashes, stored.
 
-    A vocabulary grows with the corpus, so ids come from a rank that no single task computes.
+    Takes rows with a ``word`` or documents with a ``text``. A vocabulary grows with the corpus, so ids come from a rank
+    that no single task computes.
     """
-    return hashed_rank(tokens.select("word").distinct(), digest_bits(F.col("word")), F.col("word"), "word_id")
+    found = tokens.select("word") if "word" in tokens.columns else distinct_words(tokens)
+    ranked = hashed_rank(found.distinct(), digest_bits(F.col("word")), F.col("word"), "word_id")
+    # Readers join it more than once.
+    return materialize(ranked, "topics-vocabulary")
 
 
 def word_id_documents(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
-    """``(doc_id, words array<int>)`` from ``(doc_id, pos, word)`` rows, in order of position."""
+    """``(doc_id, words array<int>)`` in order of position, of documents that have words.
+
+    Takes ``(doc_id, pos, word)`` rows, or documents ``(doc_id, text)`` as they are: those are numbered in blocks, so that
+    no row per token is shuffled. Rows that share an id are one document.
+    """
+    if "text" in tokens.columns:
+        return _numbered_texts(tokens, vocab)
     ids = tokens.join(vocab, "word").select("doc_id", F.struct("pos", F.col("word_id").cast("int").alias("word_id")).alias("at"))
     # A list per document, as long as the document.
     listed = ids.groupBy("doc_id").agg(F.sort_array(F.collect_list("at")).alias("at"))
     return listed.select("doc_id", F.col("at.word_id").alias("words"))
 
 
+def _numbered_texts(docs: DataFrame, vocab: DataFrame) -> DataFrame:
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+
+    def terms(part: pa.RecordBatch) -> Iterator[set]:
+        return (set(find_words(raw)) for raw in part.column("raw").to_pylist())
+
+    def run(rows: pa.Table, found: pa.Table) -> pa.Table:
+        ids = dict(zip(found.column("word").cast(pa.binary()).to_pylist(), found.column("word_id").to_pylist()))
+        lists: dict = {}
+        for idx, raw in zip(rows.column("doc_id").to_pylist(), rows.column("raw").to_pylist()):
+            own = np.fromiter(map(ids.__getitem__, find_words(raw)), np.int32)
+            if len(own):
+                lists.setdefault(idx, []).append(own)
+        merged = [x[0] if len(x) == 1 else _interleaved(x) for x in lists.values()]
+        return pa.table({"doc_id": pa.array(list(lists), rows.schema.field("doc_id").type), "words": _lists(merged)})
+
+    # NULL texts have no words.
+    raw = docs.select("doc_id", F.col("text").cast("binary").alias("raw")).filter(F.col("raw").isNotNull())
+    blocked = in_blocks(raw, "doc_id", F.octet_length("raw"))
+    return meet(blocked, terms, "word", "string", vocab, run, f"doc_id {id_type}, words array<int>")
+
+
+def _interleaved(lists: list[np.ndarray]) -> np.ndarray:
+    """Lists of one document as one, in order of position and then of word id."""
+    places = np.concatenate([np.arange(len(x)) for x in lists])
+    ids = np.concatenate(lists)
+    return ids[np.lexsort((ids, places))]
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *[len(a) for a in arrays]])
+    values = np.concatenate(arrays) if arrays else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
+
+
+def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Values and lengths of a column of lists."""
+    lists = column.combine_chunks()
+    if isinstance(lists, pa.ChunkedArray):
+        lists = pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], column.type)
+    lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return lists.flatten().to_numpy(zero_copy_only=False), lengths
+
+
 def num_words(docs: DataFrame) -> int:
     """Largest word id plus one."""
     return docs.agg(F.max(F.array_max("words")) + 1).first()[0] or 0
@@ -71,12 +125,34 @@ def initial_topics(docs: DataFrame, topics: int, seed: int = 0) -> DataFrame:
     return docs.withColumn("z", F.transform("words", draw))
 
 
-def _tokens(state: DataFrame) -> DataFrame:
-    return state.select("doc_id", F.explode(F.arrays_zip(F.col("words").alias("word_id"), F.col("z").alias("topic"))).alias("t")).select("doc_id", "t.word_id", "t.topic")
+#: Tokens that are counted together before their counts leave a task.
+_COUNTED = 4 << 20
 
 
 def word_topic_counts(state: DataFrame) -> DataFrame:
-    return _tokens(state).groupBy("word_id", "topic").agg(F.count(F.lit(1)).alias("n"))
+    """``(word_id, topic, n)``; tokens are counted in batches first, so what is grouped are distinct pairs."""
+    ship_package(state.sparkSession)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def counted() -> pa.RecordBatch:
+            pairs, n = np.unique(np.concatenate(held), return_counts=True)
+            columns = [(pairs >> 32).astype(np.int32), (pairs & 0xFFFFFFFF).astype(np.int32), n.astype(np.int64)]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["word_id", "topic", "n"])
+
+        for part in parts:
+            words, z = (_flat(pa.chunked_array([part.column(c)]))[0].astype(np.int64) for c in ("words", "z"))
+            held.append(words << 32 | z)
+            size += len(words)
+            if size > _COUNTED:
+                yield counted()
+                held, size = [], 0
+        if size:
+            yield counted()
+
+    pairs = state.select("words", "z").mapInArrow(run, "word_id int, topic int, n long")
+    return pairs.groupBy("word_id", "topic").agg(F.sum("n").alias("n"))
 
 
 def topic_counts(word_topics: DataFrame) -> DataFrame:
@@ -84,7 +160,19 @@ def topic_counts(word_topics: DataFrame) -> DataFrame:
 
 
 def document_topic_counts(state: DataFrame) -> DataFrame:
-    return _tokens(state).groupBy("doc_id", "topic").agg(F.count(F.lit(1)).alias("n"))
+    """``(doc_id, topic, n)``; counted inside the row first."""
+    ship_package(state.sparkSession)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            z, lengths = _flat(pa.chunked_array([part.column("z")]))
+            pairs, n = np.unique(np.repeat(np.arange(len(lengths)), lengths) << 32 | z.astype(np.int64), return_counts=True)
+            columns = [part.column("doc_id").take(pa.array(pairs >> 32)), pa.array((pairs & 0xFFFFFFFF).astype(np.int32)), pa.array(n.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "topic", "n"])
+
+    id_type = state.schema["doc_id"].dataType.simpleString()
+    pairs = state.select("doc_id", "z").mapInArrow(run, f"doc_id {id_type}, topic int, n long")
+    return pairs.groupBy("doc_id", "topic").agg(F.sum("n").alias("n"))
 
 
 # likelihood -------------------------------------------------------------------------------
@@ -286,39 +374,59 @@ def document_key(idx: str = "doc_id") -> Column:
 def sample(state: DataFrame, word_topics: DataFrame, words: int, stream: int, s: Settings) -> DataFrame:
     """One pass over the documents of ``state`` against frozen counts.
 
-    The counts stay distributed: each document fetches those of its own words through a join. The model
-    side has one row per word with its (topic, count) pairs, so a hot word can be split. The pairs stay pairs:
-    a document holds no more numbers than its words have topics.
+    The counts stay distributed: each block of documents fetches those of its own words through a join, every word
+    once. The model side has one row per word with its (topic, count) pairs. The pairs stay pairs: a block holds no more
+    numbers than its words have topics.
     """
     ship_package(state.sparkSession)
     totals = np.zeros(s.topics)
     for row in topic_counts(word_topics).collect():
         totals[row["topic"]] = row["n"]
-    packed = word_topics.groupBy("word_id").agg(F.sort_array(F.collect_list(F.struct("topic", "n"))).alias("pairs"))
-    own = state.select("doc_id", F.explode(F.array_distinct("words")).alias("word_id")).join(packed, "word_id")
-    own = own.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("word_id", "pairs"))).alias("own"))
-    # The word list of a document comes back flat: ids, pairs of each id, then topics and counts.
-    whole, counts = F.array().cast("array<int>"), F.array().cast("array<bigint>")
-    rows = state.join(own, "doc_id", "left").select(
-        "doc_id", document_key().alias("key"), "words", "z",
-        F.coalesce(F.col("own.word_id").cast("array<int>"), whole).alias("ids"),
-        F.coalesce(F.transform("own.pairs", F.size), whole).alias("sizes"),
-        F.coalesce(F.transform(F.flatten("own.pairs"), lambda p: p["topic"].cast("int")), whole).alias("topics"),
-        F.coalesce(F.transform(F.flatten("own.pairs"), lambda p: p["n"].cast("bigint")), counts).alias("counts"),
-    )
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            new: list = []
-            cells = [len(t) + 2 * len(w) + 2 * s.topics for t, w in zip(frame["topics"], frame["words"])]
-            for part in _blocks(cells):
-                of = {c: list(frame[c][part]) for c in ("words", "z", "ids", "sizes", "topics", "counts")}
-                flat = [np.concatenate(of[c]) for c in ("sizes", "topics", "counts")]
-                new += resample(frame["key"].to_numpy()[part], of["words"], of["z"], of["ids"], *flat, totals, words, stream, s)
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "words": frame["words"], "z": new})
-
+    # Topics travel as bytes where they fit.
+    kind = "array<tinyint>" if s.topics <= 127 else "array<int>"
+    packed = word_topics.groupBy(F.col("word_id").cast("long").alias("word_id")).agg(F.sort_array(F.collect_list(F.struct("topic", "n"))).alias("pairs"))
+    packed = packed.select("word_id", F.col("pairs.topic").cast(kind).alias("topics"), F.col("pairs.n").cast("array<bigint>").alias("counts"))
     id_type = state.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(run, _STATE.format(id_type=id_type))
+
+    def terms(part: pa.RecordBatch) -> Iterator[set]:
+        values, lengths = _flat(pa.chunked_array([part.column("words")]))
+        return (set(x.tolist()) for x in np.split(values, np.cumsum(lengths)[:-1]))
+
+    def run(rows: pa.Table, found: pa.Table) -> pa.Table:
+        ids = found.column("word_id").to_numpy()
+        order = np.argsort(ids)
+        ids = ids[order]
+        all_topics, wide = _flat(found.column("topics"))
+        all_counts = _flat(found.column("counts"))[0]
+        first = (np.cumsum(wide) - wide)[order]
+        # One more row stands for the words that the model lacks.
+        first, wide = np.append(first, 0), np.append(wide[order], 0)
+        flat_words, lengths = _flat(rows.column("words"))
+        ends = np.cumsum(lengths)
+        of_words = np.split(flat_words, ends[:-1])
+        of_z = np.split(_flat(rows.column("z"))[0], ends[:-1])
+        keys = rows.column("key").to_numpy()
+
+        def places(distinct: np.ndarray) -> np.ndarray:
+            at = np.searchsorted(ids, distinct)
+            known = at < len(ids)
+            known[known] = ids[at[known]] == distinct[known]
+            return np.where(known, at, len(ids))
+
+        distinct = [np.unique(w) for w in of_words]
+        at = [places(d) for d in distinct]
+        new: list = []
+        for part in _blocks([int(wide[a].sum()) + 2 * len(w) + 2 * s.topics for a, w in zip(at, of_words)]):
+            here = np.concatenate(at[part])
+            entries = _entries(first[here], wide[here])
+            new += resample(
+                keys[part], of_words[part], of_z[part], distinct[part], wide[here], all_topics[entries], all_counts[entries], totals, words, stream, s)
+        return pa.table({"doc_id": rows.column("doc_id"), "words": rows.column("words"), "z": _lists(new)})
+
+    rows = state.select("doc_id", document_key().alias("key"), "words", F.col("z").cast(kind).alias("z"))
+    # Six bytes for a word, as in a text.
+    blocked = in_blocks(rows, "doc_id", F.size("words") * 6)
+    return meet(blocked, terms, "word_id", "long", packed, run, _STATE.format(id_type=id_type))
 
 
 @dataclass(frozen=True)
@@ -328,6 +436,9 @@ class Trained:
     history: list[tuple[int, float, float]]
 
 
+_FEW = 8
+
+
 def train(docs: DataFrame, words: int, s: Settings, likelihood: bool = True) -> Trained:
     """Run ``s.sweeps`` sweeps of ``s.clocks`` syncs each over ``(doc_id, words)``.
 
@@ -335,7 +446,11 @@ def train(docs: DataFrame, words: int, s: Settings, likelihood: bool = True) ->
     ``(iteration, seconds, likelihood)`` entry per sweep.
     """
     part = (document_key() % s.clocks).cast("int")
-    start = materialize(initial_topics(docs, s.topics, s.seed).withColumn("part", part), "topics-start", ["part"])
+    dealt = docs.select("doc_id", "words").withColumn("part", part)
+    if s.clocks > _FEW:
+        # Before they get topics, which need not travel. A task may write few sub-batches as they come.
+        dealt = dealt.hint("rebalance", "part")
+    start = materialize(initial_topics(dealt, s.topics, s.seed), "topics-start", ["part"], rebalance=False)
     states = [start.filter(F.col("part") == c).drop("part") for c in range(s.clocks)]
     counts = [materialize(word_topic_counts(x), "topics-counts") for x in states]
     fresh = True
@@ -345,7 +460,7 @@ def train(docs: DataFrame, words: int, s: Settings, likelihood: bool = True) ->
         for c in range(s.clocks):
             # Summed up once; the sampler reads it for the totals and for the words.
             total = materialize(_total(counts), "topics-total") if s.clocks > 1 else counts[0]
-            new = materialize(sample(spread(states[c], "doc_id"), total, words, sweep, s), "topics-state")
+            new = materialize(sample(states[c], total, words, sweep, s), "topics-state")
             if s.clocks > 1:
                 discard(total)
             new_counts = materialize(word_topic_counts(new), "topics-counts")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusml.functions.text import words
 from corpusml.plans import topics
 from corpusml.queries.base import Catalog, documents, places, sql_digest, sql_places
 
@@ -28,14 +27,10 @@ _ASSIGNED = f"""{_WORDS},
     dt AS MATERIALIZED (SELECT doc_id, topic, count(*) AS n FROM z GROUP BY ALL)"""
 
 
-def _tokens(spark, sf_dir):
-    return documents(spark, sf_dir).select("doc_id", F.posexplode(words("text")).alias("pos", "word"))
-
-
 def _documents(spark, sf_dir):
-    tokens = _tokens(spark, sf_dir)
-    vocab = topics.vocabulary(tokens)
-    return topics.word_id_documents(tokens, vocab), vocab
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    vocab = topics.vocabulary(docs)
+    return topics.word_id_documents(docs, vocab), vocab
 
 
 def _assigned(spark, sf_dir):
@@ -45,7 +40,7 @@ def _assigned(spark, sf_dir):
 
 @catalog.add(f"WITH {_WORDS} SELECT word, word_id FROM vocab")
 def word_dictionary(spark, sf_dir):
-    return topics.vocabulary(_tokens(spark, sf_dir))
+    return topics.vocabulary(documents(spark, sf_dir))
 
 
 @catalog.add(f"""
@@ -105,9 +100,10 @@ def lda_log_likelihood(spark, sf_dir):
     docs, _ = _documents(spark, sf_dir)
     docs = topics.materialize(docs, "query-docs")
     state = topics.initial_topics(docs, SETTINGS.topics, SETTINGS.seed)
-    parts = topics.log_likelihood(
-        topics.word_topic_counts(state), topics.document_topic_counts(state), topics.num_words(docs), SETTINGS
-    )
+    # Each is read by two sums.
+    word_topics = topics.materialize(topics.word_topic_counts(state), "query-counts")
+    doc_topics = topics.materialize(topics.document_topic_counts(state), "query-counts")
+    parts = topics.log_likelihood(word_topics, doc_topics, topics.num_words(docs), SETTINGS)
     return parts.select(*[places(c, 3).alias(c) for c in parts.columns])
 
 

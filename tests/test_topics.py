@@ -168,3 +168,30 @@ def test_topic_words(spark):
     wt = spark.createDataFrame([(0, 0, 5), (1, 0, 5), (2, 0, 9), (2, 1, 1)], "word_id int, topic int, n long")
     vocab = spark.createDataFrame([(0, "zero"), (1, "one"), (2, "two")], "word_id long, word string")
     assert rows(topics.topic_words(wt, vocab, 2)) == [(0, ["two", "zero"]), (1, ["two"])]
+
+
+def test_texts_are_numbered_like_their_tokens(spark):
+    texts = spark.createDataFrame(
+        [(0, "b a b"), (1, "c-É_d"), (2, None), (3, " ."), (4, "b c a"), (4, "x b"), (None, "a")], "doc_id long, text string"
+    )
+    tokens = texts.select("doc_id", F.posexplode(words("text")).alias("pos", "word"))
+    vocab = topics.vocabulary(texts)
+    assert rows(vocab) == rows(topics.vocabulary(tokens))
+    got = topics.word_id_documents(texts, vocab)
+    assert rows(got) == rows(topics.word_id_documents(tokens, vocab))
+    # No row per token is made, let alone shuffled.
+    assert "Generate" not in got._jdf.queryExecution().toString()
+
+
+def test_a_block_fetches_a_word_once(spark, docs):
+    state = topics.initial_topics(docs, 3, 5)
+    counts = topics.word_topic_counts(state)
+    plan = topics.sample(state, counts, 11, 0, S)._jdf.queryExecution().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "Generate" not in plan
+
+
+def test_words_that_the_counts_lack_are_drawn_as_well(spark):
+    state = spark.createDataFrame([(0, [0, 7, 9], [0, 1, 1]), (1, [], [])], "doc_id long, words array<int>, z array<int>")
+    counts = spark.createDataFrame([(0, 0, 1)], "word_id int, topic int, n long")
+    found = {r["doc_id"]: r for r in topics.sample(state, counts, 10, 0, topics.Settings(topics=2)).collect()}
+    assert found[0]["words"] == [0, 7, 9] and set(found[0]["z"]) <= {0, 1} and found[1]["z"] == []
