@@ -9,18 +9,26 @@ without a known word are left out.
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusml.functions.text import digest_bits, explode_terms, is_content_word, words
-from corpusml.functions.text import term_counts as in_row
-from corpusml.operators.groups import count_groups, roll_up_counters
+from corpusml.functions.text import ENGLISH_STOP_WORDS, digest_bits, find_words
+from corpusml.operators.blocks import in_blocks, meet
+from corpusml.operators.groups import count_groups, roll_up_counters, sum_groups
 from corpusml.operators.ranking import hashed_rank, top_k
 from corpusml.operators.rows import label_words
+from corpusml.session import ship_package
 from corpusml.storage import materialize
 
+STOP_BYTES = frozenset(w.encode() for w in ENGLISH_STOP_WORDS)
+
 
 @dataclass(frozen=True)
 class Counts:
@@ -55,10 +63,57 @@ def count(docs: DataFrame, content_only: bool = True, compat: bool = False) -> C
     labels = count_groups(docs.select(F.explode("labels").alias("label")), ["label"])
     if compat:
         docs = docs.withColumn("labels", F.slice("labels", 1, 1))
-    rows = label_words(docs, words("text"))
-    if content_only:
-        rows = rows.withColumn("word", F.lower("word")).filter(is_content_word(F.col("word")))
-    return Counts(count_groups(rows, ["label", "word"]), labels, compat)
+    rows = label_words(counted_words(docs, content_only), F.array("word"), "n")
+    return Counts(sum_groups(rows, ["label", "word"], "n", "n"), labels, compat)
+
+
+#: Distinct words that a task counts before their counts leave it.
+_COUNTED = 1_000_000
+
+
+def counted_words(docs: DataFrame, content_only: bool = True) -> DataFrame:
+    """``(labels, word, n)``: occurrences of words in texts with the same labels.
+
+    A task counts them together first, so what is exploded by label and grouped are distinct words.
+    """
+    ship_package(docs.sparkSession)
+    keys = docs.select("labels").schema.simpleString()[len("struct<") : -1].replace("labels:", "labels ", 1)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[tuple, Counter] = {}
+
+        def counted(kind: pa.DataType) -> pa.RecordBatch:
+            of: list[int] = []
+            found: list[bytes] = []
+            n: list[int] = []
+            for at, counts in enumerate(known.values()):
+                if content_only:
+                    for w in STOP_BYTES & counts.keys():
+                        del counts[w]
+                of += [at] * len(counts)
+                found += counts.keys()
+                n += counts.values()
+            labels = pa.array(list(known), kind).take(pa.array(of, pa.int64()))
+            known.clear()
+            columns = [labels, pa.array(found, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, names=["labels", "word", "n"])
+
+        kind, size = None, 0
+        for part in parts:
+            kind = part.column("labels").type
+            for own, raw in zip(part.column("labels").to_pylist(), part.column("raw").to_pylist()):
+                if own and raw:
+                    counts = known.setdefault(tuple(own), Counter())
+                    before = len(counts)
+                    counts.update(find_words(raw.lower() if content_only else raw))
+                    size += len(counts) - before
+                    if size > _COUNTED:
+                        yield counted(kind)
+                        size = 0
+        if known:
+            yield counted(kind)
+
+    return docs.select("labels", F.col("text").cast("binary").alias("raw")).mapInArrow(run, f"{keys}, word string, n long")
 
 
 def counters(docs: DataFrame) -> DataFrame:
@@ -92,18 +147,6 @@ def label_model(model: Counts) -> DataFrame:
     return with_totals.select("label", prior.alias("prior"), floor.alias("floor"))
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """``(doc_id, word, tf)``: occurrences of every content word per document.
-
-    Every document carries one placeholder that equals no word, so that it survives without
-    words; holding the id, placeholders do not gather in one join partition.
-    """
-    placeholder = F.concat(F.lit(" "), F.col("doc_id").cast("string"))
-    # Counted inside the row: what is exploded is one row per distinct word already.
-    own = F.transform(F.array_append(words("text"), placeholder), F.lower)
-    return explode_terms(docs, in_row(own), "doc_id", term="word", n="tf").filter(is_content_word(F.col("word")))
-
-
 def number_labels(table: DataFrame, width: int) -> DataFrame:
     """Add ``block`` and ``place``: labels side by side in blocks of ``width``, any number of them."""
     ranked = hashed_rank(table, digest_bits(F.col("label")), F.col("label"), "_at")
@@ -111,7 +154,7 @@ def number_labels(table: DataFrame, width: int) -> DataFrame:
     return ranked.select(*table.columns, F.floor(at / width).alias("block"), (at % width).cast("int").alias("place"))
 
 
-def score(model: Counts, docs: DataFrame, width: int = 64) -> DataFrame:
+def score(model: Counts, docs: DataFrame, width: int = 64, near: float | None = None) -> DataFrame:
     """``(doc_id, scores)``: the log score of every label of the model, per document, sorted by label.
 
     With full smoothing a label's score is
@@ -119,52 +162,97 @@ def score(model: Counts, docs: DataFrame, width: int = 64) -> DataFrame:
     with ``known`` the words of the document that the model has. Labels a document shares no
     word with therefore need no row of their own.
 
-    Labels are summed side by side in blocks of ``width``: one row per word and block that the word has
-    labels in, and one row per word that marks it as known. Rows of a document grow with the blocks
-    of its words, never with single labels.
+    Labels stand side by side in blocks of ``width``: one row per word and block that the word has labels in, and one
+    row per word that marks it as known. Documents meet them in blocks of their own, each of which fetches a word once.
+    With ``near`` only the scores within that distance of the best one are listed, which is what a choice needs.
     """
+    ship_package(docs.sparkSession)
     labels = materialize(number_labels(label_model(model), width), "nb-label-model")
-    count = labels.count()
-    width = min(width, max(1, count))
-    every = range(width)
-    # One row per word and block on the model side, so a hot word can be split on the document side.
-    logs = ", ".join(f"max(if(place = {i}, ln(n + 1D), NULL))" for i in every)
+    # A task holds a score for every label, and so their few numbers as well.
+    listed = sorted(labels.collect(), key=lambda r: r["label"].encode())
+    names = pa.array([r["label"] for r in listed], pa.string())
+    prior, floor = (np.array([r[c] for r in listed], np.float64) for c in ("prior", "floor"))
+    place = {(r["block"], r["place"]): i for i, r in enumerate(listed)}
+    width = min(width, max(1, len(listed)))
+    # One row per word and block on the model side, so a hot word can be split.
+    logs = ", ".join(f"max(if(place = {i}, ln(n + 1D), NULL))" for i in range(width))
     numbered = model.words.join(labels.select("label", "block", "place"), "label")
     vectors = numbered.groupBy("word", "block").agg(F.expr(f"array({logs})").alias("v"))
     marks = model.words.select("word").distinct().select("word", F.lit(-1).cast("long").alias("block"), F.lit(None).cast("array<double>").alias("v"))
-    seen = "array(" + ", ".join(f"sum(tf * v[{i}])" for i in every) + ")"
-    used = "array(" + ", ".join(f"sum(if(v[{i}] IS NULL, 0, tf))" for i in every) + ")"
-    by_block = term_counts(docs).join(vectors.union(marks), "word", "left").groupBy("doc_id", "block").agg(
-        F.sum("tf").alias("tf"), F.expr(seen).alias("s"), *([F.expr(used).alias("m")] if model.compat else [])
-    )
-    # The word that stands for the document itself has no block.
-    known = F.coalesce(F.sum(F.when(F.col("block") == -1, F.col("tf"))), F.lit(0)).alias("known")
-    sums = F.struct("s", *(["m"] if model.compat else []))
-    per_doc = by_block.groupBy("doc_id").agg(
-        known, F.map_from_entries(F.collect_list(F.when(F.col("block") >= 0, F.struct("block", sums)))).alias("sums")
-    )
-    if model.compat:
-        per_doc = per_doc.filter("known > 0")
-    entries = F.sort_array(F.collect_list(F.struct("place", "label", "prior", "floor"))).alias("entries")
-    blocks = labels.groupBy("block").agg(entries)
-    last = -(-count // width) - 1
-    spread_out = per_doc.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(0, last)).cast("long"))))
-    # Looked up before the join, so once for each block.
-    spread_out = spread_out.select("doc_id", "known", "block", F.try_element_at("sums", F.col("block")).alias("own"))
-    own = F.col("own")
-
-    def one(y: Column) -> Column:
-        weight = F.get(own["m"], y["place"]) if model.compat else F.col("known")
-        value = F.coalesce(F.get(own["s"], y["place"]), F.lit(0.0)) - weight * y["floor"] + y["prior"]
-        return F.struct(y["label"].alias("label"), value.alias("score"))
-
-    listed = F.col("entries")
-    if model.compat:
-        listed = F.filter(listed, lambda y: F.coalesce(F.get(own["m"], y["place"]), F.lit(0)) > 0)
-    scored = spread_out.join(blocks, "block").select("doc_id", F.transform(listed, one).alias("scores"))
-    if last > 0:
-        scored = scored.groupBy("doc_id").agg(F.flatten(F.collect_list("scores")).alias("scores"))
-    return scored.select("doc_id", F.array_sort("scores").alias("scores"))
+    compat = model.compat
+
+    def terms(part: pa.RecordBatch) -> Iterator[set]:
+        return (set(find_words(raw.lower())) - STOP_BYTES for raw in part.column("raw").to_pylist())
+
+    def run(rows: pa.Table, found: pa.Table) -> pa.Table:
+        words_of = found.column("word").cast(pa.binary()).to_pylist()
+        ids: dict[bytes, int] = {}
+        at = np.array([ids.setdefault(w, len(ids)) for w in words_of], np.int64)
+        blocks = found.column("block").to_numpy()
+        marked = np.zeros(len(ids))
+        marked[at[blocks == -1]] = 1.0
+        # Rows that share an id are one document; without an id it needs a word to be one.
+        docs_at: dict = {}
+        tokens = []
+        for idx, raw in zip(rows.column("doc_id").to_pylist(), rows.column("raw").to_pylist()):
+            own = find_words(raw.lower())
+            if idx is None and all(w in STOP_BYTES for w in own):
+                continue
+            d = docs_at.setdefault(idx, len(docs_at))
+            own = np.fromiter(map(ids.get, own, repeat(-1)), np.int64)
+            tokens.append(d << 32 | own[own >= 0])
+        pairs, tf = np.unique(np.concatenate(tokens) if tokens else np.zeros(0, np.int64), return_counts=True)
+        doc, word = pairs >> 32, pairs & 0xFFFFFFFF
+        sums = np.zeros((len(docs_at), len(names)))
+        known = np.bincount(doc, tf * marked[word], minlength=len(docs_at))
+        used = np.zeros(sums.shape) if compat else None
+        for block in np.unique(blocks[blocks >= 0]).tolist():
+            here = np.flatnonzero(blocks == block)
+            flat = _flat_doubles(found.column("v").take(pa.array(here))).reshape(len(here), width)
+            table = np.full((len(ids), width), np.nan)
+            table[at[here]] = flat
+            columns = [(j, place[block, j]) for j in range(width) if (block, j) in place]
+            _, to = map(list, zip(*columns))
+            seen = ~np.isnan(table)
+            sums[:, to] = _weighted_rows(doc, word, tf, np.where(seen, table, 0.0), len(docs_at))[:, : len(to)]
+            if compat:
+                used[:, to] = _weighted_rows(doc, word, tf, seen.astype(np.float64), len(docs_at))[:, : len(to)]
+        scores = sums - (used if compat else known[:, None]) * floor + prior
+        keep = used > 0 if compat else np.ones(scores.shape, bool)
+        if compat:
+            keep &= known[:, None] > 0
+        if near is not None and len(names):
+            if compat:
+                keep &= scores <= np.where(keep, scores, np.inf).min(axis=1, keepdims=True) + near
+            else:
+                keep &= scores >= scores.max(axis=1, keepdims=True) - near
+        of, label = np.nonzero(keep)
+        entries = pa.StructArray.from_arrays([names.take(pa.array(label)), pa.array(scores[of, label])], names=["label", "score"])
+        offsets = np.cumsum(np.append(0, keep.sum(axis=1)))
+        out = pa.table({"doc_id": pa.array(list(docs_at), rows.schema.field("doc_id").type), "scores": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), entries)})
+        # The older rule leaves out documents without a known word.
+        return out.filter(pa.array(known > 0)) if compat else out
+
+    # Documents without a text have no words to count.
+    rows = docs.select("doc_id", F.col("text").cast("binary").alias("raw")).filter(F.col("raw").isNotNull())
+    blocked = in_blocks(rows, "doc_id", F.octet_length("raw") + 2 * len(names))
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    return meet(blocked, terms, "word", "string", vectors.union(marks), run, f"doc_id {id_type}, scores array<struct<label: string, score: double>>")
+
+
+def _flat_doubles(column: pa.ChunkedArray) -> np.ndarray:
+    """Values of a column of lists, one after the other; NaN for NULL."""
+    return np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in column.chunks])
+
+
+def _weighted_rows(doc: np.ndarray, word: np.ndarray, tf: np.ndarray, table: np.ndarray, docs: int) -> np.ndarray:
+    """For each document the sum of the rows of its words, times their numbers. Entries come sorted by document."""
+    out = np.zeros((docs, table.shape[1]))
+    for at in range(0, len(doc), 1 << 16):
+        own = slice(at, at + (1 << 16))
+        starts = np.flatnonzero(np.diff(doc[own], prepend=-1))
+        out[doc[own][starts]] += np.add.reduceat(table[word[own]] * tf[own, None], starts, axis=0)
+    return out
 
 
 def predict(model: Counts, docs: DataFrame) -> DataFrame:
@@ -172,7 +260,7 @@ def predict(model: Counts, docs: DataFrame) -> DataFrame:
 
     Scores that agree to nine digits tie, and the smaller label wins.
     """
-    scored = score(model, docs)
+    scored = score(model, docs, near=1e-8)
     direction = 1 if model.compat else -1
     ranked = F.transform(
         "scores", lambda s: F.struct((F.round(s["score"], 9) * direction).alias("key"), s["label"].alias("label"), s["score"].alias("score"))

@@ -119,3 +119,22 @@ def test_accuracy(spark):
     docs = spark.createDataFrame([(1, ["A", "B"]), (2, ["A"])], "doc_id long, labels array<string>")
     chosen = spark.createDataFrame([(1, "B"), (2, "B")], "doc_id long, label string")
     assert tuple(evaluate.accuracy(chosen, docs).first()) == (2, 1, 0.5)
+
+
+def test_choosing_lists_near_scores_only_and_fetches_a_word_once_a_block(spark):
+    docs = spark.createDataFrame([(i, [f"l{i % 7}"], f"w{i % 7} common w{i % 3}") for i in range(60)], "doc_id long, labels array<string>, text string")
+    trained = naive_bayes.count(docs).stored()
+    near = naive_bayes.score(trained, docs, 2, near=1e-8)
+    assert "Generate" not in near._jdf.queryExecution().toString()
+    full = {r["doc_id"]: {s["label"]: s["score"] for s in r["scores"]} for r in naive_bayes.score(trained, docs, 2).collect()}
+    for r in near.collect():
+        best = max(full[r["doc_id"]].values())
+        assert {s["label"]: pytest.approx(s["score"]) for s in r["scores"]} == {k: v for k, v in full[r["doc_id"]].items() if v >= best - 1e-8}
+
+
+def test_words_are_counted_in_tasks_before_they_meet_labels(spark):
+    docs = spark.createDataFrame([(i, ["A", "A", None], "The x X_1 z-x") for i in range(50)] + [(50, None, "x"), (51, ["B"], None)], "doc_id long, labels array<string>, text string")
+    assert naive_bayes.counted_words(docs.coalesce(1)).count() == 3
+    assert {(r["label"], r["word"]): r["n"] for r in naive_bayes.count(docs).words.collect()} == {
+        (label, word): n * (2 if label else 1) for label in ("A", None) for word, n in (("x", 100), ("x_1", 50), ("z", 50))
+    }
